@@ -18,7 +18,7 @@ ISO = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}$"
 
 
 def _group(c: Column, pattern: str, i: int) -> Column:
-    return F.nullif(F.regexp_extract(c, pattern, i), F.lit(""))
+    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, i))
 
 
 def _reorder(c: Column, pattern: str, order: str) -> Column:

@@ -40,8 +40,8 @@ def parse_amount(c: Column) -> Column:
     """the amount a word stands for, null when it is none or below 1."""
     t = F.regexp_replace(strip(F.lower(c)), "^rm", "")
     t = F.regexp_replace(F.translate(t, "o,", "0."), "[^0-9.]", "")
-    value = F.when(t.rlike(r"^[0-9]+(\.[0-9]{1,2})?$"), t.try_cast("double"))
-    return F.when(value >= 1, value)
+    # At least 1 means a digit other than 0 before the point, so one pattern decides both form and size.
+    return F.regexp_extract(t, r"^0*[1-9][0-9]*(\.[0-9]{1,2})?$", 0).try_cast("double")
 
 
 def has_label_stem(c: Column) -> Column:

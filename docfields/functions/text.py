@@ -12,6 +12,7 @@ BLANKS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
     "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
+NOT_BLANK = f"[^{BLANKS}]"
 BLANK_RUN = r"(?U)[\s\x1c-\x1f]+"
 
 # Words that make a header line look like a business name.
@@ -41,6 +42,15 @@ def strip(c: Column) -> Column:
     return F.trim(c, F.lit(BLANKS))
 
 
+def is_blank(c: Column) -> Column:
+    """Nothing but blanks; cheaper than comparing a stripped copy."""
+    return ~c.rlike(NOT_BLANK)
+
+
+def is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.length(c)
+
+
 def clean_text(c: Column) -> Column:
     """collapse blank runs to one space and trim; null becomes the empty text."""
     return F.coalesce(F.trim(F.regexp_replace(c, BLANK_RUN, " ")), F.lit(""))
@@ -53,8 +63,8 @@ def clean_line(c: Column) -> Column:
 
 def uppercase_ratio(c: Column) -> Column:
     """share of capitals among the letters of a cleaned line; 0.0 without letters."""
-    letters = F.regexp_count(c, F.lit("[A-Za-z]"))
-    capitals = F.regexp_count(c, F.lit("[A-Z]"))
+    letters = F.length(F.regexp_replace(c, "[^A-Za-z]+", ""))
+    capitals = F.length(F.regexp_replace(c, "[^A-Z]+", ""))
     return F.when(letters == 0, F.lit(0.0)).otherwise(capitals / letters)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docfields.functions.boxes import box
@@ -10,47 +10,47 @@ from docfields.functions.scores import (
     has_label_stem, is_skipped, label_only, parse_amount, score_label, total_conf, total_score,
 )
 from docfields.functions.text import strip
-from docfields.operators.scans import HOT_ROWS, OrderedRows, chunked, oversized, split
-from docfields.operators.words import ROW_GAP, _mark_rows, group_rows, min_conf, nonblank
+from docfields.operators.scans import HOT_ROWS, chunked, oversized, split
+from docfields.operators.words import ROW_GAP, _mark_rows, group_rows, joined, min_conf, nonblank
 
 IN_ROW = ["x", "cy", "word_id"]
 
 
 def total_words(words: DataFrame) -> DataFrame:
-    """The words the total is looked for in, stripped."""
-    kept = min_conf(nonblank(words))
-    return kept.select("doc_id", "word_id", strip(F.col("text")).alias("text"), "x", "y", "w", "h")
+    """The words the total is looked for in."""
+    return min_conf(nonblank(words)).select("doc_id", "word_id", "text", "x", "y", "w", "h")
 
 
 def row_texts(rows: DataFrame) -> DataFrame:
-    """A2: text of every row, left to right, with the words behind it."""
-    members = F.array_sort(F.collect_list(F.struct(*IN_ROW, "text", "y", "w", "h")))
-    return (
-        rows.groupBy("doc_id", "row_ix").agg(members.alias("members"))
-        .withColumn("row_text", F.array_join(F.transform("members", lambda m: m["text"]), " "))
-    )
+    """A2: text of every row, left to right."""
+    return rows.groupBy("doc_id", "row_ix").agg(joined(IN_ROW, " ", strip(F.col("text"))).alias("row_text"))
+
+
+def with_amounts(words: DataFrame) -> DataFrame:
+    return words.withColumn("amount", parse_amount(F.col("text")))
 
 
-def row_amount(members) -> Column:
-    """A5: largest amount among the words of a row, the leftmost of equals, as ``struct(val, at, bbox)``."""
-    valued = F.transform(members, lambda m, i: F.struct(
-        parse_amount(m["text"]).alias("val"), (-i).alias("at"), box(m["x"], m["y"], m["w"], m["h"]).alias("bbox")
-    ))
-    return F.array_max(F.filter(valued, lambda v: v["val"].isNotNull()))
+def row_amount() -> Column:
+    """A5, as an aggregate over :func:`with_amounts` of a row: the largest amount and its box, the leftmost of equals."""
+    amount = F.col("amount")
+    found = F.struct(amount.alias("val"), box(*[F.col(c) for c in ("x", "y", "w", "h")]).alias("bbox"))
+    return F.max_by(found, F.when(amount.isNotNull(), F.struct(amount, *[-F.col(c) for c in IN_ROW])))
 
 
 def _labelled_rows(rows: DataFrame) -> DataFrame:
-    """Rows with a label and an amount, of documents of ordinary size."""
-    stem = F.max(F.when(has_label_stem(F.col("text")), 1).otherwise(0))
-    members = F.array_sort(F.collect_list(F.struct(*IN_ROW, "text", "y", "w", "h")))
-    texts = (
-        rows.groupBy("doc_id", "row_ix").agg(stem.alias("stem"), members.alias("members")).filter("stem = 1")
-        .withColumn("label", score_label(F.array_join(F.transform("members", lambda m: m["text"]), " ")))
+    """Rows with a label and an amount, of documents of ordinary size.
+
+    Rows are numbered before any is dropped; only those with a label stem (a few per document) get a text.
+    """
+    row = Window.partitionBy("doc_id", "row_ix")
+    stemmed = rows.withColumn("stem", F.max(has_label_stem(F.col("text"))).over(row)).filter("stem")
+    return (
+        with_amounts(stemmed).groupBy("doc_id", "row_ix")
+        .agg(joined(IN_ROW, " ", strip(F.col("text"))).alias("row_text"), row_amount().alias("best"))
+        .filter("best.val is not null")
+        .select("doc_id", "row_ix", score_label(F.col("row_text")).alias("label"), "best.val", "best.bbox")
         .filter("label > 0")
     )
-    return texts.select("doc_id", "row_ix", "label", row_amount(F.col("members")).alias("best")).filter(
-        "best is not null"
-    ).select("doc_id", "row_ix", "label", "best.val", "best.bbox")
 
 
 def _labelled_rows_large(rows: DataFrame) -> DataFrame:
@@ -60,16 +60,13 @@ def _labelled_rows_large(rows: DataFrame) -> DataFrame:
         chunked(rows, ["doc_id", "row_ix"], IN_ROW)
         .lag("_back1", F.col("text")).lag("_back2", F.col("_back1")).df
     )
-    run = F.concat_ws(" ", "_back2", "_back1", "text")
-    amount = parse_amount(F.col("text"))
-    found = F.struct(amount.alias("val"), box(*[F.col(c) for c in ("x", "y", "w", "h")]).alias("bbox"))
-    rank = F.struct(amount, *[-F.col(c) for c in IN_ROW])
+    run = F.concat_ws(" ", *[strip(F.col(c)) for c in ("_back2", "_back1", "text")])
     return (
-        near.groupBy("doc_id", "row_ix")
+        with_amounts(near).groupBy("doc_id", "row_ix")
         .agg(
             F.max(label_only(run)).alias("label"),
             F.max(is_skipped(run).cast("int")).alias("skipped"),
-            F.max_by(found, F.when(amount.isNotNull(), rank)).alias("best"),
+            row_amount().alias("best"),
         )
         .filter("label > 0 and skipped = 0 and best.val is not null")
         .select("doc_id", "row_ix", "label", "best.val", "best.bbox")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docfields.functions.scores import vendor_conf, vendor_score
@@ -23,29 +25,27 @@ def header_words(words: DataFrame, share: float = HEADER_SHARE) -> DataFrame:
 
 def header_lines(
     words: DataFrame, share: float = HEADER_SHARE, y_tol: int = LINE_GAP, n: int = HEADER_LINES,
-    hot_rows: int | None = HOT_ROWS, hot: DataFrame | None = None,
+    hot_rows: int | None = HOT_ROWS, hot: DataFrame | None = None, tidy: Callable[[Column], Column] = lambda text: text,
 ) -> DataFrame:
     """The first lines of the header with text, confidence and height figures and box."""
     header = header_words(words, share)
     if hot is None and hot_rows is not None:
         hot = oversized(words, ["doc_id"], hot_rows)
     if hot is None:
-        return line_table(first_lines(group_lines(header, y_tol, hot_rows=None), n))
+        return line_table(first_lines(group_lines(header, y_tol, hot_rows=None), n), tidy)
     small, large = split(header, hot, ["doc_id"])
     large_lines = _mark_lines(chunked(large, ["doc_id"], ["word_id"]), y_tol)
-    return line_table(first_lines(group_lines(small, y_tol, hot_rows=None), n)).unionByName(
-        line_table(first_lines(large_lines, n), paged=True)
+    return line_table(first_lines(group_lines(small, y_tol, hot_rows=None), n), tidy).unionByName(
+        line_table(first_lines(large_lines, n), tidy, paged=True)
     )
 
 
 def vendor_lines(lines: DataFrame, phrases=NEGATIVE_PHRASES) -> DataFrame:
-    """The lines that may name a vendor, cleaned and renumbered from 0 (at most eight per document)."""
-    kept = lines.withColumn("clean", clean_line(F.col("text"))).filter(
-        (F.col("clean") != "") & ~is_unreliable() & ~is_bad_line(F.col("clean"), phrases)
-    )
+    """Of lines with cleaned text those that may name a vendor, renumbered from 0 (at most eight a document)."""
+    kept = lines.filter((F.col("text") != "") & ~is_unreliable() & ~is_bad_line(F.col("text"), phrases))
     per_doc = Window.partitionBy("doc_id").orderBy("line_ix")
     return kept.select(
-        "doc_id", "line_ix", (F.row_number().over(per_doc) - 1).alias("i"), "clean", "x1", "y1", "x2", "y2"
+        "doc_id", "line_ix", (F.row_number().over(per_doc) - 1).alias("i"), F.col("text").alias("clean"), "x1", "y1", "x2", "y2"
     )
 
 
@@ -78,7 +78,7 @@ def extract_vendor(
     words: DataFrame, phrases=NEGATIVE_PHRASES, hot_rows: int | None = HOT_ROWS, hot: DataFrame | None = None
 ) -> DataFrame:
     """Best vendor name, confidence and box; among equal scores the greatest text, then box."""
-    candidates = vendor_candidates(vendor_lines(header_lines(words, hot_rows=hot_rows, hot=hot), phrases))
+    candidates = vendor_candidates(vendor_lines(header_lines(words, hot_rows=hot_rows, hot=hot, tidy=clean_line), phrases))
     best = F.max(F.struct("score", "text", F.struct("x", "y", "w", "h").alias("bbox")))
     strong = F.col("b.score") >= 80
     return candidates.groupBy("doc_id").agg(best.alias("b")).select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docfields.functions.boxes import merge_boxes
-from docfields.functions.text import strip
+from docfields.functions.text import is_ascii, is_blank, strip
 from docfields.operators.scans import HOT_ROWS, OrderedRows, scan_by_key
 
 ROW_GAP = 14
@@ -19,12 +20,11 @@ HEADER_SHARE = 0.21
 HEADER_LINES = 8
 MIN_WORD_CONF = 10
 MIN_LINE_CONF = 45
-NON_ASCII = r"[^\x00-\x7F]"
 
 
 def nonblank(words: DataFrame) -> DataFrame:
     """Drop words that are nothing but blanks."""
-    return words.filter(strip(F.col("text")) != "")
+    return words.filter(~is_blank(F.col("text")))
 
 
 def min_conf(words: DataFrame, floor: int = MIN_WORD_CONF) -> DataFrame:
@@ -50,14 +50,13 @@ def _nfkc(texts: pd.Series) -> pd.Series:
 def normalize_words(words: DataFrame) -> DataFrame:
     """F8: compatibility-normalised text. Only non-ASCII words visit a Python worker; the split is by filter,
     because a branch of ``when`` would not keep the others out."""
-    exotic = F.col("text").rlike(NON_ASCII)
-    plain = words.filter(~exotic | F.col("text").isNull())
-    return plain.unionByName(words.filter(exotic).withColumn("text", _nfkc("text")))
+    plain = is_ascii(F.col("text"))
+    return words.filter(plain).unionByName(words.filter(~plain).withColumn("text", _nfkc("text")))
 
 
 def doc_confidence(words: DataFrame) -> DataFrame:
     """A1: mean recognition confidence of the non-blank words of every document, 0.0 without any."""
-    counted = strip(F.col("text")) != ""
+    counted = ~is_blank(F.col("text"))
     total = F.sum(F.when(counted, F.col("conf")))
     n = F.count(F.when(counted, F.col("conf")))
     return words.groupBy("doc_id").agg(
@@ -90,10 +89,10 @@ def group_lines(
     return scan_by_key(words, ["doc_id"], ["word_id"], lambda r: _mark_lines(r, y_tol), hot_rows, hot)
 
 
-def joined(order: list[str], separator: str = " ", text: str = "text") -> Column:
+def joined(order: list[str], separator: str = " ", text: Column | None = None) -> Column:
     """A2, as an aggregate: the texts of a group in ``order``, separated."""
-    pieces = F.array_sort(F.collect_list(F.struct(*order, text)))
-    return F.array_join(F.transform(pieces, lambda s: s[text]), separator)
+    pieces = F.array_sort(F.collect_list(F.struct(*order, (F.col("text") if text is None else text).alias("_text"))))
+    return F.array_join(F.transform(pieces, lambda s: s["_text"]), separator)
 
 
 def joined_by_page(
@@ -119,9 +118,12 @@ LINE_SUMS = {
 }
 
 
-def line_table(words: DataFrame, page_words: int = 4096, paged: bool = False) -> DataFrame:
+def line_table(
+    words: DataFrame, tidy: Callable[[Column], Column] = lambda text: text, page_words: int = 4096, paged: bool = False
+) -> DataFrame:
     """A2-A4 per line: text, confidence sum and count (unknown confidences left out), heights, box corners.
 
+    ``tidy`` is applied to the text as it leaves the aggregate, so later filters on it do not repeat the work.
     ``paged`` first folds slices of the words of a line, for documents whose lines may be huge.
     """
     x, y, w, h, conf = (F.col(c) for c in ("x", "y", "w", "h", "conf"))
@@ -134,15 +136,15 @@ def line_table(words: DataFrame, page_words: int = 4096, paged: bool = False) ->
     ]
     keys = ["doc_id", "line_ix"]
     if not paged:
-        return words.groupBy(*keys).agg(joined(["word_id"]).alias("text"), *sums)
+        return words.groupBy(*keys).agg(tidy(joined(["word_id"])).alias("text"), *sums)
     page = F.floor(F.col("word_id") / page_words).alias("page")
     pages = words.groupBy(*keys, page).agg(joined(["word_id"]).alias("text"), *sums)
     return pages.groupBy(*keys).agg(
-        joined(["page"]).alias("text"), *[fold(name).alias(name) for name, fold in LINE_SUMS.items()]
+        tidy(joined(["page"])).alias("text"), *[fold(name).alias(name) for name, fold in LINE_SUMS.items()]
     )
 
 
-def is_unreliable(lines: DataFrame | None = None, floor: int = MIN_LINE_CONF) -> Column:
+def is_unreliable(floor: int = MIN_LINE_CONF) -> Column:
     """P5 / A3 over :func:`line_table`: handwriting and stamps, by low confidence or uneven height."""
     low = (F.col("conf_n") == 0) | (F.col("conf_sum") / F.nullif(F.col("conf_n"), F.lit(0)) < floor)
     mean_h = F.col("h_sum") / F.col("n_words")
