@@ -1,3 +1,167 @@
+"""Queries for the text, date and money functions, over whole columns of the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from docfields import fixtures
 from docfields.catalog import Catalog
+from docfields.catalog import sql as S
+from docfields.functions import dates as D
+from docfields.functions import text as X
+from docfields.operators.dates import all_date_matches
+from docfields.operators.words import document_text, normalize_words
 
 QUERIES = Catalog()
+
+documents = lambda s, d: fixtures.table(s, d, "documents")
+
+QUERIES.add(
+    "clean_documents", "F1", lambda s, d: documents(s, d).select("doc_id", X.clean_text(F.col("text")).alias("text")),
+    r"SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '[\s\x0b\x1c-\x1f\x{85}\p{Z}]+', ' ', 'g')) AS text FROM documents",
+)
+# NFKC has no counterpart in SQL: rows only, checked against the standard library in the tests.
+QUERIES.add("normalized_documents", "F8 X2", lambda s, d: normalize_words(documents(s, d).select("doc_id", "text")))
+QUERIES.add(
+    "letters_of_documents", "F9 F10",
+    lambda s, d: documents(s, d).select("doc_id", X.clean_line(F.col("text")).alias("clean")).select(
+        "doc_id", "clean", X.uppercase_ratio(F.col("clean")).alias("upper")),
+    r"""WITH c AS (SELECT doc_id, regexp_replace(regexp_replace(text, '[^A-Za-z\s\p{Z}&.''\-()]', '', 'g'),
+                          '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS clean FROM documents)
+    SELECT doc_id, clean, CASE WHEN length(regexp_replace(clean, '[^A-Za-z]', '', 'g')) = 0 THEN 0e0
+      ELSE length(regexp_replace(clean, '[^A-Z]', '', 'g')) / length(regexp_replace(clean, '[^A-Za-z]', '', 'g')) END AS upper
+    FROM c""",
+)
+QUERIES.add(
+    "business_words", "F11 P6",
+    lambda s, d: document_text(fixtures.receipt_words(s, d)).select(
+        "doc_id", X.positive_score(F.col("text")).alias("positive"), X.is_bad_line(F.col("text")).alias("bad")),
+    f"""WITH {S.WORDS}, d AS (SELECT doc_id, lower(string_agg(text, chr(10) ORDER BY word_id)) AS t FROM words
+         WHERE trim(text) <> '' GROUP BY doc_id)
+    SELECT doc_id, {" + ".join(f"CAST(contains(t, '{w}') AS int)" for w in X.POSITIVE_WORDS)} AS positive,
+           length(t) < 3 OR {" OR ".join(f"contains(t, '{p}')" for p in X.NEGATIVE_PHRASES)} AS bad FROM d""",
+)
+QUERIES.add(
+    "clipped_documents", "P18",
+    lambda s, d: documents(s, d).select("doc_id", *[X.clip(F.col("text"), n).alias(f"first_{n}") for n in (4000, 8000, 12000)]),
+    "SELECT doc_id, substr(text, 1, 4000) AS first_4000, substr(text, 1, 8000) AS first_8000, "
+    "substr(text, 1, 12000) AS first_12000 FROM documents",
+)
+
+
+def truncated(s, d) -> DataFrame:
+    cut = X.truncate_json(F.col("text"))
+    over = F.length("text") > 12000
+    return documents(s, d).select(
+        "doc_id", F.when(over, F.get_json_object(cut, "$.preview")).otherwise(cut).alias("kept"),
+        F.when(over, F.get_json_object(cut, "$._truncated")).alias("marked"),
+    )
+
+
+QUERIES.add(
+    "truncated_documents", "F19", truncated,
+    """SELECT doc_id, CASE WHEN length(text) > 12000 THEN substr(text, 1, 6000) || '...' ELSE text END AS kept,
+              CASE WHEN length(text) > 12000 THEN 'true' END AS marked FROM documents""",
+)
+
+
+def printed_dates(s, d) -> DataFrame:
+    return all_date_matches(fixtures.receipt_words(s, d)).select("doc_id", "word_id", "match_ix", "raw")
+
+
+def _iso(c: Column) -> Column:
+    return F.date_format(c, "yyyy-MM-dd")
+
+
+QUERIES.add(
+    "normalized_dates", "F3", lambda s, d: printed_dates(s, d).select("doc_id", "match_ix", D.normalize_date(F.col("raw")).alias("date")),
+    f"""WITH {S.WORDS}, {S.DATES} SELECT doc_id,
+    CAST(row_number() OVER (PARTITION BY doc_id, word_id ORDER BY pi, mi) - 1 AS int) AS match_ix, {S.NORMAL_DATE} AS date
+    FROM date_matches""",
+)
+QUERIES.add(
+    "invoice_dates", "F4",
+    lambda s, d: printed_dates(s, d).select("doc_id", "raw", _iso(D.parse_invoice_date(F.col("raw"))).alias("date")),
+    f"""WITH {S.WORDS}, {S.DATES} SELECT doc_id, raw, strftime({S.PARSED_DATE.format(d="raw")}, '%Y-%m-%d') AS date
+    FROM date_matches""",
+)
+QUERIES.add(
+    "form_dates", "F5",
+    lambda s, d: printed_dates(s, d).select(
+        "doc_id", "raw", D.format_form_date(F.col("raw")).alias("iso"), D.format_form_date(F.col("raw"), "dmy").alias("dmy")),
+    rf"""WITH {S.WORDS}, {S.DATES}, f AS (SELECT doc_id, raw, CASE
+      WHEN regexp_full_match(raw, '\d{{4}}-\d{{1,2}}-\d{{1,2}}') THEN try_strptime(raw, '%Y-%m-%d')
+      WHEN regexp_full_match(raw, '\d{{1,2}}/\d{{1,2}}/\d{{4}}') THEN try_strptime(raw, '%d/%m/%Y')
+      WHEN regexp_full_match(raw, '\d{{1,2}}-\d{{1,2}}-\d{{4}}') THEN try_strptime(raw, '%d-%m-%Y')
+      WHEN regexp_full_match(raw, '\d{{1,2}}-\d{{1,2}}-\d{{2}}') THEN try_strptime(raw, '%d-%m-%y') END AS p FROM date_matches)
+    SELECT doc_id, raw, coalesce(strftime(p, '%Y-%m-%d'), raw) AS iso, coalesce(strftime(p, '%d/%m/%Y'), raw) AS dmy FROM f""",
+)
+QUERIES.add(
+    "numeric_texts", "F20",
+    lambda s, d: fixtures.receipt_words(s, d).select("doc_id", "word_id", X.is_numeric_text(F.col("text")).alias("numeric")),
+    f"""WITH {S.WORDS} SELECT doc_id, word_id, regexp_full_match(trim(replace(text, ',', '')),
+        '[+-]?([0-9]+(_[0-9]+)*(\\.([0-9]+(_[0-9]+)*)?)?|\\.[0-9]+(_[0-9]+)*)([eE][+-]?[0-9]+(_[0-9]+)*)?') AS numeric
+    FROM words""",
+)
+QUERIES.add(
+    "money_texts", "F17",
+    lambda s, d: fixtures.receipt_words(s, d).select("doc_id", "word_id", X.money(F.col("text")).alias("amount")),
+    f"""WITH {S.WORDS}, m AS (SELECT doc_id, word_id, trim(replace(replace(replace(text, ',', ''), 'RM', ''), '$', '')) AS t FROM words)
+    SELECT doc_id, word_id, CASE WHEN regexp_full_match(t, '[+-]?[0-9]+(\\.[0-9]*)?') THEN TRY_CAST(t AS double) END AS amount FROM m""",
+)
+QUERIES.add(
+    "number_texts", "F16",
+    lambda s, d: fixtures.table(s, d, "orders").select(
+        "o_orderkey", X.num_text(F.round(F.col("o_totalprice") * (F.col("o_orderkey") % 3), 1)).alias("text")),
+    """SELECT o_orderkey, CAST(CAST(round(o_totalprice * (o_orderkey % 3), 1) AS decimal(18,1)) AS string) AS text FROM orders""",
+)
+QUERIES.add(
+    "json_spans", "F18",
+    lambda s, d: fixtures.responses(s, d).select("batch_id", X.json_span(F.col("response")).alias("span")),
+    f"WITH {S.RESPONSES} SELECT batch_id, span FROM spans",
+)
+
+
+def error_texts(s, d) -> DataFrame:
+    e, n = F.col("event_id"), F.col("value").cast("decimal(10,2)").cast("string")
+    text = (
+        F.when(e % 6 == 0, F.concat(F.lit("429 Too many requests, Retry in "), n, F.lit("s.")))
+        .when(e % 6 == 1, F.concat(F.lit("Resource exhausted { seconds: "), F.col("user_id"), F.lit(" }")))
+        .when(e % 6 == 2, "Quota exceeded").when(e % 6 == 3, "bad request")
+        .when(e % 6 == 4, "hit the Rate Limit").otherwise(F.concat(F.lit("quota of "), n))
+    )
+    return fixtures.table(s, d, "events").select("event_id", text.alias("error"))
+
+
+QUERIES.add(
+    "quota_errors", "F26 F27",
+    lambda s, d: error_texts(s, d).select(
+        "event_id", X.is_rate_limit(F.col("error")).alias("limited"), X.retry_after(F.col("error")).alias("wait")),
+    """SELECT event_id, event_id % 6 IN (0, 1, 2, 4) AS limited,
+       CASE event_id % 6 WHEN 0 THEN CAST(CAST(value AS decimal(10,2)) AS double) + 0.75e0 WHEN 1 THEN user_id + 0.75e0
+       ELSE 62e0 END AS wait FROM events""",
+)
+
+
+def form_pages(s, d) -> DataFrame:
+    k = F.col("page_id").cast("string")
+    tag = (
+        F.when(F.col("page_id") % 4 == 0, F.concat(F.lit('<input name="fbzx" value="'), k, F.lit('">')))
+        .when(F.col("page_id") % 4 == 1, F.concat(F.lit("<input name=\"fbzx\"  value='"), k, F.lit("'>")))
+        .when(F.col("page_id") % 4 == 2, F.concat(F.lit('<input value="'), k, F.lit('" name="fbzx">')))
+        .otherwise("")
+    )
+    return fixtures.table(s, d, "pages").select("page_id", F.concat("html", tag, F.lit("</form>")).alias("html"))
+
+
+QUERIES.add(
+    "hidden_inputs", "F32",
+    lambda s, d: form_pages(s, d).select(
+        "page_id", X.hidden_input(F.col("html"), "fbzx").alias("fbzx"), X.hidden_input(F.col("html"), "fvv").alias("fvv")),
+    """SELECT page_id, CASE WHEN page_id % 4 < 3 THEN CAST(page_id AS string) END AS fbzx, CAST(NULL AS string) AS fvv FROM pages""",
+)
+QUERIES.add(
+    "page_job_ids", "F33", lambda s, d: fixtures.table(s, d, "pages").select("page_id", X.job_id(F.col("url")).alias("job_id")),
+    "SELECT page_id, sha256(url) AS job_id FROM pages",
+)

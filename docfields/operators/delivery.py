@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from docfields.functions.dates import format_form_date
 from docfields.functions.text import num_text, strip
-from docfields.session import materialise
+from docfields.session import materialise, ship
 
 
 def form_rows(valid: DataFrame, date_format: str = "iso") -> DataFrame:
@@ -51,6 +51,7 @@ def deliver(
                 "job_id": batch["job_id"], "ok": [ok for ok, _ in done], "attempts": [n for _, n in done],
             })
 
+    ship(rows.sparkSession)
     return materialise(rows.mapInPandas(run, "job_id string, ok boolean, attempts int"), "delivered")
 
 

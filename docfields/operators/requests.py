@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from docfields.functions.retries import strategy_name, strategy_rank
 from docfields.functions.text import json_span, money, money_digits, parse_number, strip
 from docfields.operators.scans import HOT_ROWS, OrderedRows, scan_by_key
-from docfields.session import materialise
+from docfields.session import materialise, ship
 
 BATCH_SIZE = 3
 
@@ -197,6 +197,7 @@ def call_model(
         for rows in batches:
             yield pd.DataFrame({key: rows[key], "response": [ask(text) for text in rows["prompt"]]})
 
+    ship(prompts.sparkSession)
     spread = prompts.select(key, "prompt")
     spread = spread.repartition(parallel, key) if parallel else spread.repartition(key)
     schema = f"{key} {prompts.schema[key].dataType.simpleString()}, response string"

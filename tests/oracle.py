@@ -67,7 +67,7 @@ def main(folder: str, names: list[str]) -> None:
             if query.sql:
                 result = compare(query.run(spark, folder), query.sql, connection)
             else:
-                result = f"rows only: {query.run(spark, folder).count()}"
+                result = f"rows only: {len(query.run(spark, folder).collect())}"
         except Exception as e:  # noqa: BLE001
             result = f"{type(e).__name__}: {str(e)[:600]}"
         bad += bool(result) and not str(result).startswith("rows only")
