@@ -170,3 +170,11 @@ QUERIES.add(
        CASE WHEN k % 5 <> 0 THEN k + 0.25e0 WHEN k % 10 <> 0 THEN k + 0.5e0 END AS total, k % 10 <> 0 AS parsed,
        CASE WHEN k % 5 <> 0 THEN 'batch' ELSE 'single' END AS calls FROM requests""",
 )
+
+
+def stubborn(prompt: str) -> str:
+    """A model stand-in that fails until asked more strictly, and never answers an odd-numbered job."""
+    if "### Invoice" not in prompt or not any(note and note in prompt for note in R.BATCH_NOTES.values()):
+        return "no"
+    ids = [i for i in re.findall(r"job_id: (\S+)", prompt) if int(i) % 2 == 0]
+    return json.dumps({"results": [{"job_id": i, "vendor": f"Store {i}", "total": 7.5, "date": "1997-05-04"} for i in ids]})

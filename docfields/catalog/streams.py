@@ -1,3 +1,128 @@
+"""Queries that run a stream over the given tables to its end and return what it produced."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docfields import fixtures
 from docfields.catalog import Catalog
+from docfields.catalog import sql as S
+from docfields.catalog.events import CIRCUIT, calls
+from docfields.catalog.extraction import TODAY, today
+from docfields.session import shared_folder
+from docfields.sources.words import read_words_stream
+from docfields.streaming import processors, stages
 
 QUERIES = Catalog()
+
+
+def _folder(s: SparkSession, name: str) -> str:
+    return f"{shared_folder(s)}/docfields/{name}-{uuid.uuid4().hex}"
+
+
+def _landed(df: DataFrame, name: str) -> str:
+    """The input of a stream as files, whole keys per file."""
+    path = _folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return path
+
+
+def _collected(s: SparkSession, stream: DataFrame, mode: str) -> DataFrame:
+    """Drain a stream into one table per micro-batch and read what it wrote."""
+    out, state = _folder(s, "out"), _folder(s, "state")
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    stages.drain(stream.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", state))
+    return s.read.option("basePath", out).parquet(f"{out}/batch=*")
+
+
+def extracted(s, d, part: str) -> DataFrame:
+    path = _landed(fixtures.receipt_words(s, d).repartition("doc_id"), "words")
+    sink, state = _folder(s, "sink"), _folder(s, "state")
+    stages.drain(stages.stream_extract(read_words_stream(s, path, files=4), sink, state, today()))
+    return s.read.parquet(f"{sink}/{part}")
+
+
+QUERIES.add("streamed_receipts", "T1 S2", lambda s, d: extracted(s, d, "routed").drop("batch"),
+            f"WITH {S.FIELDS} SELECT doc_id, vendor, total, date, vendor_conf, total_conf, date_conf, route FROM routed")
+QUERIES.add("streamed_validation", "T1", lambda s, d: extracted(s, d, "validated").select("job_id", "ok", F.array_join("errors", ",").alias("errors")),
+            f"""WITH {S.FIELDS}, {S.validated("rule_payloads", TODAY)} SELECT job_id, ok, errors FROM validated WHERE route = 'VALIDATE'""")
+
+
+def stream_batches(s, d) -> DataFrame:
+    """Batch sizes of streamed requests: every request once, never more than three together."""
+    path = _landed(fixtures.requests(s, d), "requests")
+    sink, state = _folder(s, "sink"), _folder(s, "state")
+    source = s.readStream.schema(fixtures.requests(s, d).schema).parquet(path)
+    stages.stream_batches(source, sink, state, wait=None).start().awaitTermination()
+    out = s.read.option("basePath", sink).parquet(f"{sink}/batch=*").withColumnRenamed("batch", "micro_batch")
+    sizes = s.read.parquet(f"{sink}/batch=0").groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.sum("n").alias("requests"), F.max("n").alias("largest"))
+
+
+QUERIES.add("streamed_batches", "T2", stream_batches, "SELECT count(*) AS requests, 3 AS largest FROM orders")
+
+
+def deduplicated(s, d) -> DataFrame:
+    """Job keys arriving in several files, every one let through once."""
+    jobs = fixtures.attempts(s, d).select("job_id")
+    path = _landed(jobs.repartition(4), "arrivals")
+    source = s.readStream.schema("job_id string").option("maxFilesPerTrigger", 1).parquet(path)
+    return _collected(s, stages.dedupe_ingest(source), "append").select("job_id")
+
+
+QUERIES.add("streamed_ingest", "T4", deduplicated,
+            "SELECT DISTINCT CAST(user_id AS string) AS job_id FROM events WHERE event_type = 'error'")
+
+
+def counted(s, d) -> DataFrame:
+    log = fixtures.outcomes(s, d).select("name", "n")
+    source = s.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(_landed(log.repartition(3), "log"))
+    states = _collected(s, stages.stream_counters(source), "complete")
+    return states.groupBy("name").agg(F.max_by("n", "batch").alias("n"))
+
+
+QUERIES.add("streamed_counters", "T5 A11", counted, "SELECT event_type AS name, count(*) AS n FROM events GROUP BY event_type")
+
+
+def _with_rocksdb(s: SparkSession) -> None:
+    s.conf.set("spark.sql.streaming.stateStore.providerClass", processors.ROCKSDB)
+
+
+def circuits(s, d) -> DataFrame:
+    _with_rocksdb(s)
+    log = calls(s, d).select(F.col("key").cast("string").alias("key"), "event_id", "at", "failed")
+    source = s.readStream.schema(log.schema).parquet(_landed(log, "calls"))
+    return _collected(s, processors.stream_circuit(source, 2, 86400.0), "update").select("event_id", "allowed")
+
+
+QUERIES.add("streamed_circuit", "T6", circuits,
+            f"SELECT event_id, allowed FROM ({CIRCUIT.format(by='key', n=2, open='86400e0')})")
+
+
+def tracked(s, d) -> DataFrame:
+    """Final state of every job after its outcomes: the first two failures decide, unless a success comes before."""
+    _with_rocksdb(s)
+    e = F.col("event_id")
+    outcomes = fixtures.table(s, d, "events").select(
+        F.col("user_id").cast("string").alias("job_id"), e.alias("seq"), F.lit("validation").alias("stage"),
+        (F.col("event_type") != "error").alias("ok"), F.concat(F.lit("error "), e).alias("error"),
+        F.lit(None).cast("string").alias("strategy"))
+    source = s.readStream.schema(outcomes.schema).parquet(_landed(outcomes, "outcomes"))
+    rows = _collected(s, processors.track_jobs(source, 2, base_ms=3_600_000, cap_ms=3_600_000), "update").filter("event = 'outcome'")
+    final = F.max_by(F.struct("status", "strategy"), F.struct("failures", F.col("status") == "SUCCESS"))
+    return rows.groupBy("job_id").agg(F.max("failures").alias("failures"), final.alias("f")).select("job_id", "failures", "f.status", "f.strategy")
+
+
+QUERIES.add("tracked_jobs", "T3 F23 F25", tracked, """
+WITH e AS (SELECT CAST(user_id AS string) AS job_id, event_type = 'error' AS failed,
+             row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
+f AS (SELECT job_id, count(*) FILTER (n = 1 AND failed) AS first, count(*) FILTER (n = 2 AND failed) AS second, count(*) AS n FROM e GROUP BY job_id)
+SELECT job_id, CAST(CASE WHEN first = 0 THEN 0 WHEN n > 1 AND second = 1 THEN 2 ELSE 1 END AS int) AS failures,
+       CASE WHEN first = 0 THEN 'SUCCESS' WHEN n = 1 THEN 'RETRY_SCHEDULED' WHEN second = 1 THEN 'NEEDS_REVIEW' ELSE 'SUCCESS' END AS status,
+       CASE WHEN first = 1 THEN 'after_validation_fail' END AS strategy FROM f""")

@@ -9,8 +9,9 @@ from docfields.operators.scans import HOT_ROWS, OrderedRows, scan_by_key
 
 
 def seconds(ts: Column) -> Column:
-    """Seconds since the epoch with microseconds, exact as a double for present-day times."""
-    return F.unix_micros(ts) / F.lit(1_000_000.0)
+    """Wall-clock seconds since 1970 with microseconds, exact as a double for present-day times."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, ts.cast("timestamp_ntz")) / F.lit(1_000_000.0)
 
 
 def _pace(rows: OrderedRows, step: float) -> DataFrame:

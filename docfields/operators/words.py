@@ -13,8 +13,6 @@ from pyspark.sql import types as T
 from docfields.functions.boxes import merge_boxes
 from docfields.functions.text import is_ascii, is_blank, strip
 from docfields.operators.scans import HOT_ROWS, OrderedRows, scan_by_key
-from docfields.session import ship
-
 ROW_GAP = 14
 LINE_GAP = 15
 HEADER_SHARE = 0.21
@@ -51,7 +49,6 @@ def _nfkc(texts: pd.Series) -> pd.Series:
 def normalize_words(words: DataFrame) -> DataFrame:
     """F8: compatibility-normalised text. Only non-ASCII words visit a Python worker; the split is by filter,
     because a branch of ``when`` would not keep the others out."""
-    ship(words.sparkSession)
     plain = is_ascii(F.col("text"))
     return words.filter(plain).unionByName(words.filter(~plain).withColumn("text", _nfkc("text")))
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import shutil
 import tempfile
 import uuid
 
@@ -39,19 +38,6 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Make this package importable in Python workers wherever they run; once per application."""
-    context = spark.sparkContext
-    if context.applicationId not in _SHIPPED:
-        home = os.path.dirname(os.path.abspath(__file__))
-        target = os.path.join(tempfile.mkdtemp(prefix="spark-"), "docfields")
-        context.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(home), os.path.basename(home)))
-        _SHIPPED.add(context.applicationId)
-
-
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 

@@ -8,7 +8,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor
 
-from docfields.session import ship
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -88,7 +87,6 @@ def track_jobs(
     outcomes: DataFrame, max_failures: int = 2, base_ms: int = 5000, cap_ms: int = 900_000
 ) -> DataFrame:
     """job_id, seq, stage, ok, error, strategy in; one row per outcome and one per retry that falls due out."""
-    ship(outcomes.sparkSession)
     tracker = JobTracker(max_failures, lambda k: min(cap_ms, base_ms * 2 ** k))
     return outcomes.groupBy("job_id").transformWithStateInPandas(
         statefulProcessor=tracker, outputStructType=TRACKED, outputMode="Update", timeMode="ProcessingTime"
@@ -124,7 +122,6 @@ class Circuit(StatefulProcessor):
 
 def stream_circuit(events: DataFrame, threshold: int = 5, open_for: float = 60.0) -> DataFrame:
     """Key, event_id, at, failed in; whether each call was allowed out. Events of a key arrive in time order."""
-    ship(events.sparkSession)
     return events.groupBy("key").transformWithStateInPandas(
         statefulProcessor=Circuit(threshold, open_for), outputStructType=CIRCUIT, outputMode="Update", timeMode="None"
     )
