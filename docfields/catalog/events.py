@@ -16,9 +16,9 @@ def calls(s, d) -> DataFrame:
     return fixtures.outcomes(s, d).withColumn("at", health.seconds(F.col("ts"))).drop("ts", "name", "n")
 
 
-CALLS = """calls AS (SELECT event_id, user_id AS key, event_type = 'error' AS failed, epoch_us(ts) / 1000000e0 AS at FROM events)"""
-PACED = f"""WITH {CALLS}, n AS (SELECT *, row_number() OVER (PARTITION BY {{by}} ORDER BY at, event_id) AS n FROM calls)
-  SELECT event_id, max(at - (n - 1) * {{step}}) OVER (PARTITION BY {{by}} ORDER BY at, event_id) + (n - 1) * {{step}} AS start_at FROM n"""
+CALLS = """calls AS (SELECT event_id, user_id AS key, event_type = 'error' AS failed, epoch_us(ts) / 1000000e0 AS sec FROM events)"""
+PACED = f"""WITH {CALLS}, n AS (SELECT *, row_number() OVER (PARTITION BY {{by}} ORDER BY sec, event_id) AS n FROM calls)
+  SELECT event_id, max(sec - (n - 1) * {{step}}) OVER (PARTITION BY {{by}} ORDER BY sec, event_id) + (n - 1) * {{step}} AS start_at FROM n"""
 
 QUERIES.add("run_counters", "A11", lambda s, d: health.run_counters(fixtures.outcomes(s, d)),
             "SELECT event_type AS name, count(*) AS n FROM events GROUP BY event_type")
@@ -34,11 +34,11 @@ def service_wide(s, d) -> DataFrame:
 QUERIES.add("paced_service", "W7", service_wide, PACED.format(by="1", step="120e0"))
 
 CIRCUIT = f"""WITH {CALLS},
-g AS (SELECT *, sum(CASE WHEN failed THEN 0 ELSE 1 END) OVER w AS grp FROM calls WINDOW w AS (PARTITION BY {{by}} ORDER BY at, event_id)),
-r AS (SELECT *, CASE WHEN failed THEN sum(CASE WHEN failed THEN 1 ELSE 0 END) OVER (PARTITION BY {{by}}, grp ORDER BY at, event_id) ELSE 0 END AS run FROM g),
-o AS (SELECT *, max(CASE WHEN failed AND run % {{n}} = 0 THEN at + {{open}} END) OVER (PARTITION BY {{by}} ORDER BY at, event_id
+g AS (SELECT *, sum(CASE WHEN failed THEN 0 ELSE 1 END) OVER w AS grp FROM calls WINDOW w AS (PARTITION BY {{by}} ORDER BY sec, event_id)),
+r AS (SELECT *, CASE WHEN failed THEN sum(CASE WHEN failed THEN 1 ELSE 0 END) OVER (PARTITION BY {{by}}, grp ORDER BY sec, event_id) ELSE 0 END AS run FROM g),
+o AS (SELECT *, max(CASE WHEN failed AND run % {{n}} = 0 THEN sec + {{open}} END) OVER (PARTITION BY {{by}} ORDER BY sec, event_id
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS open_until FROM r)
-SELECT event_id, CAST(run AS bigint) AS run, open_until, coalesce(at >= open_until, true) AS allowed FROM o"""
+SELECT event_id, CAST(run AS bigint) AS run, open_until, coalesce(sec >= open_until, true) AS allowed FROM o"""
 
 
 def states(s, d, by: str = "key", **how) -> DataFrame:

@@ -30,14 +30,21 @@ def _landed(df: DataFrame, name: str) -> str:
     return path
 
 
-def _collected(s: SparkSession, stream: DataFrame, mode: str) -> DataFrame:
-    """Drain a stream into one table per micro-batch and read what it wrote."""
+def _collected(s: SparkSession, stream: DataFrame, mode: str, once: bool = False) -> DataFrame:
+    """Drain a stream into one table per micro-batch and read what it wrote.
+
+    ``once`` takes everything in one batch and stops there: with timers pending, a drain would wait for them.
+    """
     out, state = _folder(s, "out"), _folder(s, "state")
 
     def keep(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    stages.drain(stream.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", state))
+    writer = stream.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", state)
+    if once:
+        writer.trigger(once=True).start().awaitTermination()
+    else:
+        stages.drain(writer)
     return s.read.option("basePath", out).parquet(f"{out}/batch=*")
 
 
@@ -114,7 +121,7 @@ def tracked(s, d) -> DataFrame:
         (F.col("event_type") != "error").alias("ok"), F.concat(F.lit("error "), e).alias("error"),
         F.lit(None).cast("string").alias("strategy"))
     source = s.readStream.schema(outcomes.schema).parquet(_landed(outcomes, "outcomes"))
-    rows = _collected(s, processors.track_jobs(source, 2, base_ms=3_600_000, cap_ms=3_600_000), "update").filter("event = 'outcome'")
+    rows = _collected(s, processors.track_jobs(source, 2, base_ms=3_600_000, cap_ms=3_600_000), "update", once=True).filter("event = 'outcome'")
     final = F.max_by(F.struct("status", "strategy"), F.struct("failures", F.col("status") == "SUCCESS"))
     return rows.groupBy("job_id").agg(F.max("failures").alias("failures"), final.alias("f")).select("job_id", "failures", "f.status", "f.strategy")
 
