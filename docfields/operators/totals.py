@@ -9,7 +9,7 @@ from docfields.functions.boxes import box
 from docfields.functions.scores import (
     has_label_stem, is_skipped, label_only, parse_amount, score_label, total_conf, total_score,
 )
-from docfields.functions.text import strip
+from docfields.functions.text import strip_word
 from docfields.operators.scans import HOT_ROWS, chunked, oversized, split
 from docfields.operators.words import ROW_GAP, _mark_rows, group_rows, joined, min_conf, nonblank
 
@@ -18,12 +18,12 @@ IN_ROW = ["x", "cy", "word_id"]
 
 def total_words(words: DataFrame) -> DataFrame:
     """The words the total is looked for in."""
-    return min_conf(nonblank(words)).select("doc_id", "word_id", "text", "x", "y", "w", "h")
+    return nonblank(min_conf(words)).select("doc_id", "word_id", "text", "x", "y", "w", "h")
 
 
 def row_texts(rows: DataFrame) -> DataFrame:
     """A2: text of every row, left to right."""
-    return rows.groupBy("doc_id", "row_ix").agg(joined(IN_ROW, " ", strip(F.col("text"))).alias("row_text"))
+    return rows.groupBy("doc_id", "row_ix").agg(joined(IN_ROW, " ", strip_word(F.col("text"))).alias("row_text"))
 
 
 def with_amounts(words: DataFrame) -> DataFrame:
@@ -46,7 +46,7 @@ def _labelled_rows(rows: DataFrame) -> DataFrame:
     stemmed = rows.withColumn("stem", F.max(has_label_stem(F.col("text"))).over(row)).filter("stem")
     return (
         with_amounts(stemmed).groupBy("doc_id", "row_ix")
-        .agg(joined(IN_ROW, " ", strip(F.col("text"))).alias("row_text"), row_amount().alias("best"))
+        .agg(joined(IN_ROW, " ", strip_word(F.col("text"))).alias("row_text"), row_amount().alias("best"))
         .filter("best.val is not null")
         .select("doc_id", "row_ix", score_label(F.col("row_text")).alias("label"), "best.val", "best.bbox")
         .filter("label > 0")
@@ -60,7 +60,7 @@ def _labelled_rows_large(rows: DataFrame) -> DataFrame:
         chunked(rows, ["doc_id", "row_ix"], IN_ROW)
         .lag("_back1", F.col("text")).lag("_back2", F.col("_back1")).df
     )
-    run = F.concat_ws(" ", *[strip(F.col(c)) for c in ("_back2", "_back1", "text")])
+    run = F.concat_ws(" ", *[strip_word(F.col(c)) for c in ("_back2", "_back1", "text")])
     return (
         with_amounts(near).groupBy("doc_id", "row_ix")
         .agg(

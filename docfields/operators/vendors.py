@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docfields.functions.scores import vendor_conf, vendor_score
-from docfields.functions.text import NEGATIVE_PHRASES, clean_line, is_bad_line, strip
+from docfields.functions.text import NEGATIVE_PHRASES, clean_line, is_bad_line, strip_word
 from docfields.operators.scans import HOT_ROWS, chunked, oversized, split
 from docfields.operators.words import (
     HEADER_LINES, HEADER_SHARE, LINE_GAP, _mark_lines, first_lines, group_lines, header_band, is_unreliable,
@@ -17,8 +17,8 @@ from docfields.operators.words import (
 
 
 def header_words(words: DataFrame, share: float = HEADER_SHARE) -> DataFrame:
-    kept = header_band(nonblank(words), share).select(
-        "doc_id", "word_id", strip(F.col("text")).alias("text"), "conf", "x", "y", "w", "h"
+    kept = nonblank(header_band(words, share)).select(
+        "doc_id", "word_id", strip_word(F.col("text")).alias("text"), "conf", "x", "y", "w", "h"
     )
     return normalize_words(kept)
 
