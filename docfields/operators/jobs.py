@@ -64,7 +64,10 @@ def new_jobs(actions: DataFrame) -> DataFrame:
 
 
 def upsert(existing: DataFrame, changes: DataFrame, key: str = "job_id") -> DataFrame:
-    """Overwrite the changed columns of known keys, nulls included; unknown keys change nothing."""
+    """Overwrite the changed columns of known keys, nulls included; unknown keys change nothing.
+
+    ``changes`` has one row per key; :func:`latest` makes it so where it may not.
+    """
     changed = [c for c in changes.columns if c != key]
     incoming = changes.select(key, F.struct(*changed).alias("_new"))
     joined = existing.join(incoming, key, "left")
@@ -190,7 +193,7 @@ def advance_jobs(jobs: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame
     """
     fields = [c for c in outcomes.columns if c != "job_id"]
     joined = jobs.join(outcomes.select("job_id", F.struct(*fields).alias("o")), "job_id", "left")
-    live = F.col("o").isNotNull() & ~skips_validation(F.col("status"))
+    live = F.col("o").isNotNull() & ~skips_validation(F.col("status"))  # never null: status is always set
     passed, failed = live & F.col("o.ok"), live & ~F.col("o.ok")
     stage, error = F.col("o.stage"), F.col("o.error")
     failures = F.coalesce(F.col("retry_count"), F.lit(0)) + F.when(failed, 1).otherwise(0)
@@ -217,13 +220,15 @@ def advance_jobs(jobs: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame
         **{c: F.when(passed, F.col(f"o.{c}")).otherwise(F.col(c))
            for c in ("vendor", "invoice_date", "total_amount", "confidence", "source")},
     }
+    retried = F.when(stage == "ocr", F.lit(None)).otherwise(following)
+    due = F.timestamp_micros((F.unix_micros(now) + backoff(F.col("job_id"), failures - 1) * 1_000_000).cast("long"))
+    # A retry scheduled earlier stays scheduled until its job has an outcome.
+    kept = {c: F.when(~live, F.col(c)) if c in jobs.columns else F.lit(None) for c in ("next_strategy", "due_at")}
     # Extraction is re-run by the rules only after a recognition failure; every other retry goes to the model.
     return joined.select(
         *[changed[c].alias(c) if c in changed else F.col(c) for c in jobs.columns if c not in ("next_strategy", "due_at")],
-        F.when(retry, F.when(stage == "ocr", F.lit(None)).otherwise(following)).alias("next_strategy"),
-        F.when(retry, F.timestamp_micros(
-            (F.unix_micros(now) + backoff(F.col("job_id"), failures - 1) * 1_000_000).cast("long")
-        )).alias("due_at"),
+        F.when(retry, retried).otherwise(kept["next_strategy"]).alias("next_strategy"),
+        F.when(retry, due).otherwise(kept["due_at"]).alias("due_at"),
     )
 
 

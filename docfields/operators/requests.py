@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docfields.functions.retries import strategy_name, strategy_rank
-from docfields.functions.text import json_span, money, money_digits, parse_number, strip
+from docfields.functions.text import json_span, money, strip
 from docfields.operators.scans import HOT_ROWS, OrderedRows, scan_by_key
 from docfields.session import materialise
 

@@ -50,8 +50,11 @@ def vendor_lines(lines: DataFrame, phrases=NEGATIVE_PHRASES) -> DataFrame:
 
 
 def vendor_candidates(kept: DataFrame) -> DataFrame:
-    """Every run of one to three neighbouring lines, by looking ahead instead of joining ranges."""
-    per_doc = Window.partitionBy("doc_id").orderBy("i")
+    """Every run of one to three neighbouring lines, by looking ahead instead of joining ranges.
+
+    Lines are ordered as in :func:`vendor_lines`, so both windows share one sort.
+    """
+    per_doc = Window.partitionBy("doc_id").orderBy("line_ix")
     line = F.struct("clean", "x1", "y1", "x2", "y2")
     ahead = kept.select(
         "doc_id", "i", line.alias("a"), F.lead(line, 1).over(per_doc).alias("b"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docfields.functions.boxes import merge_boxes
-from docfields.functions.text import is_ascii, is_blank, strip
+from docfields.functions.text import is_ascii, is_blank
 from docfields.operators.scans import HOT_ROWS, OrderedRows, scan_by_key
 ROW_GAP = 14
 LINE_GAP = 15

@@ -82,10 +82,13 @@ def run_rounds(
     todo = rules.filter("route = 'LLM'").select(
         F.col("doc_id").cast("string").alias("job_id"), F.lit("default").alias("strategy")
     )
-    texts = document_text(words).select(F.col("doc_id").cast("string").alias("job_id"), "text")
     failures, calls = [], []
     for _ in range(max_failures + 1):
-        asked = todo.join(texts, "job_id").withColumn("file", F.col("job_id"))
+        # Only the documents of this round get a text.
+        open_docs = todo.select(F.col("job_id").cast("long").alias("doc_id"))
+        texts = document_text(words.join(open_docs, "doc_id", "left_semi"))
+        asked = todo.join(texts.select(F.col("doc_id").cast("string").alias("job_id"), "text"), "job_id").withColumn(
+            "file", F.col("job_id"))
         answers = ask_model(asked, call, sleep=sleep)
         outcomes = materialise(outcomes.unionByName(model_outcomes(answers, today)).select(*OUTCOME), "outcomes")
         jobs = materialise(advance_jobs(jobs, outcomes, now), "jobs")

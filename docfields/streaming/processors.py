@@ -1,4 +1,8 @@
-"""Keyed state: job tracker and circuit (T3, T6). Both need the RocksDB state store."""
+"""Keyed state: job tracker and circuit (T3, T6). Both need the RocksDB state store.
+
+The rows one key has in a micro-batch are put in order before they are used; the source's rate options (such as
+``maxFilesPerTrigger``) bound them. For a log already at rest the batch form in ``operators.health`` has no such bound.
+"""
 
 from __future__ import annotations
 

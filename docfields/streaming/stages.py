@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from docfields.operators.requests import BATCH_SIZE, assign_batches
 from docfields.operators.routing import extract_fields, route, rule_payload
+from docfields.operators.scans import HOT_ROWS
 from docfields.operators.validation import validate
 
 
@@ -18,7 +19,9 @@ def _append_once(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
-def stream_extract(words: DataFrame, sink: str, checkpoint: str, today: Column, hot_rows: int | None = None) -> DataStreamWriter:
+def stream_extract(
+    words: DataFrame, sink: str, checkpoint: str, today: Column, hot_rows: int | None = HOT_ROWS
+) -> DataStreamWriter:
     """Words to routed rows (``sink/routed``) and validated rows (``sink/validated``)."""
 
     def stage(batch: DataFrame, batch_id: int) -> None:

@@ -175,7 +175,5 @@ def test_history_comes_in_bounded_pages(spark):
 
 def test_extraction_plan_has_one_shuffle_and_no_python(spark):
     words = spark.createDataFrame([], WORDS)
-    from docfields.operators.scans import HOT_ROWS  # noqa: F401
-
     plan = extract_total(words, hot_rows=None)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") <= 1 and "Python" not in plan
