@@ -14,7 +14,7 @@ from docfields.operators import delivery, reports, routing, validation
 from docfields.operators import jobs as J
 from docfields.plans.rounds import run_rounds
 from docfields.session import shared_folder
-from docfields.sources import exports
+from docfields.sources import exports, images
 
 QUERIES = Catalog()
 
@@ -342,6 +342,44 @@ def reread(s, d) -> DataFrame:
 QUERIES.add("reread_export", "S4 S7", reread, f"{SQL} SELECT {EXPORT} FROM jobs WHERE status = 'SUCCESS'")
 
 
+def from_csv(s, d) -> DataFrame:
+    path = f"{shared_folder(s)}/docfields/csv-{d.rsplit('/', 1)[-1]}"
+    quoted = F.when(F.col("last_error").isNotNull(), F.concat(F.lit(' "say", '), "last_error", F.lit("\n ")))
+    exports.write_csv(jobs(s, d).withColumn("last_error", quoted), path)
+    return exports.read_csv(s, path)
+
+
+QUERIES.add("csv_export", "S5", from_csv,
+            f"""{SQL} SELECT {EXPORT.replace("last_error", "' \"say\", ' || last_error || chr(10) || ' ' AS last_error")} FROM jobs""")
+
+
+def written_summary(s, d) -> DataFrame:
+    path = f"{shared_folder(s)}/docfields/summary-{d.rsplit('/', 1)[-1]}"
+    exports.write_summary(jobs(s, d), F.col("has_ocr_snapshot"), path)
+    return s.read.schema("receipt_count long, success long, failed_or_incomplete long").json(path)
+
+
+QUERIES.add("summary_file", "S10", written_summary,
+            f"""{SQL} SELECT count(*) AS receipt_count, count(*) FILTER (status = 'SUCCESS') AS success,
+            count(*) FILTER (status <> 'SUCCESS') AS failed_or_incomplete FROM jobs""")
+
+
+def listed_images(s, d) -> DataFrame:
+    """Pages written one to a file under image names, listed back; other files beside them are left out."""
+    path = f"{shared_folder(s)}/docfields/images-{d.rsplit('/', 1)[-1]}"
+    pages = fixtures.table(s, d, "pages").select("page_id", "url")
+    for rest, (mode, suffix) in enumerate((("overwrite", "jpg"), ("append", "png"), ("append", "csv"))):
+        part = pages.filter(F.col("page_id") % 3 == rest)
+        part.write.mode(mode).option("maxRecordsPerFile", 1).option("extension", suffix).csv(path)
+    suffix = F.substring_index("path", ".", -1)
+    return images.image_files(s, path).groupBy(suffix.alias("suffix")).agg(F.count(F.lit(1)).alias("files"))
+
+
+QUERIES.add("image_listing", "S1 O3", listed_images,
+            """SELECT CASE page_id % 3 WHEN 0 THEN 'jpg' ELSE 'png' END AS suffix, count(*) AS files FROM pages
+            WHERE page_id % 3 < 2 GROUP BY 1""")
+
+
 def mixed_case(s, d) -> DataFrame:
     status = F.when(key() % 3 == 0, F.lower(F.concat(F.lit(" "), "status"))).when(key() % 3 == 1, None).otherwise(F.col("status"))
     return exports.load_valid(jobs(s, d).withColumn("status", status)).select("job_id", "status")

@@ -25,11 +25,19 @@ def read_bucket(spark: SparkSession, path: str, bucket: str) -> DataFrame:
     return spark.read.schema(f"{EXPORT_ROW}, bucket string").json(path).filter(F.col("bucket") == bucket).drop("bucket")
 
 
+# Quotes are doubled and blanks kept, as spreadsheet programs expect and as they were.
+CSV = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def write_csv(jobs: DataFrame, path: str) -> None:
     """All rows, flat, with a header; without rows nothing is written."""
     rows = export_row(jobs)
     if not rows.isEmpty():
-        rows.write.mode("overwrite").option("header", True).csv(path)
+        rows.write.mode("overwrite").options(**CSV).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(EXPORT_ROW).options(**CSV, multiLine="true").csv(path)
 
 
 def load_valid(exported: DataFrame) -> DataFrame:
