@@ -47,7 +47,8 @@ def main() -> None:
     table = fixtures.jobs(spark, folder)
     today = F.lit("1998-01-01").cast("date")
     n_docs = fixtures.table(spark, folder, "orders").count()
-    drain(totals.extract_total(words))  # warm-up: code generation and file cache
+    # Warm-up: generated code, Python workers and file cache.
+    drain(validation.validate(routing.rule_payload(routing.extract_fields(words)), today))
 
     timed("receipt_totals", lambda: drain(totals.extract_total(words)))
     timed("receipt_dates", lambda: drain(dates.extract_date(words)))

@@ -2,11 +2,11 @@
 
 import glob
 import json
+import time
 
 from pyspark.sql import functions as F
 
 from docfields import fixtures
-from docfields.catalog import jobs as cases
 from docfields.operators import delivery
 from docfields.operators.routing import extract_fields, route
 from docfields.sources import exports, images
@@ -122,10 +122,27 @@ def test_tracker_remembers_failures_between_batches(spark, tmp_path):
     assert run(2) == {"a": ("NEEDS_REVIEW", 2, "strict_json")}
 
 
+def test_scheduled_retries_fall_due(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = "job_id string, seq long, stage string, ok boolean, error string, strategy string"
+    spark.createDataFrame([("a", 1, "llm", False, "e", "strict_json")], schema).coalesce(1).write.parquet(source)
+    tracked = processors.track_jobs(spark.readStream.schema(schema).parquet(source), 2, base_ms=500, cap_ms=500)
+    writer = tracked.writeStream.outputMode("update").option("checkpointLocation", state)
+    query = writer.foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{out}/run={i}")).trigger(processingTime="1 second").start()
+    try:
+        deadline, events = time.time() + 60, []
+        while "due" not in [e[0] for e in events] and time.time() < deadline:
+            time.sleep(2)
+            if glob.glob(f"{out}/run=*/_SUCCESS"):
+                events = [(r.event, r.status, r.strategy) for r in spark.read.parquet(f"{out}/run=*").collect()]
+    finally:
+        query.stop()
+    assert sorted(events) == [("due", "LLM_PENDING", "ocr_retry"), ("outcome", "RETRY_SCHEDULED", "ocr_retry")]
+
+
 def test_form_rows_of_the_published_shape(spark):
     rows = spark.createDataFrame(
         [("1", " SWC ENTERPRISE SDN BHD ", "2018-03-23", 41.2), ("2", None, None, None), ("3", "X", "soon", 193.0)],
         "job_id string, vendor string, date string, total double")
     assert [tuple(r)[1:] for r in delivery.form_rows(rows).orderBy("job_id").collect()] == [
         ("SWC ENTERPRISE SDN BHD", "2018-03-23", "41.2"), ("", "", ""), ("X", "soon", "193.0")]
-    assert cases.BUCKET
