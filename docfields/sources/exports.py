@@ -47,7 +47,10 @@ def load_valid(exported: DataFrame) -> DataFrame:
 
 
 def read_export_document(spark: SparkSession, path: str) -> DataFrame:
-    """S7 from a single nested export document: its ``valid_invoices`` list."""
+    """S7 from a single nested export document: its ``valid_invoices`` list.
+
+    One document is one task by its nature; a large export is read from its bucket folders (:func:`read_bucket`).
+    """
     document = spark.read.option("multiLine", True).schema(f"valid_invoices array<struct<{_fields()}>>").json(path)
     return load_valid(document.select(F.explode("valid_invoices").alias("r")).select("r.*"))
 

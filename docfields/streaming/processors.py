@@ -16,7 +16,8 @@ from pyspark.sql.streaming import StatefulProcessor
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 TRACKED = (
-    "job_id string, event string, status string, failures int, strategy string, due_ms long, error string"
+    "job_id string, event string, status string, failures int, strategy string, due_ms long, error string, "
+    "history string"
 )
 CIRCUIT = "key string, event_id long, at double, allowed boolean, open_until double"
 
@@ -33,8 +34,8 @@ def following_strategy(stage: str, previous: str | None) -> str:
 class JobTracker(StatefulProcessor):
     """Failures of one job: counts them, picks the next strategy, arms a timer for the retry and closes the job.
 
-    State is a counter, a flag and the strategy per job, plus its short history; finished jobs drop everything but
-    the final status.
+    State is a counter, a flag and the strategy per job, plus its short history, which goes out with a job sent to
+    review; finished jobs keep the final status only.
     """
 
     def __init__(self, max_failures: int, delay_ms: Callable[[int], int]):
@@ -63,12 +64,17 @@ class JobTracker(StatefulProcessor):
                     status, strategy = "RETRY_SCHEDULED", following_strategy(row.stage, row.strategy)
                     due = timerValues.getCurrentProcessingTimeInMs() + self.delay_ms(failures - 1)
                     self.handle.registerTimer(due)
-            out.append((key[0], "outcome", status, failures, strategy, due, error))
+            history = self._told() if status == "NEEDS_REVIEW" else None
+            out.append((key[0], "outcome", status, failures, strategy, due, error, history))
         self.current.update((failures, strategy, status))
         if status in ("SUCCESS", "NEEDS_REVIEW") and self.history.exists():
             self.history.clear()
         yield _tracked(out)
 
+    def _told(self) -> str:
+        """The failures so far, for the reviewer; never more than ``max_failures`` of them."""
+        return ";".join(":".join(part or "" for part in entry) for entry in self.history.get())
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         failures, strategy, status = self.current.get() or (0, None, "OPEN")
         if status != "RETRY_SCHEDULED":
@@ -76,14 +82,14 @@ class JobTracker(StatefulProcessor):
             return
         self.current.update((failures, strategy, "LLM_PENDING"))
         due = expiredTimerInfo.getExpiryTimeInMs()
-        yield _tracked([(key[0], "due", "LLM_PENDING", failures, strategy, due, None)])
+        yield _tracked([(key[0], "due", "LLM_PENDING", failures, strategy, due, None, None)])
 
     def close(self) -> None:
         pass
 
 
 def _tracked(rows: list[tuple]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=["job_id", "event", "status", "failures", "strategy", "due_ms", "error"])
+    frame = pd.DataFrame(rows, columns=["job_id", "event", "status", "failures", "strategy", "due_ms", "error", "history"])
     return frame.astype({"failures": "int32", "due_ms": "Int64"})
 
 

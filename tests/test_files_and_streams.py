@@ -120,6 +120,7 @@ def test_tracker_remembers_failures_between_batches(spark, tmp_path):
     assert run(1) == {"a": ("RETRY_SCHEDULED", 1, "strict_json"), "b": ("SUCCESS", 0, None)}
     arrive(("a", 2, "validation", False, "e", "strict_json"), ("b", 2, "llm", False, "late", None))
     assert run(2) == {"a": ("NEEDS_REVIEW", 2, "strict_json")}
+    assert [r.history for r in spark.read.parquet(f"{out}/run=2").collect()] == ["llm:e:;validation:e:strict_json"]
 
 
 def test_scheduled_retries_fall_due(spark, tmp_path):
