@@ -25,7 +25,7 @@ def create(uri: str):
     """An output stream to a new file; its folder is made if the store has folders."""
     store, path = fs.FileSystem.from_uri(uri)
     store.create_dir(path.rpartition("/")[0], recursive=True)
-    return store.open_output_stream(path)
+    return store.open_output_stream(path, compression=None)
 
 
 def opened(uri: str):

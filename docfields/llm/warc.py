@@ -132,9 +132,9 @@ class Range:
             found = data.find(MAGIC)
             if found >= 0:
                 return at + found if at + found < self.end else -1
-            if at + len(data) >= self.size:
-                return -1
-            at += len(data) - len(MAGIC) + 1
+            if len(data) < READ:
+                return -1  # the end of the file, wherever it was said to be
+            at += READ - len(MAGIC) + 1
         return -1
 
     def _member(self, at: int) -> tuple[bytes, int] | None:
