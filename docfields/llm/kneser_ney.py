@@ -137,7 +137,8 @@ class Mapped:
         for r in np.flatnonzero(np.diff(cut)):
             at = ids[cut[r] : cut[r + 1]] - stat_range(int(r), self.m)[0]
             for o, name in zip(out, names, strict=True):
-                o[cut[r] : cut[r + 1]] = self.stats[r][name][at]
+                if len(self.stats[r][name]):  # else nothing was counted there
+                    o[cut[r] : cut[r + 1]] = self.stats[r][name][at]
         return out
 
     def pair_counts(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
