@@ -21,8 +21,8 @@ def normalised(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
 
 
-#: Columns of ``placed``; a table that has columns of these names cannot be told apart from them.
-PLACE = ("__file", "__at")
+#: Columns of ``placed``. A table with both is taken to come from there.
+PLACE = ("__place_file", "__place_at")
 
 
 def placed(rows: DataFrame, columns: dict[str, Column] | None = None) -> DataFrame:
@@ -30,9 +30,9 @@ def placed(rows: DataFrame, columns: dict[str, Column] | None = None) -> DataFra
 
     The place of a row in its Parquet file where the frame is a plain reading of files; else the frame is written once.
     """
-    if set(PLACE) <= set(rows.columns):
-        return rows.select("*" if columns is None else [v.alias(k) for k, v in columns.items()], *PLACE)
     wanted = ["*"] if columns is None else [v.alias(k) for k, v in columns.items()]
+    if set(PLACE) <= set(rows.columns):
+        return rows if columns is None else rows.select(*wanted, *PLACE)
     try:
         where = rows.metadataColumn("_metadata")
         return rows.select(*wanted, F.xxhash64(where["file_path"]).alias(PLACE[0]), where["row_index"].alias(PLACE[1]))

@@ -62,6 +62,13 @@ GROUP_OF = {tag: BIT[f"tag_{g}"] for g, tags in TAG_GROUPS.items() for tag in ta
 NAME_BITS = {word: sum(BIT[g] for g, words in NAME_GROUPS.items() if word in words) for word in frozenset().union(*NAME_GROUPS.values())}
 
 
+BEGINS = BIT["tag_article"] | BIT["tag_box"]
+
+
+def begins(bits: int) -> int:
+    return int(bits & BEGINS > 0)
+
+
 class Tree:
     """Block elements in page order: ``parent``, ``tag``, attribute ``names`` and ``bits``; ``runs`` of text with their node."""
 
@@ -232,26 +239,30 @@ class Tree:
 
 @dataclass(frozen=True)
 class TreeModel:
-    """Log-odds of each feature, the share of content nodes, and a child's chance to be content if its parent is not, or is."""
+    """Log-odds of each feature, the share of content nodes, and a child's chance to be content if its parent is not, or is.
+
+    That chance differs between the elements in which content may begin (``BEGINS``, the second pair) and others.
+    """
 
     weights: tuple[float, ...]
     share: float
-    below: tuple[float, float]
+    below: tuple[tuple[float, float], tuple[float, float]]
 
     def marginals(self, tree: Tree) -> list[float]:
         """Log-odds of each node to be content: messages up the tree, then down."""
         base = math.log(self.share / (1 - self.share))
-        up = [sum(w for i, w in enumerate(self.weights) if bits >> i & 1) - base for bits in tree.features()]
-        off, on = self.below
+        found = tree.features()
+        up = [sum(w for i, w in enumerate(self.weights) if bits >> i & 1) - base for bits in found]
+        below = [self.below[begins(bits)] for bits in found]
         message = [0.0] * len(up)
         for i in range(len(up) - 1, 0, -1):
-            odds = math.exp(max(-40.0, min(40.0, up[i])))
+            odds, (off, on) = math.exp(max(-40.0, min(40.0, up[i]))), below[i]
             message[i] = math.log(((1 - on) + on * odds) / ((1 - off) + off * odds))
             up[tree.parent[i]] += message[i]
         out = up[:]
         out[0] += base
         for i in range(1, len(out)):
-            odds = math.exp(max(-40.0, min(40.0, out[tree.parent[i]] - message[i])))
+            odds, (off, on) = math.exp(max(-40.0, min(40.0, out[tree.parent[i]] - message[i]))), below[i]
             out[i] = up[i] + math.log((off + on * odds) / ((1 - off) + (1 - on) * odds))
         return out
 
@@ -262,8 +273,9 @@ class TreeModel:
         return "\n\n".join(text for node, text in tree.runs if odds[node] > 0)
 
 
-#: Pages that a model is fitted to at most.
-SAMPLE_PAGES = 2_000
+#: Pages that a model is fitted to at most, and how many nodes they weigh against the prior: pages of one make repeat
+#: themselves, and signs that they lack must keep their say.
+SAMPLE_PAGES, SAMPLE_WEIGHT = 2_000, 150.0
 
 
 def fit(pages: DataFrame, page: str = "html", key: str = "page_id", sample: int = SAMPLE_PAGES) -> TreeModel:
@@ -284,31 +296,34 @@ def fit(pages: DataFrame, page: str = "html", key: str = "page_id", sample: int
                     continue
                 for i, b in enumerate(tree.features()):
                     for hide in (0, LABEL_TAGS):
-                        bits.append(b & ~hide)
+                        bits.append(b & ~hide | (BIT["tag_box"] if b & hide else 0))
                         label.append(labels[i])
                         above.append(labels[tree.parent[i]] if i else -1)
             yield pa.RecordBatch.from_arrays([pa.array(bits, pa.int64()), pa.array(label, pa.int32()), pa.array(above, pa.int32())], names=["bits", "label", "above"])
 
     counts = chosen.mapInArrow(run, "bits long, label int, above int").groupBy("bits", "label", "above").count().collect()
     rows = [(r["bits"], r["label"], r["above"], r["count"]) for r in sorted(counts)]
-    agree = np.array([[50.0, 1.0], [5.0, 25.0]])  # pseudo-counts: children by parent
-    for _, label, above, n in rows:
+    # What the prior holds: children by kind, parent's label and own label.
+    agree = np.array([[[600.0, 3.0], [15.0, 400.0]], [[200.0, 20.0], [20.0, 100.0]]])
+    scale = SAMPLE_WEIGHT / max(SAMPLE_WEIGHT, sum(n for *_, n in rows))
+    for bits, label, above, n in rows:
         if above >= 0:
-            agree[above, label] += n
-    below = agree[:, 1] / agree.sum(axis=1)
-    content, total = 1.0 + sum(n for _, y, _, n in rows if y), 2.0 + sum(n for *_, n in rows)
+            agree[begins(bits), above, label] += n * scale
+    below = agree[:, :, 1] / agree.sum(axis=2)
+    content = 100.0 + scale * sum(n for _, y, _, n in rows if y)
+    total = 250.0 + scale * sum(n for *_, n in rows)
     prior = np.array([PRIOR.get(f, 0.0) for f in FEATURES])
     weights = prior.copy()
     if rows:
         x = np.array([[b >> i & 1 for i in range(len(FEATURES))] for b, *_ in rows], dtype=float)
-        y, n = np.array([r[1] for r in rows], dtype=float), np.array([r[3] for r in rows], dtype=float)
+        y, n = np.array([r[1] for r in rows], dtype=float), np.array([r[3] * scale for r in rows])
         for _ in range(25):  # Newton steps; a normal prior around PRIOR
             p = 1 / (1 + np.exp(-np.clip(x @ weights, -40, 40)))
             step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + np.eye(len(weights)), x.T @ (n * (y - p)) - (weights - prior))
             weights = weights + step
             if abs(step).max() < 1e-8:
                 break
-    return TreeModel(tuple(float(w) for w in weights), float(content / total), (float(below[0]), float(below[1])))
+    return TreeModel(tuple(float(w) for w in weights), float(content / total), tuple(map(tuple, below.tolist())))
 
 
 def extract(pages: DataFrame, model: TreeModel, page: str = "html", text: str = "text", keep: list[str] | None = None) -> DataFrame:
