@@ -231,7 +231,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     signed = materialise(rows.mapInArrow(
         _sign, f"_key {docs.schema[key].dataType.simpleString()}, {PLACE[0]} long, {PLACE[1]} long, digest binary, n long, bands array<long>, short binary"), "signatures")
     # Equal texts are one class from the start, stood for by its first row.
-    here = F.struct(F.col("_key").isNull().alias("no_key"), F.col("_key").alias("key"), *[F.col(c).alias(c[2:]) for c in PLACE])
+    here = F.struct(F.col("_key").isNull().alias("no_key"), F.col("_key").alias("key"), F.col(PLACE[0]).alias("file"), F.col(PLACE[1]).alias("at"))
     first = signed.groupBy("digest").agg(F.min(here).alias("first"))
     first = materialise(first.withColumn("id", F.monotonically_increasing_id()), "texts")
     of_first = [F.col("first.file").alias(PLACE[0]), F.col("first.at").alias(PLACE[1])]

@@ -61,7 +61,7 @@ def write(pages: DataFrame, key: str = "page_id", uri: str = "url", payload: str
     spark = pages.sparkSession
     folder = folder or new_folder(spark, "warc")
     rows = placed(pages, {"_key": F.col(key).cast("long"), "_uri": F.col(uri), "_payload": F.coalesce(F.col(payload), F.lit(""))})
-    here = F.struct(F.col("_key").isNull().alias("no_key"), F.col("_key").alias("key"), *[F.col(c).alias(c[2:]) for c in PLACE])
+    here = F.struct(F.col("_key").isNull().alias("no_key"), F.col("_key").alias("key"), F.col(PLACE[0]).alias("file"), F.col(PLACE[1]).alias("at"))
     data = F.col("_payload").cast("binary")
     marks = materialise(rows.select(F.sha1(data).alias("sha1"), F.length(data).alias("size"), "_key", *PLACE), "payloads").where(F.col("size") >= least)
     first = marks.groupBy("sha1", "size").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
