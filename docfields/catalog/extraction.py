@@ -13,7 +13,7 @@ from docfields.functions.scores import parse_amount, score_label
 from docfields.functions.text import clean_line
 from docfields.operators import dates, routing, totals, validation, vendors
 from docfields.operators import words as W
-from docfields.sources.words import collect_snapshot, explode_snapshot
+from docfields.sources.words import collect_snapshot, explode_snapshot, snapshot_entries
 
 QUERIES = Catalog()
 TODAY = "1998-01-01"
@@ -65,7 +65,7 @@ QUERIES.add("box_forms", "F12", box_forms,
             f"WITH {S.WORDS} SELECT doc_id, word_id, {S.box()}, x + w / 2e0 AS cx, y + h / 2e0 AS cy FROM words")
 QUERIES.add(
     "snapshot_round_trip", "S3",
-    lambda s, d: explode_snapshot(collect_snapshot(words(s, d), page_words=1000)).drop("page", "at"),
+    lambda s, d: snapshot_entries(collect_snapshot(words(s, d), page_words=1000)).drop("page", "at"),
     f"WITH {S.WORDS} SELECT doc_id, conf / 100e0 AS conf, text, x, y, w, h FROM words WHERE trim(text) <> ''",
 )
 
@@ -124,6 +124,11 @@ QUERIES.add(
     lambda s, d: dates.extract_date(words(s, d)).select("doc_id", "date", "date_conf", *flat("date_bbox")),
     f"WITH {S.WORDS}, {S.DATES} SELECT doc_id, date, date_conf, x, y, w, h FROM dates",
 )
+QUERIES.add(
+    "snapshot_dates", "S3 C2",
+    lambda s, d: dates.extract_date(explode_snapshot(collect_snapshot(words(s, d)))).select("doc_id", "date", "date_conf", *flat("date_bbox")),
+    f"WITH {S.WORDS}, {S.DATES} SELECT doc_id, date, date_conf, x, y, w, h FROM dates",
+)
 
 QUERIES.add("page_lines", "W2", lambda s, d: W.group_lines(vendors.header_words(words(s, d))).select("doc_id", "word_id", "line_ix"),
             f"WITH {S.WORDS}, {S.VENDORS} SELECT doc_id, word_id, line_ix FROM in_lines")

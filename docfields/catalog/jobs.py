@@ -275,7 +275,7 @@ QUERIES.add("due_retries", "O2",
 def advanced(s, d) -> DataFrame:
     """One round of outcomes over all jobs: a seventh passes, the rest fail in one of the stages."""
     k = key()
-    base = job_rows(s, d).withColumns({"failure_class": F.lit(None).cast("string"), "attempt_strategy": F.lit("default")})
+    base = job_rows(s, d).withColumns({"failure_class": F.lit(None).cast("string"), "attempt_strategy": F.when(k % 5 == 0, "strict_json").when(k % 5 == 1, "after_validation_fail").otherwise("default")})
     stage = F.when(k % 3 == 0, "ocr").when(k % 3 == 1, "llm").otherwise("validation")
     outcomes = jobs(s, d).filter(k % 11 != 0).select(
         "job_id", stage.alias("stage"), (k % 7 == 0).alias("ok"),
@@ -291,7 +291,8 @@ def advanced(s, d) -> DataFrame:
 QUERIES.add("advanced_jobs", "C7 F23 F24 F25", advanced, f"""{SQL}, f AS (
   SELECT *, CASE k % 3 WHEN 0 THEN 'ocr' WHEN 1 THEN 'llm' ELSE 'validation' END AS stage,
     CASE WHEN k % 3 = 0 THEN 'unreadable' WHEN k % 6 = 1 THEN 'empty_parse' WHEN k % 3 = 1 THEN 'timeout' ELSE 'date_missing' END AS error,
-    CASE WHEN k % 2 = 0 THEN 'strict_json' END AS tried, k % 11 <> 0 AND status <> 'SUCCESS' AS live FROM jobs),
+    CASE WHEN k % 2 = 0 THEN 'strict_json' END AS tried,
+    CASE k % 5 WHEN 0 THEN 'strict_json' WHEN 1 THEN 'after_validation_fail' ELSE 'default' END AS kept, k % 11 <> 0 AND status <> 'SUCCESS' AS live FROM jobs),
   g AS (SELECT *, live AND k % 7 = 0 AS pass, live AND k % 7 <> 0 AS fail, retry_count + CASE WHEN live AND k % 7 <> 0 THEN 1 ELSE 0 END AS n FROM f)
   SELECT job_id, CASE WHEN pass THEN 'V' ELSE vendor END AS vendor, CASE WHEN pass THEN '1999-01-01' ELSE invoice_date END AS invoice_date,
     CASE WHEN pass THEN 9.5e0 ELSE total_amount END AS total_amount, CASE WHEN pass THEN 0.85e0 ELSE confidence END AS confidence,
@@ -304,8 +305,8 @@ QUERIES.add("advanced_jobs", "C7 F23 F24 F25", advanced, f"""{SQL}, f AS (
          WHEN fail THEN CASE WHEN stage = 'validation' THEN 'validation:' || error WHEN error = 'empty_parse' THEN last_error ELSE error END
          ELSE last_error END AS last_error,
     CASE WHEN fail AND (n >= 2 OR stage = 'validation') THEN stage END AS failure_class,
-    CASE WHEN live THEN coalesce(tried, 'default') ELSE 'default' END AS attempt_strategy,
-    CASE WHEN fail AND n < 2 AND stage <> 'ocr' THEN {next_tried("stage", "tried")} END AS next_strategy,
+    CASE WHEN live THEN coalesce(tried, kept) ELSE kept END AS attempt_strategy,
+    CASE WHEN fail AND n < 2 AND stage <> 'ocr' THEN {next_tried("stage", "CASE stage WHEN 'validation' THEN coalesce(tried, kept) ELSE tried END")} END AS next_strategy,
     CASE WHEN fail AND n < 2 THEN true END AS due_at FROM g""")
 
 # Reports and delivery

@@ -26,12 +26,12 @@ def parsed(s, d) -> DataFrame:
 def batched(s, d) -> DataFrame:
     """Requests in calls of three, in the order of their number."""
     numbered = requests(s, d).withColumn("k", F.col("job_id").cast("long"))
-    return R.assign_batches(numbered, 3, ("k",), F.col("k") % 8)
+    return R.assign_batches(numbered, 3, ("k",))
 
 
 BATCHED = f"""WITH {S.RESPONSES}, batched AS (
-  SELECT *, CAST((row_number() OVER (PARTITION BY k % 8 ORDER BY k) - 1) % 3 AS int) AS slot,
-         concat_ws('-', k % 8, (row_number() OVER (PARTITION BY k % 8 ORDER BY k) - 1) // 3) AS batch FROM requests)"""
+  SELECT *, CAST((row_number() OVER (ORDER BY k) - 1) % 3 AS int) AS slot,
+         concat_ws('-', 0, (row_number() OVER (ORDER BY k) - 1) // 3) AS batch FROM requests)"""
 RANKED = """CASE max(CASE strategy WHEN 'ocr_retry' THEN 3 WHEN 'after_validation_fail' THEN 2 WHEN 'strict_json' THEN 1 ELSE 0 END)
   WHEN 3 THEN 'ocr_retry' WHEN 2 THEN 'after_validation_fail' WHEN 1 THEN 'strict_json' ELSE 'default' END"""
 
@@ -40,6 +40,23 @@ QUERIES.add("request_batches", "W5 T2", lambda s, d: batched(s, d).select("job_i
             f"{BATCHED} SELECT job_id, batch, slot FROM batched")
 
 
+def bucketed(s, d) -> DataFrame:
+    numbered = requests(s, d).withColumn("k", F.col("job_id").cast("long"))
+    return R.assign_batches(numbered, 3, ("k",), F.col("k") % 8).select("job_id", "batch", "slot")
+
+
+QUERIES.add(
+    "request_batches_by_bucket", "W5", bucketed,
+    f"""WITH {S.RESPONSES} SELECT job_id, CAST((row_number() OVER (PARTITION BY k % 8 ORDER BY k) - 1) % 3 AS int) AS slot,
+         concat_ws('-', k % 8, (row_number() OVER (PARTITION BY k % 8 ORDER BY k) - 1) // 3) AS batch FROM requests""",
+)
+QUERIES.add(
+    "request_batch_sizes", "W5",
+    lambda s, d: R.assign_batches(requests(s, d)).groupBy("batch").agg(F.count(F.lit(1)).alias("n")).groupBy("n").agg(F.count(F.lit(1)).alias("batches")),
+    """SELECT n, count(*) AS batches FROM (SELECT count(*) AS n FROM (SELECT row_number() OVER () - 1 AS r FROM orders) GROUP BY r // 3) GROUP BY n""",
+)
+
+
 def strict_order(s, d) -> DataFrame:
     numbered = requests(s, d).withColumn("k", F.col("job_id").cast("long"))
     rows = R.assign_batches(numbered, 3, ("arrival", "k"), F.lit(0), hot_rows=1000)

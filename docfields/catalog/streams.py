@@ -62,7 +62,7 @@ QUERIES.add("streamed_validation", "T1", lambda s, d: extracted(s, d, "validated
 
 
 def stream_batches(s, d) -> DataFrame:
-    """Batch sizes of streamed requests: every request once, never more than three together."""
+    """How many batches of each size streamed requests make; all of them arrive in one trigger."""
     path = _landed(fixtures.requests(s, d), "requests")
     sink, state = _folder(s, "sink"), _folder(s, "state")
     source = s.readStream.schema(fixtures.requests(s, d).schema).parquet(path)
@@ -70,18 +70,19 @@ def stream_batches(s, d) -> DataFrame:
     # The folder of a micro-batch is only its place; ``batch`` in the rows is the model call.
     out = s.read.parquet(f"{sink}/batch=*").withColumn("at", F.input_file_name())
     sizes = out.groupBy(F.regexp_extract("at", r"/batch=(\d+)/", 1), "batch").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.sum("n").alias("requests"), F.max("n").alias("largest"))
+    return sizes.groupBy("n").agg(F.count(F.lit(1)).alias("batches"))
 
 
-QUERIES.add("streamed_batches", "T2", stream_batches, "SELECT count(*) AS requests, 3 AS largest FROM orders")
+QUERIES.add("streamed_batches", "T2", stream_batches, """SELECT n, count(*) AS batches
+    FROM (SELECT count(*) AS n FROM (SELECT row_number() OVER () - 1 AS r FROM orders) GROUP BY r // 3) GROUP BY n""")
 
 
 def deduplicated(s, d) -> DataFrame:
-    """Job keys arriving in several files, every one let through once."""
-    jobs = fixtures.attempts(s, d).select("job_id")
+    """Job keys arriving in several files and batches, every one let through once while it is remembered."""
+    jobs = fixtures.attempts(s, d).select("job_id", F.lit("2024-01-01").cast("timestamp").alias("arrived"))
     path = _landed(jobs.repartition(4), "arrivals")
-    source = s.readStream.schema("job_id string").option("maxFilesPerTrigger", 1).parquet(path)
-    return _collected(s, stages.dedupe_ingest(source), "append").select("job_id")
+    source = s.readStream.schema("job_id string, arrived timestamp").option("maxFilesPerTrigger", 1).parquet(path)
+    return _collected(s, stages.dedupe_ingest(source, ("arrived", "1 hour")), "append").select("job_id")
 
 
 QUERIES.add("streamed_ingest", "T4", deduplicated,

@@ -110,11 +110,21 @@ QUERIES.add(
     f"""WITH {S.WORDS}, m AS (SELECT doc_id, word_id, trim(replace(replace(replace(text, ',', ''), 'RM', ''), '$', '')) AS t FROM words)
     SELECT doc_id, word_id, CASE WHEN regexp_full_match(t, '[+-]?[0-9]+(\\.[0-9]*)?') THEN TRY_CAST(t AS double) END AS amount FROM m""",
 )
+def totals_of_all_sizes():
+    """Totals with up to three decimals, very large and very small ones, and none."""
+    k, total = F.col("o_orderkey"), F.col("o_totalprice").cast("double")
+    return (F.when(k % 5 == 0, F.round(total / 8, 3)).when(k % 5 == 1, F.round(total, 0) * 1e15).when(k % 5 == 2, F.round(total, 0) / 1e10)
+            .when(k % 5 == 3, total).when(k % 2 == 0, F.lit(0.0)))
+
+
+TOTALS_OF_ALL_SIZES = """CASE WHEN o_orderkey % 5 = 0 THEN round(o_totalprice / 8e0, 3) WHEN o_orderkey % 5 = 1 THEN round(o_totalprice::DOUBLE, 0) * 1e15
+    WHEN o_orderkey % 5 = 2 THEN round(o_totalprice::DOUBLE, 0) / 1e10 WHEN o_orderkey % 5 = 3 THEN o_totalprice::DOUBLE
+    WHEN o_orderkey % 2 = 0 THEN 0e0 END"""
 QUERIES.add(
     "number_texts", "F16",
     lambda s, d: fixtures.table(s, d, "orders").select(
-        "o_orderkey", X.num_text(F.round(F.col("o_totalprice") * (F.col("o_orderkey") % 3), 1)).alias("text")),
-    """SELECT o_orderkey, CAST(CAST(round(o_totalprice * (o_orderkey % 3), 1) AS decimal(18,1)) AS string) AS text FROM orders""",
+        "o_orderkey", X.num_text(totals_of_all_sizes()).alias("text")),
+    f"""SELECT o_orderkey, CAST({TOTALS_OF_ALL_SIZES} AS string) AS text FROM orders""",
 )
 QUERIES.add(
     "json_spans", "F18",

@@ -14,6 +14,8 @@ DATE_PATTERNS = (
     r"\b\d{1,2}\s+[A-Za-z]{3,9}\s+\d{2,4}\b",
     r"\b[A-Za-z]{3,9}\s+\d{1,2},?\s+\d{2,4}\b",
 )
+# Word borders by Unicode letters, whatever the Java release takes for a word.
+UNICODE = "(?U)"
 ISO = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}$"
 
 
@@ -50,12 +52,12 @@ def existing_date(iso: Column) -> Column:
 
 def date_matches(c: Column) -> Column:
     """every dated-looking piece of the text, pattern by pattern."""
-    return F.concat(*[F.regexp_extract_all(c, F.lit(p), F.lit(0)) for p in DATE_PATTERNS])
+    return F.concat(*[F.regexp_extract_all(c, F.lit(UNICODE + p), F.lit(0)) for p in DATE_PATTERNS])
 
 
 def first_date_match(c: Column) -> Column:
     """The first element of :func:`date_matches` without building the array; null when there is none."""
-    return F.coalesce(*[_group(c, p, 0) for p in DATE_PATTERNS])
+    return F.coalesce(*[_group(c, UNICODE + p, 0) for p in DATE_PATTERNS])
 
 
 def normalize_date(c: Column) -> Column:

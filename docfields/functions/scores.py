@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,10 +38,14 @@ LABEL_STEMS = ("total", "payable", "due")
 LABEL_SPAN = 3
 
 
+# Digits of other scripts that receipts print: full-width, Arabic-Indic, Persian.
+WIDE_DIGITS = "".join(chr(zero + i) for zero in (0xFF10, 0x0660, 0x06F0) for i in range(10))
+
+
 def parse_amount(c: Column) -> Column:
     """the amount a word stands for, null when it is none or below 1."""
     t = F.regexp_replace(strip(F.lower(c)), "^rm", "")
-    t = F.regexp_replace(F.translate(t, "o,", "0."), "[^0-9.]", "")
+    t = F.regexp_replace(F.translate(t, "o," + WIDE_DIGITS, "0." + 3 * string.digits), "[^0-9.]", "")
     # At least 1 means a digit other than 0 before the point, so one pattern decides both form and size.
     return F.regexp_extract(t, r"^0*[1-9][0-9]*(\.[0-9]{1,2})?$", 0).try_cast("double")
 
@@ -84,7 +90,8 @@ def date_score(text: Column, y: Column, h: Column, conf: Column) -> Column:
     """keyword, height on the page and recognition confidence of a word holding a date."""
     lowered = F.lower(text)
     keywords = F.when(lowered.contains("date"), 50).otherwise(0) + F.when(lowered.contains("invoice"), 20).otherwise(0)
-    height = F.greatest(F.lit(0.0), F.lit(100.0) - (y + h / 2) * F.lit(0.5))
+    # A word without a box counts as the top of the page.
+    height = F.greatest(F.lit(0.0), F.lit(100.0) - F.coalesce(y + h / 2, F.lit(0.0)) * F.lit(0.5))
     return keywords + height + conf * F.lit(20.0)
 
 

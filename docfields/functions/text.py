@@ -122,8 +122,15 @@ def money(c: Column) -> Column:
 
 
 def num_text(c: Column) -> Column:
-    """F16: a total as the form expects it: plain digits, at least one decimal, no exponent."""
-    return F.regexp_replace(c.cast("decimal(18,2)").cast("string"), r"(\.[0-9])0$", "$1")
+    """F16: a total as the form expects it: the shortest text of the number, with at least one decimal; an exponent only
+    from 1e16 on and below 0.0001."""
+    number = c.cast("double")
+    tried = [F.format_string(f"%.{digits}e", number) for digits in (14, 15, 16)]
+    shortest = F.coalesce(*[F.when(t.try_cast("double") == number, t) for t in tried])
+    plain = F.regexp_replace(shortest.try_cast("decimal(38,20)").cast("string"), r"(\.[0-9]+?)0+$", "$1")
+    size = F.abs(number)
+    return F.when((size >= 1e-4) & (size < 1e16) | (size == 0), plain).otherwise(
+        F.replace(F.lower(F.regexp_replace(shortest, r"\.?0+e", "e")), F.lit("infinity"), F.lit("inf")))
 
 
 def json_span(c: Column) -> Column:
@@ -138,20 +145,26 @@ def truncate_json(c: Column, limit: int = 12000) -> Column:
     return F.when(F.length(c) > limit, short).otherwise(c)
 
 
+# What a quota error says (any of the marks, or both of the pair), where it names the seconds to wait,
+# what is added to them, and how long to wait if it names none.
+QUOTA_MARKS, QUOTA_PAIR = ("429", "resource exhausted", "rate limit"), ("quota", "exceed")
+RETRY_HINTS = (r"(?i)retry in ([0-9.]+)\s*s", r"seconds:\s*([0-9]+)")
+RETRY_MARGIN, RETRY_DEFAULT = 0.75, 62.0
+
+
 def is_rate_limit(c: Column) -> Column:
     """does an error text mean a quota was hit?"""
     s = F.lower(c)
-    return (
-        s.contains("429") | s.contains("resource exhausted") | s.contains("rate limit")
-        | (s.contains("quota") & s.contains("exceed"))
-    )
+    found = s.contains(QUOTA_PAIR[0]) & s.contains(QUOTA_PAIR[1])
+    for mark in QUOTA_MARKS:
+        found = found | s.contains(mark)
+    return found
 
 
-def retry_after(c: Column, margin: float = 0.75, default: float = 62.0) -> Column:
+def retry_after(c: Column, margin: float = RETRY_MARGIN, default: float = RETRY_DEFAULT) -> Column:
     """seconds to wait as told by the error text, else ``default``."""
-    hinted = F.nullif(F.regexp_extract(c, r"(?i)retry in ([0-9.]+)\s*s", 1), F.lit("")).try_cast("double")
-    counted = F.nullif(F.regexp_extract(c, r"seconds:\s*([0-9]+)", 1), F.lit("")).try_cast("double")
-    return F.coalesce(hinted + margin, counted + margin, F.lit(default))
+    told = [F.nullif(F.regexp_extract(c, p, 1), F.lit("")).try_cast("double") + margin for p in RETRY_HINTS]
+    return F.coalesce(*told, F.lit(default))
 
 
 def hidden_input(html: Column, name: str) -> Column:

@@ -26,11 +26,12 @@ def form_rows(valid: DataFrame, date_format: str = "iso") -> DataFrame:
 
 def deliver(
     rows: DataFrame, post: Callable[[dict], bool], max_retries: int = 3, base_delay: float = 1.0,
-    sleep: Callable[[float], None] = time.sleep,
+    sleep: Callable[[float], None] = time.sleep, pause: float = 0.2, parallel: int = 8,
 ) -> DataFrame:
     """Post every row, waiting twice as long after each failure; outcomes are written once.
 
-    A task that is re-run posts its rows again, so ``post`` should be idempotent on ``job_id``.
+    At most ``parallel`` tasks post, each with a ``pause`` after every row. A task that is re-run posts its rows again,
+    so ``post`` should be idempotent on ``job_id``.
     """
     names = rows.columns
 
@@ -44,14 +45,19 @@ def deliver(
             sleep(base_delay * 2 ** (n - 1))
         return False, max_retries
 
+    def paced(row: dict) -> tuple[bool, int]:
+        outcome = attempt(row)
+        sleep(pause)
+        return outcome
+
     def run(batches):
         for batch in batches:
-            done = [attempt(dict(zip(names, values))) for values in batch[names].itertuples(index=False, name=None)]
+            done = [paced(dict(zip(names, values))) for values in batch[names].itertuples(index=False, name=None)]
             yield pd.DataFrame({
                 "job_id": batch["job_id"], "ok": [ok for ok, _ in done], "attempts": [n for _, n in done],
             })
 
-    return materialise(rows.mapInPandas(run, "job_id string, ok boolean, attempts int"), "delivered")
+    return materialise(rows.repartition(parallel, "job_id").mapInPandas(run, "job_id string, ok boolean, attempts int"), "delivered")
 
 
 def delivery_report(outcomes: DataFrame) -> DataFrame:

@@ -208,7 +208,9 @@ def advance_jobs(jobs: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame
     retry_error = F.when(stage == "validation", F.concat(F.lit("validation:"), error)).when(
         error == "empty_parse", F.col("last_error")
     ).otherwise(error)
-    following = next_strategy(stage, F.col("o.strategy"))
+    # A validation failure goes by the strategy its values were obtained with, which the job remembers.
+    tried = F.col("o.strategy")
+    following = next_strategy(stage, F.when(stage == "validation", F.coalesce(tried, F.col("attempt_strategy"))).otherwise(tried))
     changed = {
         "status": F.when(passed, "SUCCESS").when(failed, outcome).otherwise(F.col("status")),
         "retry_count": failures.cast("int"),

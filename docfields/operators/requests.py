@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docfields.functions.retries import strategy_name, strategy_rank
-from docfields.functions.text import json_span, money, strip
-from docfields.operators.scans import HOT_ROWS, OrderedRows, scan_by_key
+from docfields.functions.text import QUOTA_MARKS, QUOTA_PAIR, RETRY_DEFAULT, RETRY_HINTS, RETRY_MARGIN, json_span, money, strip
+from docfields.operators.scans import HOT_ROWS, OrderedRows, chunked, scan_by_key
 from docfields.session import materialise
 
 BATCH_SIZE = 3
@@ -86,13 +86,14 @@ def assign_batches(
 ) -> DataFrame:
     """Up to ``size`` requests per call in ``order``, as columns ``batch`` and ``slot``.
 
-    Batches are cut inside hash buckets so that no order over the whole table is needed. One bucket (``F.lit(0)``)
-    keeps strict arrival order; it then counts as an oversized key and is scanned in chunks.
+    Every batch but the last is full, at every table size and with any number of partitions: requests are
+    range-partitioned by ``order``, numbered in their chunk, and moved on by what earlier chunks hold. With ``bucket``
+    the batches are cut inside each bucket instead.
     """
-    buckets = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4
-    spread = F.pmod(F.xxhash64("job_id"), F.lit(buckets)) if bucket is None else bucket
-    rows = requests.withColumn("bucket", spread)
-    return scan_by_key(rows, ["bucket"], list(order), lambda r: _number_batches(r, size), hot_rows).drop("bucket")
+    number = lambda rows: _number_batches(rows, size)
+    if bucket is None:
+        return number(chunked(requests.withColumn("bucket", F.lit(0)), ["bucket"], list(order))).drop("bucket")
+    return scan_by_key(requests.withColumn("bucket", bucket), ["bucket"], list(order), number, hot_rows).drop("bucket")
 
 
 def merge_strategy(requests: DataFrame, batch: str = "batch") -> DataFrame:
@@ -114,25 +115,43 @@ def batch_prompt(requests: DataFrame) -> DataFrame:
     return grouped.select("batch", "strategy", F.concat_ws("\n", F.lit(BATCH_HEAD), note, F.col("body")).alias("prompt"))
 
 
+TOLD = ("job_id", "vendor", "total", "date")
+
+
+def _told(v: Column) -> Column:
+    """The fields of one variant as texts."""
+    return F.struct(*[F.try_variant_get(v, f"$.{name}", "string").alias(name) for name in TOLD])
+
+
+def _told_again(text: Column) -> Column:
+    """The same of JSON text, for objects with a repeated key; null where it is no object."""
+    read = F.from_json(text, ", ".join(f"{name} string" for name in [*TOLD, "_bad"]), {"columnNameOfCorruptRecord": "_bad"})
+    return F.when(read.isNotNull() & read["_bad"].isNull(), F.struct(*[read[name].alias(name) for name in TOLD]))
+
+
 def parse_single(c: Column) -> Column:
     """``struct(vendor, total, date)`` from a single response, null without an object or with a bad total."""
-    v = F.try_parse_json(json_span(c))
-    field = lambda name: F.try_variant_get(v, f"$.{name}", "string")
-    total_text = field("total")
-    bad_total = (F.coalesce(total_text, F.lit("")) != "") & money(total_text).isNull()
-    parsed = F.struct(field("vendor").alias("vendor"), money(total_text).alias("total"), field("date").alias("date"))
-    return F.when(v.isNotNull() & ~bad_total, parsed)
+    span = json_span(c)
+    v = F.try_parse_json(span)
+    # An object that repeats a key is no variant; read by name, its last value counts.
+    told = F.coalesce(F.when(v.isNotNull(), _told(v)), _told_again(span))
+    bad_total = (F.coalesce(told["total"], F.lit("")) != "") & money(told["total"]).isNull()
+    parsed = F.struct(told["vendor"].alias("vendor"), money(told["total"]).alias("total"), told["date"].alias("date"))
+    return F.when(told.isNotNull() & ~bad_total, parsed)
 
 
 def parse_batch(responses: DataFrame, key: str = "batch") -> DataFrame:
     """rows of all batch responses. Elements that are no objects or name no job are skipped, a bad total
     becomes null, and the last of several rows for a job in one response wins (W6, folded before the shuffle)."""
-    items = F.try_variant_get(F.try_parse_json(json_span(F.col("response"))), "$.results", "array<variant>")
-    rows = responses.select(key, F.posexplode(items).alias("at", "v"))
-    field = lambda name: F.try_variant_get(F.col("v"), f"$.{name}", "string")
+    span = json_span(F.col("response"))
+    v = F.try_parse_json(span)
+    items = F.transform(F.try_variant_get(v, "$.results", "array<variant>"), _told)
+    # A key repeated anywhere keeps the text from being a variant; its elements are then read one by one.
+    again = F.transform(F.from_json(span, "results array<string>")["results"], _told_again)
+    rows = responses.select(key, F.posexplode(F.when(v.isNotNull(), items).otherwise(again)).alias("at", "v"))
     named = rows.select(
-        key, "at", field("job_id").alias("raw_id"), field("vendor").alias("vendor"), field("total").alias("total_text"),
-        field("date").alias("date"),
+        key, "at", F.col("v.job_id").alias("raw_id"), F.col("v.vendor").alias("vendor"), F.col("v.total").alias("total_text"),
+        F.col("v.date").alias("date"),
     ).filter(F.coalesce(F.col("raw_id"), F.lit("")) != "")
     last = F.max_by(F.struct("vendor", "total_text", "date"), F.col("at"))
     return named.groupBy(key, strip(F.col("raw_id")).alias("job_id")).agg(last.alias("r")).select(
@@ -167,24 +186,36 @@ def apply_single(requests: DataFrame, responses: DataFrame) -> DataFrame:
 def is_rate_limited(error: str) -> bool:
     """F26 for an exception inside a task."""
     s = error.lower()
-    return any(mark in s for mark in ("429", "resource exhausted", "rate limit")) or ("quota" in s and "exceed" in s)
+    return any(mark in s for mark in QUOTA_MARKS) or all(mark in s for mark in QUOTA_PAIR)
 
 
 def seconds_hinted(error: str) -> float:
     """F27 for an exception inside a task."""
-    hint = re.search(r"(?i)retry in ([0-9.]+)\s*s", error) or re.search(r"seconds:\s*(\d+)", error)
-    return float(hint.group(1)) + 0.75 if hint else 62.0
+    hint = next(filter(None, (re.search(p, error) for p in RETRY_HINTS)), None)
+    return float(hint.group(1)) + RETRY_MARGIN if hint else RETRY_DEFAULT
 
 
 def call_model(
-    prompts: DataFrame, call: Callable[[str], str], key: str = "batch", tries: int = 3,
-    sleep: Callable[[float], None] = time.sleep, parallel: int | None = None,
+    prompts: DataFrame, call: Callable[[str], str], key: str = "batch", tries: int = 12,
+    sleep: Callable[[float], None] = time.sleep, parallel: int | None = None, rpm: float | None = None,
 ) -> DataFrame:
     """One call per row, spread over ``parallel`` tasks; the answers are written once, so using them twice does
-    not call twice. A call that fails for good answers with the empty text, and a quota error waits as told first."""
+    not call twice. A call that fails for good answers with the empty text, and a quota error waits as told first.
+
+    ``rpm`` is the service's limit of calls a minute, retries too. Tasks cannot see each other, so each of ``parallel``
+    (1 if not given) keeps to its share of it.
+    """
+    if rpm is not None:
+        parallel = parallel or 1
+    pause = 60.0 * parallel / rpm if rpm else 0.0
 
     def ask(text: str) -> str:
         for left in range(tries - 1, -1, -1):
+            if pause:
+                now = time.monotonic()
+                if (early := allowed[0] - now) > 0:
+                    sleep(early)
+                allowed[0] = max(now, allowed[0]) + pause
             try:
                 return (call(text) or "").strip()
             except Exception as e:  # noqa: BLE001 - whatever the caller's client raises
@@ -193,6 +224,8 @@ def call_model(
                 sleep(seconds_hinted(str(e)))
         return ""
 
+    allowed = [0.0]
+
     def run(batches):
         for rows in batches:
             yield pd.DataFrame({key: rows[key], "response": [ask(text) for text in rows["prompt"]]})
@@ -205,7 +238,7 @@ def call_model(
 
 def ask_model(
     requests: DataFrame, call: Callable[[str], str], size: int = BATCH_SIZE, order: tuple[str, ...] = ("job_id",),
-    sleep: Callable[[float], None] = time.sleep, parallel: int | None = None,
+    sleep: Callable[[float], None] = time.sleep, parallel: int | None = None, rpm: float | None = None,
 ) -> DataFrame:
     """Batch calls, then single calls for what they left open.
 
@@ -214,7 +247,7 @@ def ask_model(
     """
     batched = materialise(assign_batches(requests, size, order), "batches")
     prompts = batch_prompt(batched)
-    answers = call_model(prompts, call, "batch", sleep=sleep, parallel=parallel)
+    answers = call_model(prompts, call, "batch", sleep=sleep, parallel=parallel, rpm=rpm)
     parsed = parse_batch(answers)
     merged = merge_strategy(batched).withColumnRenamed("strategy", "merged")
     answered = (
@@ -224,6 +257,6 @@ def ask_model(
     )
     missing = materialise(missing_jobs(batched, parsed).select("job_id", "text", "strategy"), "missing")
     singles = missing.select("job_id", prompt(F.col("text"), F.col("strategy")).alias("prompt"))
-    single_answers = call_model(singles, call, "job_id", sleep=sleep, parallel=parallel)
+    single_answers = call_model(singles, call, "job_id", sleep=sleep, parallel=parallel, rpm=rpm)
     recovered = apply_single(missing, single_answers).withColumn("calls", F.lit("single"))
     return all_parsed(answered, recovered)

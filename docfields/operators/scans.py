@@ -34,7 +34,7 @@ class OrderedRows:
 
     def number(self, name: str) -> OrderedRows:
         """Position from 1."""
-        return self._with(self.df.withColumn(name, F.row_number().over(self._window())))
+        return self._with(self.df.withColumn(name, F.row_number().over(self._window()).cast("long")))
 
     def lag(self, name: str, value: Column) -> OrderedRows:
         return self._with(self.df.withColumn(name, F.lag(value).over(self._window())))
@@ -103,9 +103,10 @@ class ChunkedRows(OrderedRows):
 
 
 def oversized(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows, or None. Counts are combined before the shuffle."""
-    hot = df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys)
-    return None if hot.isEmpty() else materialise(hot, "hot-keys")
+    """Keys with more than ``hot_rows`` rows, or None. Counts are combined before the shuffle and written once; the
+    test reads what was written."""
+    hot = materialise(df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def split(df: DataFrame, hot: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:

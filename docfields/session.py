@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -30,20 +31,35 @@ def local_session(cores: str | int = "*", partitions: int = 8, **conf: str) -> S
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; only where it is unset (tests) a temporary one is chosen."""
+    """The cluster's checkpoint folder. Where it is unset, a temporary one is chosen on a local master; on a cluster
+    executors would each write to a disk of their own, so that is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    return f"{shared_folder(spark)}/docfields/{spark.sparkContext.applicationId}"
+
+
+def clear_run(spark: SparkSession) -> None:
+    """Delete what this application wrote in between; frames that read it are of no use afterwards."""
+    jvm, path = spark._jvm, run_folder(spark)
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
     Unlike ``checkpoint()`` the input is computed a single time, so external calls in it happen once,
     and an executor lost later costs a re-read, not a re-run.
     """
-    path = f"{shared_folder(df.sparkSession)}/docfields/{name}-{uuid.uuid4().hex}"
+    path = f"{run_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -36,8 +36,21 @@ def collect_snapshot(words: DataFrame, page_words: int = 4096) -> DataFrame:
     )
 
 
-def explode_snapshot(snapshots: DataFrame) -> DataFrame:
-    """S3, back: one row per entry; a missing confidence is 0.0 and a missing text is empty."""
+def explode_snapshot(snapshots: DataFrame, page_words: int = 4096) -> DataFrame:
+    """S3, back to a table of words, for extraction from what was stored.
+
+    ``word_id`` counts in reading order with gaps where blank words were left out; the height of the page is not stored.
+    """
+    entries = snapshot_entries(snapshots)
+    number = {c: F.col(c).cast("int").alias(c) for c in ("x", "y", "w", "h")}
+    return entries.select(
+        "doc_id", (F.col("page") * page_words + F.col("at")).cast("int").alias("word_id"), "text",
+        F.round(F.col("conf") * 100).cast("int").alias("conf"), *number.values(), F.lit(None).cast("int").alias("page_h"),
+    )
+
+
+def snapshot_entries(snapshots: DataFrame) -> DataFrame:
+    """S3: one row per stored entry; a missing confidence is 0.0 and a missing text is empty."""
     items = F.from_json("snapshot", SNAPSHOT)
     rows = snapshots.select("doc_id", "page", F.posexplode(items).alias("at", "e"))
     return rows.select(

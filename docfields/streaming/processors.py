@@ -61,7 +61,8 @@ class JobTracker(StatefulProcessor):
                 if failures >= self.max_failures:
                     status = "NEEDS_REVIEW"
                 else:
-                    status, strategy = "RETRY_SCHEDULED", following_strategy(row.stage, row.strategy)
+                    status, strategy = "RETRY_SCHEDULED", following_strategy(
+                        row.stage, row.strategy or (strategy if row.stage == "validation" else None))
                     due = timerValues.getCurrentProcessingTimeInMs() + self.delay_ms(failures - 1)
                     self.handle.registerTimer(due)
             history = self._told() if status == "NEEDS_REVIEW" else None

@@ -49,10 +49,8 @@ def stream_batches(
     return writer.trigger(processingTime=wait) if wait else writer.trigger(availableNow=True)
 
 
-def dedupe_ingest(stream: DataFrame, bound: tuple[str, str] | None = None) -> DataFrame:
-    """T4: every job once. With ``bound`` (time column, delay) keys are remembered only that long, else for good."""
-    if bound is None:
-        return stream.dropDuplicates(["job_id"])
+def dedupe_ingest(stream: DataFrame, bound: tuple[str, str]) -> DataFrame:
+    """T4: every job once within ``bound`` (time column, delay); keys are forgotten after it, so state does not grow for ever."""
     column, delay = bound
     return stream.withWatermark(column, delay).dropDuplicatesWithinWatermark(["job_id"])
 

@@ -10,7 +10,7 @@ from docfields import fixtures
 from docfields.operators import delivery
 from docfields.operators.routing import extract_fields, route
 from docfields.sources import exports, images
-from docfields.sources.words import collect_snapshot, explode_snapshot, read_words, read_words_stream
+from docfields.sources.words import collect_snapshot, snapshot_entries, read_words, read_words_stream
 from docfields.streaming import processors, stages
 
 
@@ -32,14 +32,14 @@ def test_words_read_under_the_fixed_schema(spark, small, tmp_path):
 
 def test_snapshot_defaults(spark):
     rows = spark.createDataFrame([(1, 0, '[{"text": "a"}, {"conf": 0.5, "bbox": [1, 2, 3, 4]}]')], "doc_id long, page long, snapshot string")
-    found = [tuple(r)[2:] for r in explode_snapshot(rows).orderBy("at").collect()]
+    found = [tuple(r)[2:] for r in snapshot_entries(rows).orderBy("at").collect()]
     assert found == [(0, 0.0, "a", None, None, None, None), (1, 0.5, "", 1, 2, 3, 4)]
 
 
 def test_snapshot_pages_stay_small(spark, small):
     pages = collect_snapshot(fixtures.receipt_words(spark, small), page_words=100)
     assert pages.filter(F.length("snapshot") > 1000).count() == 0
-    assert explode_snapshot(pages).count() == fixtures.receipt_words(spark, small).filter("trim(text) <> ''").count()
+    assert snapshot_entries(pages).count() == fixtures.receipt_words(spark, small).filter("trim(text) <> ''").count()
 
 
 def test_export_files(spark, small, tmp_path):
@@ -79,8 +79,8 @@ def test_delivery_retries_with_growing_waits(spark, tmp_path):
             f.write(f"{seconds}\n")
 
     rows = spark.createDataFrame([("1", "V")], "job_id string, vendor string")
-    out = delivery.deliver(rows, lambda row: False, 3, 0.5, sleep)
-    assert tuple(out.first()) == ("1", False, 3) and open(log).read().split() == ["0.5", "1.0", "2.0"]
+    out = delivery.deliver(rows, lambda row: False, 3, 0.5, sleep, pause=0.2)
+    assert tuple(out.first()) == ("1", False, 3) and open(log).read().split() == ["0.5", "1.0", "2.0", "0.2"]
     report = delivery.delivery_report(out.limit(0)).first()
     assert (report.attempted, report.skipped_no_valid) == (0, True)
 

@@ -171,3 +171,21 @@ def test_rows_need_a_stem_for_every_label():
         pieces = re.split(r"\\s\*", pattern)
         assert any(stem in piece for stem in S.LABEL_STEMS for piece in pieces)
         assert len(pieces) <= S.LABEL_SPAN
+
+
+def test_totals_as_the_form_gets_them(spark):
+    import math
+
+    values = [41.257, 0.001, 12.0, 1e17, 1.5e16, 9999999999999998.0, 4.31411e20, 0.0001, 1.5e-5, 123456789.125, -7.1, 0.0, 1 / 3, math.nan, None]
+    found = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").select("i", X.num_text(F.col("v")).alias("t")).collect()
+    assert [r.t for r in sorted(found)] == [None if v is None else str(v) for v in values]
+
+
+def test_amounts_in_other_digits(spark):
+    assert [r.a for r in spark.createDataFrame([("RM１２.５０",), ("٣٤.٥",), ("12.5",)], "t string").select(S.parse_amount(F.col("t")).alias("a")).collect()] == [12.5, 34.5, 12.5]
+
+
+def test_a_date_without_a_box_scores_as_the_top_of_the_page(spark):
+    row = spark.sql("SELECT 'x' AS t, CAST(NULL AS int) AS y, CAST(NULL AS int) AS h, 0.5D AS c").select(
+        S.date_score(F.col("t"), F.col("y"), F.col("h"), F.col("c")).alias("s")).first()
+    assert row.s == 110.0

@@ -113,10 +113,11 @@ def test_chunked_scan_carries_over_chunks_and_null_keys(spark):
 
     def body(scan: OrderedRows):
         return (scan.number("n").lag("before", F.col("v")).running("total", F.col("v"), "sum")
-                .running("top", F.col("v"), "max").df.drop("chunk").withColumn("n", F.col("n").cast("long")))
+                .running("top", F.col("v"), "max").df.drop("chunk"))
 
     plain = body(OrderedRows(df, ["key"], ["at"]))
     for other in (body(chunked(df, ["key"], ["at"], 9)), scan_by_key(df, ["key"], ["at"], body, 100)):
+        assert dict(other.dtypes) == dict(plain.dtypes)
         assert plain.exceptAll(other.select(plain.columns)).count() == 0 and other.count() == 200
 
 
@@ -177,3 +178,41 @@ def test_extraction_plan_has_one_shuffle_and_no_python(spark):
     words = spark.createDataFrame([], WORDS)
     plan = extract_total(words, hot_rows=None)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") <= 1 and "Python" not in plan
+
+
+@pytest.mark.parametrize("partitions", [8, 200])
+def test_batches_are_full_with_any_number_of_partitions(spark, partitions):
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        for n in (12, 13):
+            df = spark.range(n).select(F.col("id").cast("string").alias("job_id"))
+            sizes = [r.n for r in R.assign_batches(df).groupBy("batch").agg(F.count("*").alias("n")).collect()]
+            assert sorted(sizes) == [1] * (n % 3) + [3] * 4
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+
+
+def test_repeated_keys_in_responses_keep_the_last(spark):
+    texts = ['{"results": [{"job_id": "1", "vendor": "A", "vendor": "B", "total": 2.5}, {"job_id": "2", "total": "RM 3"}, 7]}', "{}", "no", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "batch int, response string")
+    assert {tuple(r) for r in R.parse_batch(df).collect()} == {(0, "1", "B", 2.5, None), (0, "2", None, 3.0, None)}
+    singles = ['{"vendor": "A", "vendor": "B", "total": 1}', '{"vendor": "C"}', "none", '{"total": "x", "total": "y"}', None]
+    rows = spark.createDataFrame([(s,) for s in singles], "r string").select(R.parse_single(F.col("r")).alias("p")).collect()
+    assert [r.p and (r.p.vendor, r.p.total) for r in rows] == [("B", 1.0), ("C", None), None, None, None]
+
+
+def test_calls_keep_to_the_rate(spark, tmp_path):
+    log = str(tmp_path / "calls")
+
+    def call(text):
+        import time
+
+        with open(log, "a") as f:
+            f.write(f"{time.monotonic()}\n")
+        return text
+
+    prompts = spark.createDataFrame([(str(i), "p") for i in range(4)], "batch string, prompt string")
+    assert R.call_model(prompts, call, rpm=300).count() == 4
+    at = sorted(float(x) for x in open(log))
+    assert all(b - a > 0.18 for a, b in zip(at, at[1:]))
