@@ -79,6 +79,8 @@ QUERIES.add("terminal_flags", "P14",
             lambda s, d: jobs(s, d).select("job_id", J.is_terminal(F.col("status")).alias("terminal"),
                                            J.skips_validation(F.col("status")).alias("skips")),
             f"{SQL} SELECT job_id, status IN ('SUCCESS', 'NEEDS_REVIEW', 'DLQ') AS terminal, status = 'SUCCESS' AS skips FROM jobs")
+QUERIES.add("startable_jobs", "P14", lambda s, d: jobs(s, d).select("job_id", J.may_start(F.col("status")).alias("may_start")),
+            f"{SQL} SELECT job_id, status NOT IN ('SUCCESS', 'NEEDS_REVIEW', 'DLQ', 'PROCESSING') AS may_start FROM jobs")
 QUERIES.add("newest_review_jobs", "O1",
             lambda s, d: J.jobs_by_status(jobs(s, d), "NEEDS_REVIEW").select("job_id", stamp(F.col("updated_at")).alias("updated_at")),
             f"""{SQL} SELECT job_id, strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at FROM jobs
@@ -116,11 +118,11 @@ def changed(s, d) -> DataFrame:
     changes = jobs(s, d).filter(key() % 2 == 0).select(
         F.when(key() % 4 == 0, F.concat(F.lit("-"), "job_id")).otherwise(F.col("job_id")).alias("job_id"),
         F.lit("VALIDATING").alias("status"), F.lit(None).cast("string").alias("vendor"))
-    return J.upsert(job_rows(s, d), changes)
+    return J.upsert(job_rows(s, d), changes, now=now())
 
 
 QUERIES.add("updated_jobs", "J7", changed,
-            f"""{SQL} SELECT * EXCLUDE (k) REPLACE (strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at,
+            f"""{SQL} SELECT * EXCLUDE (k) REPLACE (CASE WHEN k % 4 = 2 THEN '{NOW}' ELSE strftime(updated_at, '%Y-%m-%d %H:%M:%S') END AS updated_at,
             CASE WHEN k % 4 = 2 THEN 'VALIDATING' ELSE status END AS status, CASE WHEN k % 4 = 2 THEN NULL ELSE vendor END AS vendor) FROM jobs""")
 
 
@@ -128,27 +130,28 @@ def corrections(s, d) -> DataFrame:
     """Line items as corrections of their order; several per job, in the order of their number."""
     n = F.col("l_linenumber")
     rows = fixtures.table(s, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_extendedprice").alias("price"))
-    return rows.filter(F.col("l_orderkey") % 5 == 2).select(
+    return rows.select(
         n.alias("id"), F.col("l_orderkey").cast("string").alias("job_id"),
         F.when(n % 2 == 0, F.concat(F.lit("corrected "), n)).alias("vendor"), F.lit("2001-02-03").alias("invoice_date"),
         F.col("price").alias("total_amount"), F.lit(None).cast("string").alias("reviewer_note"))
 
 
-QUERIES.add("corrected_jobs", "J8 W6", lambda s, d: J.apply_corrections(job_rows(s, d), corrections(s, d)),
+QUERIES.add("corrected_jobs", "J8 W6", lambda s, d: J.apply_corrections(job_rows(s, d), corrections(s, d), now()),
             f"""{SQL}, c AS (SELECT l_orderkey AS ck, l_linenumber AS n, max(l_extendedprice) AS price FROM lineitem
-              WHERE l_orderkey % 5 = 2 GROUP BY l_orderkey, l_linenumber QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC) = 1)
+              GROUP BY l_orderkey, l_linenumber QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC) = 1)
             SELECT job_id, image_path, CASE WHEN ck IS NULL THEN vendor WHEN n % 2 = 0 THEN 'corrected ' || n END AS vendor,
               CASE WHEN ck IS NULL THEN invoice_date ELSE '2001-02-03' END AS invoice_date,
               CASE WHEN ck IS NULL THEN total_amount ELSE price END AS total_amount, confidence,
               CASE WHEN ck IS NULL THEN source ELSE 'HUMAN' END AS source, CASE WHEN ck IS NULL THEN status ELSE 'SUCCESS' END AS status,
-              retry_count, max_retries, last_error, has_ocr_snapshot, strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at
+              retry_count, max_retries, last_error, has_ocr_snapshot,
+              CASE WHEN ck IS NULL THEN strftime(updated_at, '%Y-%m-%d %H:%M:%S') ELSE '{NOW}' END AS updated_at
             FROM jobs LEFT JOIN c ON ck = k""")
 
 
 def review_source(s, d) -> DataFrame:
     """Job rows with the long texts a review record cuts: a document per job as raw response and snapshot."""
     docs = fixtures.table(s, d, "documents").select(F.col("doc_id").cast("string").alias("job_id"), "text")
-    return jobs(s, d).join(docs, "job_id").select(
+    return jobs(s, d).join(docs, "job_id", "left").select(
         "*", F.lit("llm").alias("failure_class"), F.lit("strict_json").alias("attempt_strategy"),
         F.col("text").alias("ocr_snapshot"), F.lit(None).cast("string").alias("extraction_payload"),
         F.col("text").alias("llm_last_raw"), F.lit("[]").alias("retry_history"))
@@ -166,7 +169,7 @@ QUERIES.add("review_records", "P16 P18 F19", review,
             f"""{SQL} SELECT job_id, image_path, 'NEEDS_REVIEW' AS status, 'llm' AS stage_failed, last_error AS reason, retry_count,
             'llm' AS failure_class, substr(text, 1, 4000) AS llm_last_raw,
             CASE WHEN length(text) > 12000 THEN substr(text, 1, 6000) || '...' ELSE text END AS shown, '{NOW}' AS recorded_at
-            FROM jobs JOIN documents ON k = doc_id""")
+            FROM jobs LEFT JOIN documents ON k = doc_id""")
 
 
 def review_queue(s, d) -> DataFrame:
@@ -176,15 +179,14 @@ def review_queue(s, d) -> DataFrame:
 
 
 QUERIES.add("review_queue", "S6", review_queue,
-            f"""{SQL}, n AS (SELECT CAST(l_orderkey AS string) AS job_id, max(l_linenumber) AS recorded_at FROM lineitem
-              WHERE l_orderkey % 5 = 2 GROUP BY ALL)
+            f"""{SQL}, n AS (SELECT CAST(l_orderkey AS string) AS job_id, max(l_linenumber) AS recorded_at FROM lineitem GROUP BY ALL)
             SELECT job_id, 'line ' || recorded_at AS reason, recorded_at FROM n
             UNION ALL SELECT job_id, 'old', 0 FROM jobs ANTI JOIN n USING (job_id) WHERE status = 'NEEDS_REVIEW'""")
 
 
 def validated_jobs(s, d) -> DataFrame:
     checked = validation.validate(routing.rule_payload(routed(s, d)), today())
-    return J.apply_success(job_rows(s, d), checked.withColumn("source", F.when(key() % 2 == 0, F.col("source"))))
+    return J.apply_success(job_rows(s, d), checked.withColumn("source", F.when(key() % 2 == 0, F.col("source"))), now())
 
 
 QUERIES.add("accepted_jobs", "P17", validated_jobs,
@@ -196,7 +198,7 @@ QUERIES.add("accepted_jobs", "P17", validated_jobs,
               CASE WHEN ok THEN CASE WHEN k % 2 = 0 THEN 'OCR_RULE' ELSE 'UNKNOWN' END ELSE j.source END AS source,
               CASE WHEN ok THEN 'SUCCESS' ELSE status END AS status, retry_count, max_retries,
               CASE WHEN ok THEN NULL ELSE last_error END AS last_error, has_ocr_snapshot,
-              strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at
+              CASE WHEN ok THEN '{NOW}' ELSE strftime(updated_at, '%Y-%m-%d %H:%M:%S') END AS updated_at
             FROM jobs j LEFT JOIN validated v USING (job_id)""")
 
 # Attempts and retries
@@ -281,33 +283,36 @@ def advanced(s, d) -> DataFrame:
         "job_id", stage.alias("stage"), (k % 7 == 0).alias("ok"),
         F.when(k % 3 == 0, "unreadable").when(k % 6 == 1, "empty_parse").when(k % 3 == 1, "timeout").otherwise("date_missing").alias("error"),
         F.when(k % 2 == 0, "strict_json").alias("strategy"), F.lit("V").alias("vendor"), F.lit("1999-01-01").alias("invoice_date"),
-        F.lit(9.5).alias("total_amount"), F.lit(0.85).alias("confidence"), F.lit("LLM").alias("source"))
+        F.lit(9.5).alias("total_amount"), F.lit(0.85).alias("confidence"), F.lit("LLM").alias("source"),
+        (k % 13 == 0).alias("corrupted"))
     out = J.advance_jobs(base, outcomes, now())
     wait = (F.unix_micros("due_at") - F.unix_micros(now())) / 1_000_000
     expected = retries.base_delay(F.col("retry_count") - 1)
-    return out.withColumn("due_at", (wait >= expected) & (wait < expected + 1.5)).drop("updated_at", "has_ocr_snapshot", "image_path")
+    return out.withColumn("due_at", (wait >= expected) & (wait < expected + 1.5)).drop("has_ocr_snapshot", "image_path")
 
 
 QUERIES.add("advanced_jobs", "C7 F23 F24 F25", advanced, f"""{SQL}, f AS (
   SELECT *, CASE k % 3 WHEN 0 THEN 'ocr' WHEN 1 THEN 'llm' ELSE 'validation' END AS stage,
     CASE WHEN k % 3 = 0 THEN 'unreadable' WHEN k % 6 = 1 THEN 'empty_parse' WHEN k % 3 = 1 THEN 'timeout' ELSE 'date_missing' END AS error,
     CASE WHEN k % 2 = 0 THEN 'strict_json' END AS tried,
-    CASE k % 5 WHEN 0 THEN 'strict_json' WHEN 1 THEN 'after_validation_fail' ELSE 'default' END AS kept, k % 11 <> 0 AND status <> 'SUCCESS' AS live FROM jobs),
-  g AS (SELECT *, live AND k % 7 = 0 AS pass, live AND k % 7 <> 0 AS fail, retry_count + CASE WHEN live AND k % 7 <> 0 THEN 1 ELSE 0 END AS n FROM f)
+    CASE k % 5 WHEN 0 THEN 'strict_json' WHEN 1 THEN 'after_validation_fail' ELSE 'default' END AS kept, k % 3 = 0 AND k % 13 = 0 AS broken,
+    k % 11 <> 0 AND status <> 'SUCCESS' AND NOT (k % 3 = 0 AND status IN ('NEEDS_REVIEW', 'DLQ')) AS live FROM jobs),
+  g AS (SELECT *, live AND k % 7 = 0 AS pass, live AND k % 7 <> 0 AS fail, retry_count + CASE WHEN live AND k % 7 <> 0 AND NOT broken THEN 1 ELSE 0 END AS n FROM f)
   SELECT job_id, CASE WHEN pass THEN 'V' ELSE vendor END AS vendor, CASE WHEN pass THEN '1999-01-01' ELSE invoice_date END AS invoice_date,
     CASE WHEN pass THEN 9.5e0 ELSE total_amount END AS total_amount, CASE WHEN pass THEN 0.85e0 ELSE confidence END AS confidence,
     CASE WHEN pass THEN 'LLM' ELSE source END AS source,
-    CASE WHEN pass THEN 'SUCCESS' WHEN fail AND n >= 2 THEN 'NEEDS_REVIEW' WHEN fail THEN 'RETRY_SCHEDULED' ELSE status END AS status,
+    CASE WHEN pass THEN 'SUCCESS' WHEN fail AND (n >= 2 OR broken) THEN 'NEEDS_REVIEW' WHEN fail THEN 'RETRY_SCHEDULED' ELSE status END AS status,
     n AS retry_count, max_retries,
-    CASE WHEN pass THEN NULL WHEN fail AND n >= 2 THEN CASE stage WHEN 'validation' THEN 'validation_failed_after_retry:' || error
+    CASE WHEN pass THEN NULL WHEN fail AND broken THEN error WHEN fail AND n >= 2 THEN CASE stage WHEN 'validation' THEN 'validation_failed_after_retry:' || error
            WHEN 'ocr' THEN 'ocr_failed_after_retry:' || error ELSE CASE WHEN error = 'empty_parse' THEN 'llm_parse_failed_after_retry'
            ELSE 'llm_exception_after_retry:' || error END END
          WHEN fail THEN CASE WHEN stage = 'validation' THEN 'validation:' || error WHEN error = 'empty_parse' THEN last_error ELSE error END
          ELSE last_error END AS last_error,
-    CASE WHEN fail AND (n >= 2 OR stage = 'validation') THEN stage END AS failure_class,
+    CASE WHEN fail AND broken THEN 'ocr_corrupted' WHEN fail AND (n >= 2 OR stage = 'validation') THEN stage END AS failure_class,
     CASE WHEN live THEN coalesce(tried, kept) ELSE kept END AS attempt_strategy,
     CASE WHEN fail AND n < 2 AND stage <> 'ocr' THEN {next_tried("stage", "CASE stage WHEN 'validation' THEN coalesce(tried, kept) ELSE tried END")} END AS next_strategy,
-    CASE WHEN fail AND n < 2 THEN true END AS due_at FROM g""")
+    CASE WHEN fail AND n < 2 AND NOT broken THEN true END AS due_at,
+    CASE WHEN live THEN '{NOW}' ELSE strftime(updated_at, '%Y-%m-%d %H:%M:%S') END AS updated_at FROM g""")
 
 # Reports and delivery
 
@@ -356,13 +361,36 @@ QUERIES.add("csv_export", "S5", from_csv,
 
 def written_summary(s, d) -> DataFrame:
     path = f"{shared_folder(s)}/docfields/summary-{d.rsplit('/', 1)[-1]}"
-    exports.write_summary(jobs(s, d), F.col("has_ocr_snapshot"), path)
-    return s.read.schema("receipt_count long, success long, failed_or_incomplete long").json(path)
-
-
-QUERIES.add("summary_file", "S10", written_summary,
-            f"""{SQL} SELECT count(*) AS receipt_count, count(*) FILTER (status = 'SUCCESS') AS success,
-            count(*) FILTER (status <> 'SUCCESS') AS failed_or_incomplete FROM jobs""")
+    exports.write_summary(jobs(s, d), F.col("has_ocr_snapshot"), path, fixtures.outcomes(s, d).groupBy("name").agg(F.sum("n").alias("n")))
+    report = s.read.schema(REPORT).json(path)
+    paired = lambda c, k: F.array_join(F.transform(c, lambda e: F.concat_ws("=", e[k], e["n" if c == "metrics" else "jobs"])), "; ").alias(c)
+    return report.select("outcomes.*", *[f"summary.{c}" for c in ("success_count", "needs_human_review_count", "legacy_dlq_count", "non_terminal_count", "total_jobs_in_export")],
+                         "observability.terminal_success_with_rule_extraction_only", "observability.jobs_with_llm_sourced_extraction",
+                         paired("source_histogram", "source"), paired("metrics", "name"), paired("failure_modes", "error"))
+
+
+REPORT = """outcomes struct<receipt_count:long,success:long,needs_human_review:long,legacy_dlq:long,non_terminal_stuck:long,failed_or_incomplete:long,
+  jobs_with_ocr_snapshot:long,rule_only_success:long,llm_sourced:long>,
+  summary struct<success_count:long,needs_human_review_count:long,legacy_dlq_count:long,non_terminal_count:long,total_jobs_in_export:long>,
+  observability struct<jobs_with_ocr_snapshot:long,terminal_success_with_rule_extraction_only:long,jobs_with_llm_sourced_extraction:long>,
+  source_histogram array<struct<source:string,jobs:long>>, metrics array<struct<name:string,n:long>>, failure_modes array<struct<error:string,jobs:long>>"""
+QUERIES.add("summary_file", "S10 C8 A6 A7 A8 A9", written_summary,
+            f"""{SQL}, b AS (SELECT *, {BUCKET} AS bucket FROM jobs),
+            h AS (SELECT coalesce(nullif(source, ''), 'unset') AS source, count(*) AS n FROM jobs GROUP BY 1),
+            m AS (SELECT event_type AS name, count(*) AS n FROM events GROUP BY 1
+                  UNION ALL SELECT 'ocr_success', count(*) FROM jobs WHERE status = 'SUCCESS' AND source = 'OCR_RULE'),
+            e AS (SELECT coalesce(nullif(substr(trim(last_error), 1, 120), ''), '(no last_error)') AS error, count(*) AS n FROM jobs
+                  WHERE status <> 'SUCCESS' GROUP BY 1 ORDER BY n DESC, error LIMIT 25)
+            SELECT count(*) AS receipt_count,
+            count(*) FILTER (bucket = 'valid_invoices') AS success, count(*) FILTER (bucket = 'needs_human_review') AS needs_human_review,
+            count(*) FILTER (bucket = 'legacy_dlq') AS legacy_dlq, count(*) FILTER (bucket = 'non_terminal') AS non_terminal_stuck,
+            count(*) FILTER (bucket <> 'valid_invoices') AS failed_or_incomplete, {OBSERVED.format(rules='rule_only_success', model='llm_sourced')},
+            success AS success_count, needs_human_review AS needs_human_review_count, legacy_dlq AS legacy_dlq_count,
+            non_terminal_stuck AS non_terminal_count, receipt_count AS total_jobs_in_export,
+            rule_only_success AS terminal_success_with_rule_extraction_only, llm_sourced AS jobs_with_llm_sourced_extraction,
+            (SELECT string_agg(source || '=' || n, '; ' ORDER BY source) FROM h) AS source_histogram,
+            (SELECT string_agg(name || '=' || n, '; ' ORDER BY name) FROM m) AS metrics,
+            (SELECT string_agg(error || '=' || n, '; ' ORDER BY n DESC, error) FROM e) AS failure_modes FROM b""")
 
 
 def listed_images(s, d) -> DataFrame:
@@ -396,7 +424,7 @@ def form(s, d) -> DataFrame:
 
 
 FORM = """SELECT job_id, coalesce(vendor, '') AS vendor, coalesce(strftime(CAST(invoice_date AS date), '%d/%m/%Y'), '') AS date,
-  coalesce(regexp_replace(CAST(CAST(total_amount AS decimal(18,2)) AS string), '(\\.[0-9])0$', '\\1'), '') AS total FROM jobs"""
+  coalesce(CAST(total_amount AS string), '') AS total FROM jobs"""
 QUERIES.add("form_rows", "P15 F5 F16 C9", form, f"{SQL} {FORM}")
 
 
@@ -427,6 +455,27 @@ def finished(s, d) -> DataFrame:
     return run.jobs.select("job_id", "status", "vendor", "total_amount", "source", "retry_count")
 
 
+def finished_parts(s, d):
+    from docfields.catalog.requests import stubborn
+
+    return run_rounds(fixtures.receipt_words(s, d), stubborn, today(), now=now(), sleep=lambda _: None)
+
+
+ROUNDS = f"""WITH {S.FIELDS}, {S.validated("rule_payloads", TODAY)}, j AS (
+  SELECT CAST(job_id AS bigint) AS k, route = 'VALIDATE' AS trusted, route = 'VALIDATE' AND ok AS ruled, errors FROM validated),
+first AS (SELECT *, NOT trusted AS asked, NOT ruled AS open FROM j)"""
+# Round 1 asks the weak documents and gets nothing; round 2 asks all that failed once, strictly: even jobs are answered.
+QUERIES.add("finished_run_counters", "C10 A11", lambda s, d: finished_parts(s, d).counters, f"""{ROUNDS},
+  n AS (SELECT count(*) FILTER (asked) AS a, count(*) FILTER (open) AS o, count(*) FILTER (open AND k % 2 = 1) AS odd,
+        count(*) FILTER (NOT open) AS ruled FROM first)
+  SELECT 'llm_fallback_routed' AS name, a AS n FROM n UNION ALL SELECT 'llm_batch_calls', (a + 2) // 3 + (o + 2) // 3 FROM n
+  UNION ALL SELECT 'llm_single_calls', a + odd FROM n UNION ALL SELECT 'llm_invocations', (a + 2) // 3 + (o + 2) // 3 + a + odd FROM n
+  UNION ALL SELECT 'retry_scheduled', o FROM n UNION ALL SELECT 'success_total', ruled + o - odd FROM n UNION ALL SELECT 'dlq_entries', odd FROM n""")
+QUERIES.add("finished_run_reviews", "C10 P16 P18",
+            lambda s, d: finished_parts(s, d).reviews.select("job_id", "status", "stage_failed", "reason", "retry_count", "llm_last_raw",
+                                                              F.size(F.from_json("retry_history", "array<struct<n:int,stage:string>>")).alias("failures")),
+            f"""{ROUNDS} SELECT CAST(k AS string) AS job_id, 'NEEDS_REVIEW' AS status, 'llm' AS stage_failed,
+            'llm_parse_failed_after_retry' AS reason, 2 AS retry_count, 'no' AS llm_last_raw, 2 AS failures FROM first WHERE open AND k % 2 = 1""")
 QUERIES.add("finished_run", "C10 C4 C5 C6 C7 X1", finished, f"""WITH {S.FIELDS}, {S.validated("rule_payloads", TODAY)}
   SELECT job_id, CASE WHEN ruled OR CAST(job_id AS bigint) % 2 = 0 THEN 'SUCCESS' ELSE 'NEEDS_REVIEW' END AS status,
          CASE WHEN ruled THEN trim(vendor) WHEN CAST(job_id AS bigint) % 2 = 0 THEN 'Store ' || job_id END AS vendor,

@@ -11,8 +11,6 @@ from docfields.operators.scans import HOT_ROWS, OrderedRows, latest, scan_by_key
 from docfields.schema import TERMINAL
 
 REVIEW_RAW_LIMIT = 4000
-BATCH_RAW_LIMIT = 12000
-SINGLE_RAW_LIMIT = 8000
 
 
 def is_terminal(status: Column) -> Column:
@@ -63,18 +61,27 @@ def new_jobs(actions: DataFrame) -> DataFrame:
     )
 
 
-def upsert(existing: DataFrame, changes: DataFrame, key: str = "job_id") -> DataFrame:
+def may_start(status: Column) -> Column:
+    """Recognition skips jobs that are finished and those that another task is working on."""
+    return ~is_terminal(status) & (status != "PROCESSING")
+
+
+def upsert(existing: DataFrame, changes: DataFrame, key: str = "job_id", now: Column | None = None) -> DataFrame:
     """Overwrite the changed columns of known keys, nulls included; unknown keys change nothing.
 
-    ``changes`` has one row per key; :func:`latest` makes it so where it may not.
+    ``changes`` has one row per key; :func:`latest` makes it so where it may not. ``updated_at`` of changed rows moves
+    to ``now`` (by default the time of the run).
     """
     changed = [c for c in changes.columns if c != key]
     incoming = changes.select(key, F.struct(*changed).alias("_new"))
     joined = existing.join(incoming, key, "left")
     hit = F.col("_new").isNotNull()
+    values = {c: F.col(f"_new.{c}") for c in changed}
+    if "updated_at" in existing.columns and "updated_at" not in values:
+        moved = F.current_timestamp() if now is None else now
+        values["updated_at"] = moved.cast(existing.schema["updated_at"].dataType)
     return joined.select(
-        *[F.when(hit, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in changed else F.col(c)
-          for c in existing.columns]
+        *[F.when(hit, values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in existing.columns]
     )
 
 
@@ -84,14 +91,14 @@ def upsert_review(existing: DataFrame, new: DataFrame) -> DataFrame:
     return kept.unionByName(latest(new, ["job_id"], ["recorded_at"]).select(*existing.columns))
 
 
-def apply_corrections(jobs: DataFrame, corrections: DataFrame) -> DataFrame:
+def apply_corrections(jobs: DataFrame, corrections: DataFrame, now: Column | None = None) -> DataFrame:
     """The latest human correction of a job overwrites its values, nulls too, and closes it."""
     last = latest(corrections.select("job_id", "id", "vendor", "invoice_date", "total_amount"), ["job_id"], ["id"])
     changes = last.select(
         "job_id", "vendor", "invoice_date", "total_amount", F.lit("SUCCESS").alias("status"),
         F.lit("HUMAN").alias("source"),
     )
-    return upsert(jobs, changes)
+    return upsert(jobs, changes, now=now)
 
 
 def jobs_by_status(jobs: DataFrame, status: str, limit: int = 100) -> DataFrame:
@@ -172,7 +179,7 @@ def review_records(jobs: DataFrame, stage: Column, reason: Column, now: Column)
     )
 
 
-def apply_success(jobs: DataFrame, validated: DataFrame) -> DataFrame:
+def apply_success(jobs: DataFrame, validated: DataFrame, now: Column | None = None) -> DataFrame:
     """Accepted values onto their jobs; source and confidence get their defaults, the last error is cleared."""
     changes = validated.filter("ok").select(
         "job_id", F.lit("SUCCESS").alias("status"), F.col("norm_vendor").alias("vendor"),
@@ -181,26 +188,30 @@ def apply_success(jobs: DataFrame, validated: DataFrame) -> DataFrame:
         F.coalesce(F.nullif(F.col("source"), F.lit("")), F.lit("UNKNOWN")).alias("source"),
         F.lit(None).cast("string").alias("last_error"),
     )
-    return upsert(jobs, changes)
+    return upsert(jobs, changes, now=now)
 
 
 def advance_jobs(jobs: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame:
     """Jobs after one round of outcomes, with ``next_strategy`` and ``due_at`` where a retry is scheduled.
 
     ``outcomes``: job_id, stage (ocr, llm or validation), ok, error, strategy (the one just tried), and the accepted
-    vendor, invoice_date, total_amount, confidence, source. Accepted jobs stay as they are; every failure counts
-    once against ``max_retries``, whatever its stage.
+    vendor, invoice_date, total_amount, confidence, source; where given, also ``corrupted`` (an image that cannot be
+    read) and ``raw`` (what the model said, already clipped). Accepted jobs stay as they are, and recognition changes no
+    finished job. Every failure counts once against ``max_retries``, whatever its stage, but a corrupted image goes to
+    review at once.
     """
     fields = [c for c in outcomes.columns if c != "job_id"]
     joined = jobs.join(outcomes.select("job_id", F.struct(*fields).alias("o")), "job_id", "left")
-    live = F.col("o").isNotNull() & ~skips_validation(F.col("status"))  # never null: status is always set
+    late = F.coalesce(F.col("o.stage") == "ocr", F.lit(False)) & is_terminal(F.col("status"))
+    live = F.col("o").isNotNull() & ~skips_validation(F.col("status")) & ~late  # never null: status is always set
     passed, failed = live & F.col("o.ok"), live & ~F.col("o.ok")
     stage, error = F.col("o.stage"), F.col("o.error")
-    failures = F.coalesce(F.col("retry_count"), F.lit(0)) + F.when(failed, 1).otherwise(0)
-    outcome = retry_outcome(failures, F.col("max_retries"))
+    corrupted = F.coalesce(F.col("o.corrupted"), F.lit(False)) & (stage == "ocr") if "corrupted" in fields else F.lit(False)
+    failures = F.coalesce(F.col("retry_count"), F.lit(0)) + F.when(failed & ~corrupted, 1).otherwise(0)
+    outcome = F.when(corrupted, "NEEDS_REVIEW").otherwise(retry_outcome(failures, F.col("max_retries")))
     review = failed & (outcome == "NEEDS_REVIEW")
     retry = failed & (outcome == "RETRY_SCHEDULED")
-    reason = F.when(stage == "validation", F.concat(F.lit("validation_failed_after_retry:"), error)).when(
+    reason = F.when(corrupted, error).when(stage == "validation", F.concat(F.lit("validation_failed_after_retry:"), error)).when(
         stage == "ocr", F.concat(F.lit("ocr_failed_after_retry:"), error)
     ).when(error == "empty_parse", F.lit("llm_parse_failed_after_retry")).otherwise(
         F.concat(F.lit("llm_exception_after_retry:"), error)
@@ -216,12 +227,17 @@ def advance_jobs(jobs: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame
         "retry_count": failures.cast("int"),
         "last_error": F.when(passed, F.lit(None)).when(review, reason).when(retry, retry_error).otherwise(
             F.col("last_error")),
-        "failure_class": F.when(review | (retry & (stage == "validation")), stage).otherwise(F.col("failure_class")),
+        "failure_class": F.when(failed & corrupted, "ocr_corrupted").when(review | (retry & (stage == "validation")), stage)
+        .otherwise(F.col("failure_class")),
         "attempt_strategy": F.when(live, F.coalesce(F.col("o.strategy"), F.col("attempt_strategy"))).otherwise(
             F.col("attempt_strategy")),
         **{c: F.when(passed, F.col(f"o.{c}")).otherwise(F.col(c))
            for c in ("vendor", "invoice_date", "total_amount", "confidence", "source")},
     }
+    if "updated_at" in jobs.columns:
+        changed["updated_at"] = F.when(live, now.cast(jobs.schema["updated_at"].dataType)).otherwise(F.col("updated_at"))
+    if "llm_last_raw" in jobs.columns and "raw" in fields:
+        changed["llm_last_raw"] = F.when(live, F.coalesce("o.raw", "llm_last_raw")).otherwise(F.col("llm_last_raw"))
     retried = F.when(stage == "ocr", F.lit(None)).otherwise(following)
     due = F.timestamp_micros((F.unix_micros(now) + backoff(F.col("job_id"), failures - 1) * 1_000_000).cast("long"))
     # A retry scheduled earlier stays scheduled until its job has an outcome.
@@ -232,11 +248,3 @@ def advance_jobs(jobs: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame
         F.when(retry, retried).otherwise(kept["next_strategy"]).alias("next_strategy"),
         F.when(retry, due).otherwise(kept["due_at"]).alias("due_at"),
     )
-
-
-def retry_envelopes(jobs: DataFrame) -> DataFrame:
-    """The retries :func:`advance_jobs` scheduled."""
-    target = F.when(F.col("next_strategy").isNull(), "ocr").otherwise("llm")
-    return jobs.filter("status = 'RETRY_SCHEDULED' and due_at is not null").select(
-        "job_id", target.alias("target_stage"), F.col("next_strategy").alias("strategy"), "failure_class", "due_at"
-    )

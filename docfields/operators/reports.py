@@ -80,3 +80,29 @@ def evaluation(jobs: DataFrame, has_snapshot: Column) -> DataFrame:
         F.count_if((F.col("status") == "SUCCESS") & (F.col("source") == "OCR_RULE")).alias("rule_only_success"),
         F.count_if(F.col("source").isin("OCR_LLM", "LLM")).alias("llm_sourced"),
     )
+
+
+def run_report(jobs: DataFrame, has_snapshot: Column, metrics: DataFrame, top: int = 25) -> DataFrame:
+    """Everything an export says beside its rows, in one row: ``outcomes``, ``summary``, ``observability``,
+    ``source_histogram``, ``metrics`` (name, n; ``ocr_success`` is what the rules alone got accepted) and
+    ``failure_modes``.
+
+    Each part is an aggregate of a few rows; the histogram has one entry for each of the known sources, and the other
+    lists are bounded by ``top`` and by the names that are counted.
+    """
+    def listed(rows: DataFrame, name: str, *columns: str) -> DataFrame:
+        return rows.agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(name))
+
+    watched = observability(jobs, has_snapshot)
+    told = metrics.select("name", F.col("n").cast("long").alias("n")).filter("name <> 'ocr_success'").union(
+        watched.select(F.lit("ocr_success"), F.col("terminal_success_with_rule_extraction_only")))
+    parts = [
+        *[rows.select(F.struct("*").alias(name)) for name, rows in (
+            ("outcomes", evaluation(jobs, has_snapshot)), ("summary", summary(jobs)), ("observability", watched))],
+        listed(source_histogram(jobs), "source_histogram", "source", "jobs"), listed(told, "metrics", "name", "n"),
+        listed(failure_modes(jobs, top).withColumn("rank", -F.col("jobs")), "failure_modes", "rank", "error", "jobs"),
+    ]
+    report = parts[0]
+    for part in parts[1:]:
+        report = report.join(F.broadcast(part))  # one row each
+    return report.withColumn("failure_modes", F.transform("failure_modes", lambda e: F.struct(e["error"], e["jobs"])))

@@ -15,11 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docfields.functions.retries import strategy_name, strategy_rank
-from docfields.functions.text import QUOTA_MARKS, QUOTA_PAIR, RETRY_DEFAULT, RETRY_HINTS, RETRY_MARGIN, json_span, money, strip
+from docfields.functions.text import QUOTA_MARKS, QUOTA_PAIR, RETRY_DEFAULT, RETRY_HINTS, RETRY_MARGIN, clip, json_span, money, strip
 from docfields.operators.scans import HOT_ROWS, OrderedRows, chunked, scan_by_key
 from docfields.session import materialise
 
 BATCH_SIZE = 3
+# How much of a raw response a job keeps.
+BATCH_RAW_LIMIT, SINGLE_RAW_LIMIT = 12000, 8000
 
 SINGLE_NOTES = {
     "default": (
@@ -236,14 +238,23 @@ def call_model(
     return materialise(spread.mapInPandas(run, schema), "answers")
 
 
-def ask_model(
+def counted(name: str, rows: DataFrame) -> DataFrame:
+    return rows.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"))
+
+
+def ask_model(*args, **options) -> DataFrame:
+    """The rows of :func:`ask_and_count`."""
+    return ask_and_count(*args, **options)[0]
+
+
+def ask_and_count(
     requests: DataFrame, call: Callable[[str], str], size: int = BATCH_SIZE, order: tuple[str, ...] = ("job_id",),
     sleep: Callable[[float], None] = time.sleep, parallel: int | None = None, rpm: float | None = None,
-) -> DataFrame:
-    """Batch calls, then single calls for what they left open.
+) -> tuple[DataFrame, DataFrame]:
+    """Batch calls, then single calls for what they left open; and how many calls that took (name, n).
 
-    One row per request: vendor, total, date, ``parsed``, the merged strategy it was tried with, the raw response, and
-    ``calls``, ``batch`` or ``single``.
+    One row per request: vendor, total, date, ``parsed``, the merged strategy it was tried with, the raw response as the
+    job keeps it (clipped), and ``calls``, ``batch`` or ``single``.
     """
     batched = materialise(assign_batches(requests, size, order), "batches")
     prompts = batch_prompt(batched)
@@ -253,10 +264,12 @@ def ask_model(
     answered = (
         match_responses(batched, parsed).join(merged, "batch").join(answers, "batch")
         .select("job_id", F.col("merged").alias("strategy"), "vendor", "total", "date", F.lit(True).alias("parsed"),
-                "response", F.lit("batch").alias("calls"))
+                clip(F.col("response"), BATCH_RAW_LIMIT).alias("response"), F.lit("batch").alias("calls"))
     )
     missing = materialise(missing_jobs(batched, parsed).select("job_id", "text", "strategy"), "missing")
     singles = missing.select("job_id", prompt(F.col("text"), F.col("strategy")).alias("prompt"))
     single_answers = call_model(singles, call, "job_id", sleep=sleep, parallel=parallel, rpm=rpm)
-    recovered = apply_single(missing, single_answers).withColumn("calls", F.lit("single"))
-    return all_parsed(answered, recovered)
+    recovered = apply_single(missing, single_answers).withColumn("calls", F.lit("single")).withColumn(
+        "response", clip(F.col("response"), SINGLE_RAW_LIMIT))
+    calls = counted("llm_batch_calls", answers).union(counted("llm_single_calls", single_answers))
+    return all_parsed(answered, recovered), calls

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from docfields.functions.text import strip
 from docfields.operators.jobs import upsert_review
-from docfields.operators.reports import evaluation, export_buckets, export_row
+from docfields.operators.reports import export_buckets, export_row, run_report
+from docfields.session import materialise
 
 EXPORT_ROW = (
     "job_id string, file string, vendor string, date string, total double, confidence double, source string, "
@@ -30,8 +31,8 @@ CSV = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ign
 
 
 def write_csv(jobs: DataFrame, path: str) -> None:
-    """All rows, flat, with a header; without rows nothing is written."""
-    rows = export_row(jobs)
+    """All rows, flat, with a header; without rows nothing is written. The rows are computed once."""
+    rows = materialise(export_row(jobs), "export-rows")
     if not rows.isEmpty():
         rows.write.mode("overwrite").options(**CSV).csv(path)
 
@@ -64,6 +65,15 @@ def write_review_queue(existing: DataFrame, new: DataFrame, path: str) -> None:
     upsert_review(existing, new).write.mode("errorifexists").json(path)
 
 
-def write_summary(jobs: DataFrame, has_snapshot, path: str) -> None:
-    """The run's outcome counts as JSON (one row by construction, so one file is right)."""
-    evaluation(jobs, has_snapshot).coalesce(1).write.mode("overwrite").json(path)
+def write_summary(jobs: DataFrame, has_snapshot, path: str, metrics: DataFrame | None = None) -> None:
+    """What became of the run as JSON: outcome counts, metrics, observability, histogram, failure modes (one row by
+    construction, so one file is right)."""
+    told = jobs.sparkSession.createDataFrame([], "name string, n long") if metrics is None else metrics
+    run_report(jobs, has_snapshot, told).coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_export(jobs: DataFrame, has_snapshot, metrics: DataFrame, path: str) -> None:
+    """The whole export: rows by bucket, the same as CSV, and the report."""
+    write_buckets(jobs, f"{path}/buckets")
+    write_csv(jobs, f"{path}/csv")
+    write_summary(jobs, has_snapshot, f"{path}/report", metrics)
