@@ -130,6 +130,33 @@ QUERIES.add(
     f"WITH {S.WORDS}, {S.DATES} SELECT doc_id, date, date_conf, x, y, w, h FROM dates",
 )
 
+QUERIES.add(
+    "contested_total_candidates", "F7 F15 A5 W4",
+    lambda s, d: totals.total_candidates(fixtures.contested_totals(s, d)).select("doc_id", "row_ix", "label", "score", "val", *flat("bbox")),
+    f"WITH {S.CONTESTED_TOTALS}, {S.TOTALS} SELECT * FROM total_candidates",
+)
+QUERIES.add(
+    "contested_totals", "C1 F15 W4",
+    lambda s, d: totals.extract_total(fixtures.contested_totals(s, d)).select("doc_id", "total", "total_conf", *flat("total_bbox")),
+    f"WITH {S.CONTESTED_TOTALS}, {S.TOTALS} SELECT * FROM totals",
+)
+QUERIES.add(
+    "contested_totals_oversized", "C1 W1 W4",
+    lambda s, d: totals.extract_total(fixtures.contested_totals(s, d), hot_rows=36).select("doc_id", "total", "total_conf", *flat("total_bbox")),
+    f"WITH {S.CONTESTED_TOTALS}, {S.TOTALS} SELECT * FROM totals",
+)
+QUERIES.add(
+    "contested_date_candidates", "F14 F2 W4",
+    lambda s, d: dates.date_candidates(fixtures.contested_dates(s, d)).select("doc_id", "word_id", "raw", "date_conf", "score", *flat("bbox")),
+    f"""WITH {S.CONTESTED_DATES}, {S.DATES} SELECT doc_id, word_id, raw, date_conf, score, x, y, w, h FROM date_scores
+    QUALIFY row_number() OVER (PARTITION BY doc_id, word_id ORDER BY pi, mi) = 1""",
+)
+QUERIES.add(
+    "contested_dates", "C2 F3 F14 W4",
+    lambda s, d: dates.extract_date(fixtures.contested_dates(s, d)).select("doc_id", "date", "date_conf", *flat("date_bbox")),
+    f"WITH {S.CONTESTED_DATES}, {S.DATES} SELECT doc_id, date, date_conf, x, y, w, h FROM dates",
+)
+
 QUERIES.add("page_lines", "W2", lambda s, d: W.group_lines(vendors.header_words(words(s, d))).select("doc_id", "word_id", "line_ix"),
             f"WITH {S.WORDS}, {S.VENDORS} SELECT doc_id, word_id, line_ix FROM in_lines")
 QUERIES.add("header_lines", "A2 A3 A4 P4", lambda s, d: vendors.header_lines(words(s, d)),

@@ -2,8 +2,25 @@
 
 from __future__ import annotations
 
-from docfields.functions.scores import SKIP_LABELS, TOTAL_LABELS
-from docfields.functions.text import NEGATIVE_PHRASES, POSITIVE_WORDS
+# The contract's lists, written out a second time so that a wrong entry in the library shows.
+SKIP_LABELS = (
+    r"\bdiscount\b", r"rounding", r"total\s*gst", r"sub.?total", r"tax", r"paid", r"total\s*qty", r"total\s*item", r"change", r"cash",
+    r"tendered",
+)
+TOTAL_LABELS = (
+    (r"total\s*payable", 4000), (r"net\s*payable", 3950), (r"amount\s*payable", 3900), (r"amount\s*due", 3850), (r"balance\s*due", 3800),
+    (r"rounded\s*total\s*\(?rm\)?", 3200), (r"total\s*rounded", 3100), (r"grand\s*total", 3100), (r"total\s*sales\s*[\(\[]?inclu", 2900),
+    (r"total\s*amount", 2500), (r"total\s*sales", 2400), (r"total\s*amt", 2300), (r"total\s*gross", 2200), (r"\btotal\b", 2000),
+)
+POSITIVE_WORDS = (
+    "enterprise", "trading", "store", "mart", "supermarket", "restaurant", "restoran", "cafe", "bakery", "coffee", "shop", "sdn bhd", "sdn. bhd",
+    "bhd", "ltd", "limited", "co.", "hardware", "machinery", "motor", "perniagaan", "gift", "deco",
+)
+NEGATIVE_PHRASES = (
+    "tax invoice", "simplified tax invoice", "invoice", "receipt", "cash bill", "cash sales", "tel:", "fax:", "gst", "reg no", "co.reg", "date",
+    "time", "cashier", "salesperson", "member", "thank you", "welcome", "change:", "cash:", "amount", "jalan", "jln", "road", "street", "lane",
+    "drive", "taman", "tmn", "bandar", "lot ", "block", "johor", "selangor", "kuala lumpur", "shah alam", "seri kembangan", "petaling jaya",
+)
 
 WORDS = """
 o AS (
@@ -46,6 +63,34 @@ words AS (
   FROM t)
 """
 
+
+
+def _with(more: str) -> str:
+    """WORDS with the further texts of ``more`` (k, line_no, pos, text)."""
+    return WORDS.replace("words AS (", f"more AS (SELECT k, line_no, pos, text FROM t UNION ALL {more}),\nwords AS (").replace("FROM t)\n", "FROM more)\n")
+
+
+def _less(n: int) -> str:
+    return f"CAST(CAST(tot AS decimal(12,2)) - {n} AS string)"
+
+
+CONTESTED_TOTALS = _with(f"""
+  SELECT k, CAST(unnest(range(24, 32)) AS int), 0, 'ITEM' FROM o
+  UNION ALL SELECT k, 32, 0, 'AMOUNT' FROM o UNION ALL SELECT k, 32, 1, 'PAYABLE' FROM o UNION ALL SELECT k, 32, 2, {_less(4)} FROM o
+  UNION ALL SELECT k, 33, 0, 'TOTAL' FROM o WHERE k % 2 = 0 UNION ALL SELECT k, 33, 1, 'AMOUNT' FROM o WHERE k % 2 = 0
+  UNION ALL SELECT k, 33, 2, {_less(2)} FROM o WHERE k % 2 = 0
+  UNION ALL SELECT k, 34, 0, 'Balance' FROM o WHERE k % 3 = 0 UNION ALL SELECT k, 34, 1, 'due' FROM o WHERE k % 3 = 0
+  UNION ALL SELECT k, 34, 2, {_less(8)} FROM o WHERE k % 3 = 0""")
+CONTESTED_DATES = _with("""
+  SELECT k, 1, 3, 'InvoiceDate:05/06/2017' FROM o WHERE k % 4 = 0
+  UNION ALL SELECT k, 1, 4, '2016/07/08' FROM o WHERE k % 3 = 0
+  UNION ALL SELECT k, 2, 2, CASE k % 5 WHEN 0 THEN '12 Mar 2019' WHEN 1 THEN 'March 3, 2018' ELSE '日期:7/8/2018' END FROM o WHERE k % 5 < 3
+  UNION ALL SELECT k, 1, 5, '01/02/2018' FROM o WHERE k % 6 = 1
+  UNION ALL SELECT k, 1, 215, '03/04/2018' FROM o WHERE k % 6 = 1""").replace("words AS (", "boxed AS (") + """,
+words AS (SELECT * REPLACE (CASE WHEN lost THEN NULL ELSE x END AS x, CASE WHEN lost THEN NULL ELSE y END AS y,
+    CASE WHEN lost THEN NULL ELSE w END AS w, CASE WHEN lost THEN NULL ELSE h END AS h) FROM (SELECT *, doc_id % 9 = 0 AND word_id = 201 AS lost FROM boxed))
+"""
+
 JOBS = """
 jobs AS (
   SELECT CAST(o_orderkey AS string) AS job_id, 'images/' || CAST(o_orderkey AS string) || '.jpg' AS image_path,
@@ -132,6 +177,7 @@ totals AS (SELECT doc_id, val AS total, least(1e0, score / 3200e0) AS total_conf
            QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, row_ix) = 1)
 """
 
+# The written forms of a date by the contract.
 DATE_PATTERNS = (
     r"\b\d{1,2}[/-]\d{1,2}[/-]\d{2,4}\b", r"\b\d{4}[/-]\d{1,2}[/-]\d{1,2}\b",
     r"\b\d{1,2}\s+[A-Za-z]{3,9}\s+\d{2,4}\b", r"\b[A-Za-z]{3,9}\s+\d{1,2},?\s+\d{2,4}\b",
@@ -143,7 +189,10 @@ NORMAL_DATE = r"""coalesce(strftime(CASE
   WHEN regexp_full_match(raw, '\d{1,2}/\d{1,2}/\d{2}') THEN try_strptime(raw, '%d/%m/%y')
   WHEN regexp_full_match(raw, '\d{1,2}-\d{1,2}-\d{2}') THEN try_strptime(raw, '%d-%m-%y')
   WHEN regexp_full_match(raw, '\d{4}/\d{1,2}/\d{1,2}') THEN try_strptime(raw, '%Y/%m/%d')
-  WHEN regexp_full_match(raw, '\d{4}-\d{1,2}-\d{1,2}') THEN try_strptime(raw, '%Y-%m-%d') END, '%d/%m/%Y'), raw)"""
+  WHEN regexp_full_match(raw, '\d{4}-\d{1,2}-\d{1,2}') THEN try_strptime(raw, '%Y-%m-%d')
+  WHEN regexp_full_match(raw, '\d{1,2}\s+[A-Za-z]+\s+\d{4}') THEN coalesce(try_strptime(raw, '%d %b %Y'), try_strptime(raw, '%d %B %Y'))
+  WHEN regexp_full_match(raw, '[A-Za-z]+\s+\d{1,2},?\s+\d{4}') THEN coalesce(try_strptime(replace(raw, ',', ''), '%b %d %Y'),
+    try_strptime(replace(raw, ',', ''), '%B %d %Y')) END, '%d/%m/%Y'), raw)"""
 
 DATES = f"""
 seen AS (SELECT *, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS clean FROM words WHERE trim(text) <> ''),
@@ -155,7 +204,7 @@ date_scores AS (
   SELECT *, conf / 100e0 AS date_conf,
          (CASE WHEN contains(lower(clean), 'date') THEN 50 ELSE 0 END
           + CASE WHEN contains(lower(clean), 'invoice') THEN 20 ELSE 0 END)
-         + greatest(0e0, 100e0 - (y + h / 2e0) * 0.5e0) + (conf / 100e0) * 20e0 AS score
+         + greatest(0e0, 100e0 - coalesce(y + h / 2e0, 0) * 0.5e0) + (conf / 100e0) * 20e0 AS score
   FROM date_matches),
 dates AS (SELECT doc_id, {NORMAL_DATE} AS date, date_conf, x, y, w, h, raw FROM date_scores
           QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, word_id, pi, mi) = 1)

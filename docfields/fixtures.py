@@ -69,12 +69,15 @@ def receipt_words(spark: SparkSession, folder: str) -> DataFrame:
             F.posexplode(F.array(F.lit("ITEM"), _cents(F.col("price")).cast("string"))).alias("pos", "text"),
         )
     )
+    return _boxes(frame.filter(F.col("text").isNotNull()).unionByName(items))
+
+
+def _boxes(printed: DataFrame) -> DataFrame:
+    """Texts by document, line and position as word boxes."""
     line, pos, text, k = F.col("line_no"), F.col("pos"), F.col("text"), F.col("k")
     mark = k + line * 3 + pos
     return (
-        frame.filter(text.isNotNull())
-        .unionByName(items)
-        .select(
+        printed.select(
             k.alias("doc_id"),
             (line * 100 + pos).cast("int").alias("word_id"),
             "text",
@@ -89,6 +92,37 @@ def receipt_words(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _more(spark: SparkSession, folder: str, printed: list[tuple[int, int, Column]]) -> DataFrame:
+    """Further boxes on the receipts."""
+    cells = F.array(*[F.struct(F.lit(line).alias("line_no"), F.lit(pos).alias("pos"), text.alias("text")) for line, pos, text in printed])
+    rows = _orders(spark, folder).select(F.col("o_orderkey").alias("k"), F.explode(cells).alias("c")).select("k", "c.*")
+    return _boxes(rows.filter(F.col("text").isNotNull()))
+
+
+def contested_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Receipts with two to five labelled amounts, some of which score the same (a label 50 better, ten rows lower)."""
+    k, total = F.col("o_orderkey"), F.col("o_totalprice")
+    amount = lambda less: (_cents(total) - F.lit(less)).cast("string")
+    printed = [(line, 0, F.lit("ITEM")) for line in range(24, 32)] + [
+        (32, 0, F.lit("AMOUNT")), (32, 1, F.lit("PAYABLE")), (32, 2, amount(4)),
+        (33, 0, F.when(k % 2 == 0, "TOTAL")), (33, 1, F.when(k % 2 == 0, "AMOUNT")), (33, 2, F.when(k % 2 == 0, amount(2))),
+        (34, 0, F.when(k % 3 == 0, "Balance")), (34, 1, F.when(k % 3 == 0, "due")), (34, 2, F.when(k % 3 == 0, amount(8)))]
+    return receipt_words(spark, folder).unionByName(_more(spark, folder, printed))
+
+
+def contested_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """Receipts with up to five dates: with and without a keyword, months in words, equal scores, and words without a box."""
+    k = F.col("o_orderkey")
+    printed = [
+        (1, 3, F.when(k % 4 == 0, "InvoiceDate:05/06/2017")), (1, 4, F.when(k % 3 == 0, "2016/07/08")),
+        (2, 2, F.when(k % 5 == 0, "12 Mar 2019").when(k % 5 == 1, "March 3, 2018").when(k % 5 == 2, "日期:7/8/2018")),
+        # The same height and confidence, so the earlier word wins.
+        (1, 5, F.when(k % 6 == 1, "01/02/2018")), (1, 215, F.when(k % 6 == 1, "03/04/2018"))]
+    words = receipt_words(spark, folder).unionByName(_more(spark, folder, printed))
+    lost = (F.col("doc_id") % 9 == 0) & (F.col("word_id") == 201)
+    return words.withColumns({c: F.when(~lost, F.col(c)) for c in ("x", "y", "w", "h")})
+
+
 def jobs(spark: SparkSession, folder: str) -> DataFrame:
     k = F.col("o_orderkey")
     done = k % 10 < 6
