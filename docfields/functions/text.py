@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import re
+import string
+import sys
+import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -68,6 +71,37 @@ def clean_line(c: Column) -> Column:
     return strip(F.regexp_replace(c, r"(?U)[^A-Za-z\s\x1c-\x1f&.'\-()]", ""))
 
 
+def _compatible_forms() -> tuple[str, str, dict[str, str], str]:
+    """By rule from Unicode: what compatibility normalisation makes of each character, as far as :func:`clean_line` keeps
+    it: characters with one result and those results, characters with several, and a pattern of letter and mark pairs
+    that become one accented letter, which is not kept."""
+    kept = re.compile(r"[A-Za-z\s\x1c-\x1f&.'\-()]")
+    single, to, several = [], [], {}
+    for code in range(0x80, sys.maxunicode + 1):
+        c = chr(code)
+        made = "" if 0xD800 <= code < 0xE000 else "".join(kept.findall(unicodedata.normalize("NFKC", c)))
+        if len(made) == 1 and made != c:
+            single.append(c)
+            to.append(made)
+        elif len(made) > 1:
+            several[c] = made
+    marks = [chr(m) for m in range(0x300, 0x370)]
+    pairs = ((a, "".join(m for m in marks if len(unicodedata.normalize("NFC", a + m)) == 1)) for a in string.ascii_letters)
+    return "".join(single), "".join(to), several, "|".join(f"{a}[{m}]" for a, m in pairs if m)
+
+
+SINGLE_FORMS, SINGLE_RESULTS, SEVERAL_FORMS, ACCENTED_PAIRS = _compatible_forms()
+
+
+def compatible(c: Column) -> Column:
+    """F8 for a line that :func:`clean_line` comes next to: compatibility-normalised as far as that keeps it, without
+    leaving the JVM. Only lines with other than ASCII characters are touched."""
+    one = F.translate(F.regexp_replace(c, ACCENTED_PAIRS, ""), SINGLE_FORMS, SINGLE_RESULTS)
+    forms = F.create_map(*[F.lit(x) for pair in SEVERAL_FORMS.items() for x in pair])
+    whole = F.array_join(F.transform(F.split(one, ""), lambda x: F.coalesce(F.try_element_at(forms, x), x)), "")
+    return F.when(is_ascii(c), c).otherwise(F.when(one.rlike(f"[{''.join(SEVERAL_FORMS)}]"), whole).otherwise(one))
+
+
 def uppercase_ratio(c: Column) -> Column:
     """share of capitals among the letters of a cleaned line; 0.0 without letters."""
     letters = F.length(F.regexp_replace(c, "[^A-Za-z]+", ""))

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from docfields.functions.text import NEGATIVE_PHRASES
 from docfields.operators.dates import extract_date
-from docfields.operators.scans import HOT_ROWS, oversized
+from docfields.operators.scans import HOT_ROWS
 from docfields.operators.totals import extract_total
 from docfields.operators.vendors import extract_vendor
-from docfields.operators.words import doc_confidence
+from docfields.operators.words import doc_summary
+from docfields.session import materialise
 
 MODEL_CONF = 0.85
 
@@ -18,13 +19,17 @@ MODEL_CONF = 0.85
 def extract_fields(words: DataFrame, phrases=NEGATIVE_PHRASES, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Vendor, total and date of every document, also of those where nothing is found.
 
-    All four inputs are grouped by ``doc_id``, so the joins reuse that partitioning. Oversized documents are counted
-    once for all of them.
+    All four inputs are grouped by ``doc_id``, so the joins reuse that partitioning. The pass for the confidence also
+    counts rows, so that oversized documents need no pass of their own; its result, a row for each document, is written.
     """
-    hot = None if hot_rows is None else oversized(words, ["doc_id"], hot_rows)
+    base, hot = doc_summary(words), None
+    if hot_rows is not None:
+        base = materialise(base, "documents")
+        large = base.filter(F.col("n_rows") > hot_rows).select("doc_id")
+        hot = None if large.isEmpty() else large
     zero = F.lit(0.0)
     return (
-        doc_confidence(words)
+        base.drop("n_rows")
         .join(extract_vendor(words, phrases, None, hot), "doc_id", "left")
         .join(extract_total(words, hot_rows=None, hot=hot), "doc_id", "left")
         .join(extract_date(words), "doc_id", "left")

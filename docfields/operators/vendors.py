@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docfields.functions.scores import vendor_conf, vendor_score
-from docfields.functions.text import NEGATIVE_PHRASES, clean_line, is_bad_line, strip_word
+from docfields.functions.text import NEGATIVE_PHRASES, clean_line, compatible, is_bad_line, strip_word
 from docfields.operators.scans import HOT_ROWS, chunked, oversized, split
 from docfields.operators.words import (
     HEADER_LINES, HEADER_SHARE, LINE_GAP, _mark_lines, first_lines, group_lines, header_band, is_unreliable,
@@ -16,19 +16,21 @@ from docfields.operators.words import (
 )
 
 
-def header_words(words: DataFrame, share: float = HEADER_SHARE) -> DataFrame:
+def header_words(words: DataFrame, share: float = HEADER_SHARE, normal: bool = True) -> DataFrame:
+    """Words of the header; ``normal`` has each compatibility-normalised in full."""
     kept = nonblank(header_band(words, share)).select(
         "doc_id", "word_id", strip_word(F.col("text")).alias("text"), "conf", "x", "y", "w", "h"
     )
-    return normalize_words(kept)
+    return normalize_words(kept) if normal else kept
 
 
 def header_lines(
     words: DataFrame, share: float = HEADER_SHARE, y_tol: int = LINE_GAP, n: int = HEADER_LINES,
     hot_rows: int | None = HOT_ROWS, hot: DataFrame | None = None, tidy: Callable[[Column], Column] = lambda text: text,
+    normal: bool = True,
 ) -> DataFrame:
     """The first lines of the header with text, confidence and height figures and box."""
-    header = header_words(words, share)
+    header = header_words(words, share, normal)
     if hot is None and hot_rows is not None:
         hot = oversized(words, ["doc_id"], hot_rows)
     if hot is None:
@@ -81,7 +83,9 @@ def extract_vendor(
     words: DataFrame, phrases=NEGATIVE_PHRASES, hot_rows: int | None = HOT_ROWS, hot: DataFrame | None = None
 ) -> DataFrame:
     """Best vendor name, confidence and box; among equal scores the greatest text, then box."""
-    candidates = vendor_candidates(vendor_lines(header_lines(words, hot_rows=hot_rows, hot=hot, tidy=clean_line), phrases))
+    # Lines, not words, are normalised: at most eight a document, and without a Python worker.
+    lines = header_lines(words, hot_rows=hot_rows, hot=hot, tidy=lambda text: clean_line(compatible(text)), normal=False)
+    candidates = vendor_candidates(vendor_lines(lines, phrases))
     best = F.max(F.struct("score", "text", F.struct("x", "y", "w", "h").alias("bbox")))
     strong = F.col("b.score") >= 80
     return candidates.groupBy("doc_id").agg(best.alias("b")).select(

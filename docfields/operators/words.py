@@ -55,12 +55,15 @@ def normalize_words(words: DataFrame) -> DataFrame:
 
 def doc_confidence(words: DataFrame) -> DataFrame:
     """A1: mean recognition confidence of the non-blank words of every document, 0.0 without any."""
+    return doc_summary(words).drop("n_rows")
+
+
+def doc_summary(words: DataFrame) -> DataFrame:
+    """A1 and ``n_rows``, all rows of the document, from one pass that combines before the shuffle."""
     counted = ~is_blank(F.col("text"))
-    total = F.sum(F.when(counted, F.col("conf")))
-    n = F.count(F.when(counted, F.col("conf")))
+    total, n = F.sum(F.when(counted, F.col("conf"))), F.count(F.when(counted, F.col("conf")))
     return words.groupBy("doc_id").agg(
-        F.coalesce(total / (n * F.lit(100.0)), F.lit(0.0)).alias("ocr_conf"), n.alias("n_words")
-    )
+        F.coalesce(total / (n * F.lit(100.0)), F.lit(0.0)).alias("ocr_conf"), n.alias("n_words"), F.count(F.lit(1)).alias("n_rows"))
 
 
 def _mark_rows(rows: OrderedRows, gap: int) -> DataFrame:

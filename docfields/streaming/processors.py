@@ -19,6 +19,8 @@ TRACKED = (
     "job_id string, event string, status string, failures int, strategy string, due_ms long, error string, "
     "history string"
 )
+# How long a tracked job is remembered after its last change: 30 days.
+KEPT_MS = 30 * 24 * 3_600_000
 CIRCUIT = "key string, event_id long, at double, allowed boolean, open_until double"
 
 
@@ -35,16 +37,17 @@ class JobTracker(StatefulProcessor):
     """Failures of one job: counts them, picks the next strategy, arms a timer for the retry and closes the job.
 
     State is a counter, a flag and the strategy per job, plus its short history, which goes out with a job sent to
-    review; finished jobs keep the final status only.
+    review; finished jobs keep the final status only. What has not changed for ``ttl_ms`` is forgotten, so that state
+    does not grow with all jobs that ever were.
     """
 
-    def __init__(self, max_failures: int, delay_ms: Callable[[int], int]):
-        self.max_failures, self.delay_ms = max_failures, delay_ms
+    def __init__(self, max_failures: int, delay_ms: Callable[[int], int], ttl_ms: int | None = None):
+        self.max_failures, self.delay_ms, self.ttl_ms = max_failures, delay_ms, ttl_ms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.current = handle.getValueState("current", "failures int, strategy string, status string")
-        self.history = handle.getListState("history", "stage string, error string, strategy string")
+        self.current = handle.getValueState("current", "failures int, strategy string, status string", self.ttl_ms)
+        self.history = handle.getListState("history", "stage string, error string, strategy string", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         failures, strategy, status = self.current.get() or (0, None, "OPEN")
@@ -95,10 +98,13 @@ def _tracked(rows: list[tuple]) -> pd.DataFrame:
 
 
 def track_jobs(
-    outcomes: DataFrame, max_failures: int = 2, base_ms: int = 5000, cap_ms: int = 900_000
+    outcomes: DataFrame, max_failures: int = 2, base_ms: int = 5000, cap_ms: int = 900_000, ttl_ms: int = KEPT_MS
 ) -> DataFrame:
-    """job_id, seq, stage, ok, error, strategy in; one row per outcome and one per retry that falls due out."""
-    tracker = JobTracker(max_failures, lambda k: min(cap_ms, base_ms * 2 ** k))
+    """job_id, seq, stage, ok, error, strategy in; one row per outcome and one per retry that falls due out.
+
+    A job that nothing has happened to for ``ttl_ms`` (longer than any retry waits) starts anew.
+    """
+    tracker = JobTracker(max_failures, lambda k: min(cap_ms, base_ms * 2 ** k), ttl_ms)
     return outcomes.groupBy("job_id").transformWithStateInPandas(
         statefulProcessor=tracker, outputStructType=TRACKED, outputMode="Update", timeMode="ProcessingTime"
     )

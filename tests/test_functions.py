@@ -189,3 +189,28 @@ def test_a_date_without_a_box_scores_as_the_top_of_the_page(spark):
     row = spark.sql("SELECT 'x' AS t, CAST(NULL AS int) AS y, CAST(NULL AS int) AS h, 0.5D AS c").select(
         S.date_score(F.col("t"), F.col("y"), F.col("h"), F.col("c")).alias("s")).first()
     assert row.s == 110.0
+
+
+def test_lines_are_normalised_as_far_as_they_are_kept(spark):
+    """Against the standard library: every character on its own between letters, and mixed lines."""
+    import random
+    import sys
+
+    rng = random.Random(8)
+    texts = [f"a{chr(c)}B" for c in range(0x80, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) != "Mn"]
+    alphabet = ["Ｋ", "ﬁ", "℡", "Ⅷ", "é", "é", "q́", "㈱", "　", "ａ", "x", ". ", "№", "日", "½", " "]
+    texts += ["".join(rng.choices(alphabet, k=8)) for _ in range(3000)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", X.clean_line(X.compatible(F.col("t"))).alias("c"))
+    plain = spark.createDataFrame([(i, unicodedata.normalize("NFKC", t)) for i, t in enumerate(texts)], "i int, t string").select("i", X.clean_line(F.col("t")).alias("c"))
+    assert rows.exceptAll(plain).count() == 0
+
+
+def test_field_extraction_stays_in_the_jvm(spark, small):
+    from docfields import fixtures
+    from docfields.operators.routing import extract_fields
+    from docfields.session import materialise
+
+    words = materialise(fixtures.receipt_words(spark, small), "words")
+    plan = extract_fields(words)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+    assert plan.count("FileScan") <= 4
