@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; the temporaries are some 60 times that. A longer text is handled alone and whole.
-BATCH_BYTES = 1 << 21
+BATCH_BYTES = 1 << 20
 
 U64 = np.uint64
 GOLDEN = U64(0x9E3779B97F4A7C15)

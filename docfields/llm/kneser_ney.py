@@ -23,7 +23,7 @@ from docfields.session import materialise
 
 END = mix(np.array([0x454E44], dtype=U64))
 #: Distinct entries that a counting task holds before it passes them on.
-HELD = 4_000_000
+HELD = 1_500_000
 STATS = (("follows", "<i8"), ("total", "<i8"), ("once", "<i8"), ("twice", "<i8"), ("more", "<i8"))
 
 
@@ -41,7 +41,7 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     new = np.ones(len(keys), dtype=bool)
     new[1:] = keys[1:] != keys[:-1]
     first = np.flatnonzero(new)
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+    return keys[first], np.add.reduceat(counts, first, dtype=counts.dtype) if len(first) else counts
 
 
 class Counter:
@@ -53,7 +53,7 @@ class Counter:
 
     def add(self, keys: np.ndarray) -> None:
         keys, counts = np.unique(keys, return_counts=True)
-        self.parts.append((keys, counts))
+        self.parts.append((keys, counts.astype(np.uint32)))
         self.held += len(keys)
         if self.held > HELD:
             self.parts = [self.all()]
@@ -61,8 +61,10 @@ class Counter:
 
     def all(self) -> tuple[np.ndarray, np.ndarray]:
         if not self.parts:
-            return np.zeros(0, dtype=U64), np.zeros(0, dtype=np.int64)
-        return summed(*(np.concatenate(x) for x in zip(*self.parts, strict=True)))
+            return np.zeros(0, dtype=U64), np.zeros(0, dtype=np.uint32)
+        keys, counts = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        self.parts = []
+        return summed(keys, counts)
 
     def full(self) -> bool:
         return self.held > HELD // 2
@@ -279,8 +281,8 @@ def count_words(docs: DataFrame, text: str, ranges: int, folder: str) -> DataFra
 
     def merge(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        keys, counts = summed(*_unpacked(table.column("data").to_pylist(), "<u8", "<u4"))
-        counts = counts.astype(np.int64)
+        keys, counts = _unpacked(table.column("data").to_pylist(), "<u8", "<u4")
+        keys, counts = summed(keys, counts.astype(np.int64))
         often = np.flatnonzero(counts > counts.sum() // 64)  # candidates for frequent words: at most 64 of a range
         data = keys[often].tobytes() + counts[often].tobytes()
         return pa.Table.from_pylist([{"part": part, "file": _write(folder, f"words-{part}", keys, counts), "n": len(keys),
