@@ -8,17 +8,17 @@ import numpy as np
 from pyarrow import fs
 from pyspark.sql import SparkSession
 
-from docfields.session import shared_folder
+from docfields.session import run_folder
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A URI in the shared folder that no other run uses."""
-    folder = shared_folder(spark)
+    """A URI in this application's part of the shared folder that nothing else uses."""
+    folder = run_folder(spark)
     if folder.startswith("/"):
         folder = f"file://{folder}"
     elif folder.startswith("file:/") and not folder.startswith("file://"):
         folder = f"file://{folder[5:]}"
-    return f"{folder}/docfields/{name}-{uuid.uuid4().hex}"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def create(uri: str):
