@@ -9,23 +9,32 @@ from pyspark.sql import functions as F
 STRATEGIES = ("default", "strict_json", "after_validation_fail", "ocr_retry")
 
 
-def _fresh(previous: Column) -> Column:
-    return F.coalesce(previous, F.lit("")).isin("", "default")
+# The next strategy by what failed and what was tried before (nothing counts as default); the empty text
+# stands for any other strategy, and any other failure gets OTHER_NEXT.
+NEXT = {
+    "llm": {"default": "strict_json", "": "ocr_retry"},
+    "validation": {"default": "after_validation_fail", "after_validation_fail": "strict_json", "": "ocr_retry"},
+}
+OTHER_NEXT = "strict_json"
 
 
 def next_strategy(failure_class: Column, previous: Column) -> Column:
     """the next prompt strategy, given what failed and what was tried."""
-    after_model = F.when(_fresh(previous), "strict_json").otherwise("ocr_retry")
-    after_validation = (
-        F.when(_fresh(previous), "after_validation_fail")
-        .when(previous == "after_validation_fail", "strict_json")
-        .otherwise("ocr_retry")
-    )
-    return (
-        F.when(failure_class == "llm", after_model)
-        .when(failure_class == "validation", after_validation)
-        .otherwise("strict_json")
-    )
+    tried = F.coalesce(F.nullif(previous, F.lit("")), F.lit("default"))
+    out = F.lit(OTHER_NEXT)
+    for failed, table in NEXT.items():
+        chosen = F.lit(table[""])
+        for before, following in table.items():
+            if before:
+                chosen = F.when(tried == before, following).otherwise(chosen)
+        out = F.when(failure_class == failed, chosen).otherwise(out)
+    return out
+
+
+def next_strategy_of(failure_class: str, previous: str | None) -> str:
+    """The same for one job at a time."""
+    table = NEXT.get(failure_class, {"": OTHER_NEXT})
+    return table.get(previous or "default", table[""])
 
 
 def base_delay(k: Column, base: float = 5.0, cap: float = 900.0) -> Column:

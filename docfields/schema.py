@@ -45,16 +45,6 @@ JOBS = T.StructType([
     T.StructField("updated_at", T.TimestampType()),
 ])
 
-CORRECTIONS = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("job_id", T.StringType()),
-    T.StructField("vendor", T.StringType()),
-    T.StructField("invoice_date", T.StringType()),
-    T.StructField("total_amount", T.DoubleType()),
-    T.StructField("reviewer_note", T.StringType()),
-    T.StructField("created_at", T.TimestampType()),
-])
-
 ATTEMPTS = T.StructType([
     T.StructField("job_id", T.StringType()),
     T.StructField("ts", T.TimestampType()),
@@ -63,13 +53,5 @@ ATTEMPTS = T.StructType([
     T.StructField("strategy", T.StringType()),
 ])
 
-# Job states and where a value came from.
-STATUSES = (
-    "PENDING", "PROCESSING", "OCR_DONE", "POST_OCR_DONE", "LLM_PENDING", "VALIDATING",
-    "SUCCESS", "RETRY_SCHEDULED", "DLQ", "NEEDS_REVIEW",
-)
+# The states in which nothing more happens to a job by itself.
 TERMINAL = ("SUCCESS", "NEEDS_REVIEW", "DLQ")
-SOURCES = ("OCR_RULE", "OCR_LLM", "LLM", "HUMAN", "UNKNOWN")
-EXPORT_COLUMNS = (
-    "job_id", "file", "vendor", "date", "total", "confidence", "source", "status", "retry_count", "last_error",
-)

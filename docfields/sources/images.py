@@ -15,12 +15,5 @@ def image_files(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("path", "modificationTime", "length").orderBy("path")
 
 
-def image_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The same listing as files arrive."""
-    return spark.readStream.format("binaryFile").schema(
-        "path string, modificationTime timestamp, length long, content binary"
-    ).load(f"{folder.rstrip('/')}/{IMAGE_GLOB}").select("path", "modificationTime", "length")
-
-
 def image_names(files: DataFrame) -> DataFrame:
     return files.select(F.element_at(F.split("path", "/"), -1).alias("name"))

@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor
 
+from docfields.functions.retries import next_strategy_of
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -24,15 +25,6 @@ KEPT_MS = 30 * 24 * 3_600_000
 CIRCUIT = "key string, event_id long, at double, allowed boolean, open_until double"
 
 
-def following_strategy(stage: str, previous: str | None) -> str:
-    """F23 for one job at a time."""
-    if stage not in ("llm", "validation"):
-        return "strict_json"
-    if previous in (None, "", "default"):
-        return "strict_json" if stage == "llm" else "after_validation_fail"
-    return "strict_json" if (stage, previous) == ("validation", "after_validation_fail") else "ocr_retry"
-
-
 class JobTracker(StatefulProcessor):
     """Failures of one job: counts them, picks the next strategy, arms a timer for the retry and closes the job.
 
@@ -64,7 +56,7 @@ class JobTracker(StatefulProcessor):
                 if failures >= self.max_failures:
                     status = "NEEDS_REVIEW"
                 else:
-                    status, strategy = "RETRY_SCHEDULED", following_strategy(
+                    status, strategy = "RETRY_SCHEDULED", next_strategy_of(
                         row.stage, row.strategy or (strategy if row.stage == "validation" else None))
                     due = timerValues.getCurrentProcessingTimeInMs() + self.delay_ms(failures - 1)
                     self.handle.registerTimer(due)

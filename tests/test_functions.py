@@ -90,10 +90,10 @@ def test_validation_codes(spark):
     ("validation", "strict_json", "ocr_retry"), ("validation", "ocr_retry", "ocr_retry"), ("ocr", "default", "strict_json"),
 ])
 def test_next_strategy(spark, failed, previous, expected):
-    from docfields.streaming.processors import following_strategy
+    from docfields.functions.retries import next_strategy_of
 
     assert results(spark, [previous], R.next_strategy(F.lit(failed), s("s"))) == [expected]
-    assert following_strategy(failed, previous) == expected
+    assert next_strategy_of(failed, previous) == expected
 
 
 def test_backoff_grows_to_the_cap_with_stable_jitter(spark):
