@@ -21,7 +21,7 @@ from docfields.session import materialise
 CELLS, HEAVY = 16_384, 1 / 256
 VIRTUAL_NODES = 128
 #: A shard's load may exceed the mean by this share.
-SLACK = 0.002
+SLACK = 0.0001
 
 
 def nodes(shards: int, virtual: int = VIRTUAL_NODES) -> tuple[np.ndarray, np.ndarray]:
