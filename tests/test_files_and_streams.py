@@ -53,7 +53,7 @@ def test_export_files(spark, small, tmp_path):
     exports.write_csv(jobs.limit(0), str(tmp_path / "empty"))
     assert not (tmp_path / "empty").exists()
     exports.write_summary(jobs, F.col("has_ocr_snapshot"), str(tmp_path / "summary"))
-    assert spark.read.json(str(tmp_path / "summary")).first().receipt_count == 1500
+    assert spark.read.json(str(tmp_path / "summary")).first().outcomes.receipt_count == 1500
 
 
 def test_nested_export_document(spark, tmp_path):
