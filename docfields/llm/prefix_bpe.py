@@ -145,7 +145,7 @@ class PrefixTable:
 
 _loaded: dict[str, tuple[Merges, PieceEncoder]] = {}
 #: Pairs of tokens whose answer a worker remembers.
-REMEMBERED_PAIRS = 1_000_000
+REMEMBERED_PAIRS = 500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -173,6 +173,19 @@ def load(path: str) -> tuple[Merges, PieceEncoder]:
     return _loaded[path]
 
 
+_bytes: dict[str, list[bytes]] = {}
+
+
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of every token; all that decoding needs."""
+    if path not in _bytes:
+        ranks = read_ranks(path)
+        _bytes[path] = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            _bytes[path][rank] = token
+    return _bytes[path]
+
+
 def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with the token ids of ``text`` as ``array<int>`` in column ``ids``, replaced if it exists.
 
@@ -200,7 +213,7 @@ def decode(tokens: DataFrame, vocabulary: str, ids: str = "ids", data: str = "by
     schema = T.StructType([tokens.schema[c] for c in names] + [T.StructField(data, T.BinaryType())])
 
     def run(batches):
-        pieces = load(vocabulary)[0].bytes
+        pieces = token_bytes(vocabulary)
         for batch in batches:
             column = batch.column(ids)
             values, marks = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
