@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docfields.llm.arrays import parts
-from docfields.llm.pieces import library_encoder
+from docfields.llm.pieces import LIBRARY_BATCH, library_encoder
 
 #: Documents whose rests are packed together.
 WINDOW = 50_000
@@ -145,7 +145,7 @@ def pack(docs: DataFrame, vocabulary: str, length: int = 1024, max_segments: int
 
         keys, rests, kept, bases, totals = [], [], [], [], []  # of the window's rests
         for batch in batches:
-            for part, texts in parts(batch, "_text"):
+            for part, texts in parts(batch, "_text", LIBRARY_BATCH):
                 flat, counts = encoder.ids(texts)
                 flat = np.insert(flat, np.cumsum(counts), end_id)
                 marks = np.concatenate([[0], np.cumsum(counts + 1)]).tolist()

@@ -20,7 +20,9 @@ WHITE_SPACE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x20
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 
 #: Distinct pieces that a worker remembers; beyond, it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
+#: The same for the tokenizers library, which keeps less beside it, and the bytes of text that are best cut at once for it.
+LIBRARY_REMEMBERED, LIBRARY_BATCH = 1_000_000, 1 << 21
 
 _tables: list[np.ndarray] = []
 
@@ -72,11 +74,11 @@ def piece_starts(points: np.ndarray, begins: np.ndarray) -> np.ndarray:
 class PieceEncoder:
     """``ids(texts)`` through ``encode``, which gives the ids of each piece of a list.
 
-    A piece is known by its 64-bit hash: among the million remembered, a new one meets a wrong match once in 10^13.
+    A piece is known by its 64-bit hash: among those remembered, a new one meets a wrong match once in 10^13.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], dtype=np.uint32):
-        self.encode, self.dtype = encode, dtype
+    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], dtype=np.uint32, remembered: int = REMEMBERED):
+        self.encode, self.dtype, self.remembered = encode, dtype, remembered
         self.clear()
 
     def clear(self) -> None:
@@ -121,7 +123,7 @@ class PieceEncoder:
             range_hash(tables()[1][points], starts, ends), return_index=True, return_inverse=True)
         at, known = self._find(hashes)
         if not known.all():
-            if len(self.hashes) and len(self.hashes) + np.count_nonzero(~known) > REMEMBERED:
+            if len(self.hashes) and len(self.hashes) + np.count_nonzero(~known) > self.remembered:
                 self.clear()
                 known[:] = False
             new = first[~known]
@@ -154,5 +156,5 @@ def library_encoder(path: str) -> PieceEncoder:
         def encode(pieces: list[str]) -> list[list[int]]:
             return [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-        _encoders[path] = PieceEncoder(encode, np.uint16 if small else np.uint32)
+        _encoders[path] = PieceEncoder(encode, np.uint16 if small else np.uint32, LIBRARY_REMEMBERED)
     return _encoders[path]

@@ -173,6 +173,8 @@ def load(path: str) -> tuple[Merges, PieceEncoder]:
     return _loaded[path]
 
 
+#: Rows that a decoding task holds decoded at a time.
+DECODED_ROWS = 500
 _bytes: dict[str, list[bytes]] = {}
 
 
@@ -214,13 +216,13 @@ def decode(tokens: DataFrame, vocabulary: str, ids: str = "ids", data: str = "by
 
     def run(batches):
         pieces = token_bytes(vocabulary)
-        for batch in batches:
-            column = batch.column(ids)
+        for part in (batch.slice(at, DECODED_ROWS) for batch in batches for at in range(0, batch.num_rows, DECODED_ROWS)):
+            column = part.column(ids)
             values, marks = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
             valid = column.is_valid().to_numpy(zero_copy_only=False)
             out = [b"".join(map(pieces.__getitem__, values[a:b].tolist())) if ok else b""
                    for a, b, ok in zip(marks[:-1], marks[1:], valid, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in names], pa.array(out, pa.binary())], names=[*names, data])
+                [*[part.column(c) for c in names], pa.array(out, pa.binary())], names=[*names, data])
 
     return tokens.select(*names).mapInArrow(run, schema)

@@ -51,9 +51,9 @@ def op4_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     def digests(batches):
         for batch in batches:
             ids = batch.column("ids")
-            values, marks = ids.values.to_numpy(zero_copy_only=False).astype("<u4"), ids.offsets.to_numpy()
-            hashes = [hashlib.sha256(values[a:b]).hexdigest() for a, b in zip(marks[:-1], marks[1:], strict=True)]
-            decoded = [hashlib.sha256(b).hexdigest() for b in batch.column("bytes").to_pylist()]
+            values, marks = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+            hashes = [hashlib.sha256(values[a:b].astype("<u4")).hexdigest() for a, b in zip(marks[:-1], marks[1:], strict=True)]
+            decoded = [hashlib.sha256(b.as_buffer()).hexdigest() for b in batch.column("bytes")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(np.diff(marks), pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from docfields.llm.arrays import GOLDEN, U64, mix, parts
 from docfields.llm.files import attempt_name, create, mapped, new_folder, opened
-from docfields.llm.pieces import library_encoder
+from docfields.llm.pieces import LIBRARY_BATCH, library_encoder
 from docfields.session import materialise
 
 MAGIC = b"idshard1"
@@ -163,7 +163,7 @@ def write(docs: DataFrame, vocabulary: str, end_id: int = 0, key: str = "doc_id"
         name = f"{folder}/{attempt_name('shard', '')}"
         keys, sizes, nulls, out = [], [], 0, None
         for batch in batches:
-            for part, texts in parts(batch, text):
+            for part, texts in parts(batch, text, LIBRARY_BATCH):
                 out = out or create(f"{name}.ids")
                 flat, counts = encoder.ids(texts)
                 ends = np.cumsum(counts)
