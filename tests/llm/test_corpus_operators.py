@@ -272,6 +272,24 @@ def test_ring_keeps_its_bound_and_moves_little():
     assert sum(w for c, s, w in loads if before[c, s] != after[c, s]) < 0.2 * total
 
 
+@pytest.mark.parametrize("n", [200, 20_000])
+def test_ring_keeps_copies_together(spark, n):
+    """Pairs of copies and a group near a shard's room have one shard; only a group beyond that room is spread."""
+    rng = random.Random(6)
+    texts = [f"{k} ".ljust(rng.randrange(500, 8000), "x") for k in range(n // 2)] * 2
+    mean = sum(map(len, texts)) / 8
+    texts += ["y" * 999] * int(mean / 1000) + ["z" * 999] * int(2.5 * mean / 1000)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found, shards, loads, slots = ring.deal(docs, 8).collect(), {}, [0] * 8, {}
+    for r in found:
+        shards.setdefault(texts[r.doc_id], set()).add(r.shard)
+        slots.setdefault(r.shard, []).append(r.slot)
+        loads[r.shard] += r.size
+    assert len(found) == len(texts) and {t[0] for t, s in shards.items() if len(s) > 1} == {"z"}
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(loads) - min(loads) <= 2 * 16_000
+
+
 def test_stages_take_odd_rows(spark, odd, empty):
     for docs in (odd, empty):
         for _, stage in corpus_pipeline.STAGES:
