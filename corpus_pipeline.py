@@ -31,7 +31,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of packed sequences of at most 1,024 ids."""
-    return packing.pack(docs, public_tokenizers.path(BPE_50K), derive={"ids_crc32": ("long", crc32)})
+    return packing.pack(docs, public_tokenizers.path(BPE_50K), derive={"ids_crc32": ("long", crc32)}, special=True)
 
 
 STAGES = [("quality rules", quality), ("exact dedup", exact_copies), ("near dedup", near_copies), ("packing", sequences)]

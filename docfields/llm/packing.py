@@ -100,14 +100,14 @@ def pack_items(pieces: list[tuple], limit: tuple[int, int, int]) -> list[list[tu
 
 def pack(docs: DataFrame, vocabulary: str, length: int = 1024, max_segments: int = 64, max_loss: int | None = None,
          end_id: int = 0, key: str = "doc_id", text: str = "text", loss_from: str | None = None,
-         derive: Derived | None = None) -> DataFrame:
+         derive: Derived | None = None, special: bool = False) -> DataFrame:
     """One row for each piece: ``key, start, length, doc_tokens, sequence_id, offset`` and ``ids``, or what ``derive``
     makes of the ids (column to Spark type and function of unsigned 32-bit ids).
 
     A document's ids are those of ``text`` and then ``end_id``; null text counts as empty, so every row has an id. Rows
     are packed as they are, with repeated and null keys. ``loss_from`` names a column with the number of leading ids
-    that bear no loss (a prompt; null: none); ``max_loss`` is ``length`` by default. Other columns are not read. An empty
-    table gives no rows. Sequence ids are unique, not consecutive.
+    that bear no loss (a prompt; null: none); ``max_loss`` is ``length`` by default. ``special``: see ``library_encoder``.
+    Other columns are not read. An empty table gives no rows. Sequence ids are unique, not consecutive.
     """
     derive = derive or {"ids": ("array<long>", lambda ids: ids.tolist())}
     limit = (length, max_segments, max_loss or length)
@@ -121,7 +121,7 @@ def pack(docs: DataFrame, vocabulary: str, length: int = 1024, max_segments: int
     def run(batches):
         from pyspark import TaskContext
 
-        encoder = library_encoder(vocabulary)
+        encoder = library_encoder(vocabulary, special)
         sequence = TaskContext.get().partitionId() << 32
 
         def rows_of(sequences, keys, ids, base, totals):

@@ -1,11 +1,13 @@
 """Texts cut into the pieces of a byte-level tokenizer's pattern, each distinct piece encoded once.
 
 The merges of such a tokenizer never cross a piece, so the ids of a text are those of its pieces. Pieces are found with
-whole-array operations over code points; a worker keeps the ids of the pieces it has met.
+whole-array operations over code points; a worker keeps the ids of the pieces it has met. Added tokens of a tokenizer
+(``<|endoftext|>``) are cut out of a text first, as the library does, and are pieces of their own.
 """
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 from collections.abc import Callable, Sequence
@@ -74,11 +76,15 @@ def piece_starts(points: np.ndarray, begins: np.ndarray) -> np.ndarray:
 class PieceEncoder:
     """``ids(texts)`` through ``encode``, which gives the ids of each piece of a list.
 
-    A piece is known by its 64-bit hash: among those remembered, a new one meets a wrong match once in 10^13.
+    A piece is known by its 64-bit hash: among those remembered, a new one meets a wrong match once in 10^13. ``added``
+    are strings that are pieces wherever they stand; of several at one place the longest counts.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], dtype=np.uint32, remembered: int = REMEMBERED):
+    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], dtype=np.uint32, remembered: int = REMEMBERED,
+                 added: Sequence[str] = ()):
         self.encode, self.dtype, self.remembered = encode, dtype, remembered
+        self.added = sorted(filter(None, added), key=len, reverse=True)
+        self.pattern = re.compile("|".join(map(re.escape, self.added)))
         self.clear()
 
     def clear(self) -> None:
@@ -109,6 +115,14 @@ class PieceEncoder:
         at = np.searchsorted(self.hashes, hashes)
         self.hashes, self.slots = np.insert(self.hashes, at, hashes), np.insert(self.slots, at, slots)
 
+    def _spans(self, string: str, offsets: np.ndarray) -> np.ndarray:
+        """Begin and end of every added token; none runs over the end of a text."""
+        if not any(a in string for a in self.added):
+            return np.zeros((0, 2), dtype=np.int64)
+        marks = offsets.tolist()
+        found = [m.span() for a, b in zip(marks[:-1], marks[1:], strict=True) for m in self.pattern.finditer(string, a, b)]
+        return np.array(found, dtype=np.int64).reshape(-1, 2)
+
     def ids(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts``, and how many each text has."""
         string = texts.data.tobytes().decode("utf-8")
@@ -117,7 +131,12 @@ class PieceEncoder:
         offsets = leading[texts.offsets]
         begins = np.zeros(len(points) + 1, dtype=bool)
         begins[offsets] = True
+        spans = self._spans(string, offsets)
+        begins[spans] = True
         starts = piece_starts(points, begins)
+        if len(spans):
+            own = np.searchsorted(spans[:, 0], starts) - 1  # the last span that begins before
+            starts = starts[(own < 0) | (starts >= spans[own, 1])]
         ends = np.append(starts[1:], len(points))
         hashes, first, which = np.unique(
             range_hash(tables()[1][points], starts, ends), return_index=True, return_inverse=True)
@@ -138,23 +157,31 @@ class PieceEncoder:
         return gather(self.store, self.start[slots], lengths), counts
 
 
-_encoders: dict[str, PieceEncoder] = {}
+_encoders: dict[str, PieceEncoder] = {}  # by vocabulary and kind
+
 
+def library_encoder(path: str, special: bool = False) -> PieceEncoder:
+    """Pieces through the tokenizers library; one per worker and vocabulary.
 
-def library_encoder(path: str) -> PieceEncoder:
-    """Pieces through the tokenizers library; one per worker and vocabulary. Special tokens in a text are plain text."""
-    if path not in _encoders:
+    With ``special`` the vocabulary's special tokens have their ids in a text, as the library has it by default; without,
+    they are plain text there.
+    """
+    name = f"{path}:{special}"
+    if name not in _encoders:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        tokenizer.encode_special_tokens = not special
+        added = [t for t in tokenizer.get_added_tokens_decoder().values() if special or not t.special]
+        if any(t.lstrip or t.rstrip or t.single_word for t in added):
+            raise ValueError(f"{path} has added tokens that depend on what stands beside them")
         small = tokenizer.get_vocab_size() <= 1 << 16
 
         def encode(pieces: list[str]) -> list[list[int]]:
             return [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-        _encoders[path] = PieceEncoder(encode, np.uint16 if small else np.uint32, LIBRARY_REMEMBERED)
-    return _encoders[path]
+        _encoders[name] = PieceEncoder(encode, np.uint16 if small else np.uint32, LIBRARY_REMEMBERED, [t.content for t in added])
+    return _encoders[name]

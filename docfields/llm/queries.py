@@ -62,7 +62,7 @@ def op4_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    shards = token_files.write(table(spark, folder, "documents"), public_tokenizers.path(BPE_50K))
+    shards = token_files.write(table(spark, folder, "documents"), public_tokenizers.path(BPE_50K), special=True)
     return token_files.read(shards, {"ids_crc32": ("long", crc32)})
 
 
@@ -81,7 +81,7 @@ def op8_tree_model(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(BPE_50K), derive={"ids_crc32": ("long", crc32)})
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(BPE_50K), derive={"ids_crc32": ("long", crc32)}, special=True)
 
 
 def op10_ring(spark: SparkSession, folder: str) -> DataFrame:

@@ -142,12 +142,12 @@ class Shard:
 
 
 def write(docs: DataFrame, vocabulary: str, end_id: int = 0, key: str = "doc_id", text: str = "text",
-          folder: str | None = None) -> DataFrame:
+          folder: str | None = None, special: bool = False) -> DataFrame:
     """Encode ``text``, add ``end_id``, and write shards in ascending order of ``key`` (a whole number).
 
     Returns the written shards: ``shard, ids, index, n_docs, n_tokens, first_key, last_key, first_token``. Null text
     counts as empty; rows with a null key come first and are found by no key; rows of equal keys keep the order of a
-    hash of their text and are all found. An empty table gives no shards.
+    hash of their text and are all found. ``special``: see ``library_encoder``. An empty table gives no shards.
     """
     spark = docs.sparkSession
     folder = folder or new_folder(spark, "token-ids")
@@ -158,7 +158,7 @@ def write(docs: DataFrame, vocabulary: str, end_id: int = 0, key: str = "doc_id"
     def run(batches):
         from pyspark import TaskContext
 
-        encoder = library_encoder(vocabulary)
+        encoder = library_encoder(vocabulary, special)
         width = np.dtype(encoder.dtype).itemsize
         name = f"{folder}/{attempt_name('shard', '')}"
         keys, sizes, nulls, out = [], [], 0, None

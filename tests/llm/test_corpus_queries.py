@@ -95,6 +95,30 @@ def test_extracted_text(spark):
     assert len(found) == len(pages) and not wrong
 
 
+def test_added_tokens_have_their_ids(spark, tmp_path):
+    """Ids of the queries and the pipeline's last stage against the library with its defaults."""
+    from tokenizers import Tokenizer
+
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end}", f"it's  {end}  's\t", f"<|endof{end}text|>", "<|endof", "text|>", f"日本 {end}é", None, "", f"'{end}'s <|",
+             f"x {end[:-1]}", "> y"] + [f"{'word ' * 700}{end}\n" * 3]
+    pair = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    pair.write.parquet(f"{tmp_path}/documents.parquet")
+    library = Tokenizer.from_file(P.path(Q.BPE_50K))
+    expected = {k: [*library.encode(t or "", add_special_tokens=False).ids, 0] for k, t in enumerate(texts)}
+    crc = lambda ids: zlib.crc32(np.array(ids, "<u4").tobytes())
+    assert expected[0] == [64, 220, 50256, 275, 0]
+    at = 0
+    for r in sorted(Q.op5_token_files(spark, str(tmp_path)).collect(), key=lambda r: r.doc_id):
+        assert tuple(r) == (r.doc_id, at, len(expected[r.doc_id]), crc(expected[r.doc_id]))
+        at += r.n_tokens
+    assert at == sum(map(len, expected.values()))
+    for packed in (Q.op9_packing(spark, str(tmp_path)), corpus_pipeline.STAGES[-1][1](spark, pair, str(tmp_path))):
+        rows = packed.collect()
+        assert sum(r.length for r in rows) == at
+        assert all(r.ids_crc32 == crc(expected[r.doc_id][r.start : r.start + r.length]) for r in rows)
+
+
 def packing_holds(rows, texts, length=1024):
     """Every id in one piece, sequences without gaps and within the limit; returns the share of padding."""
     encode, by, sequences = brute.tokenizer(), defaultdict(list), defaultdict(list)
