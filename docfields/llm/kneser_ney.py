@@ -1,9 +1,12 @@
-"""An interpolated modified Kneser-Ney bigram model, counted in Spark and kept as sorted hash arrays in shared files.
+"""An interpolated modified Kneser-Ney model of order 2 or 3, counted in Spark and kept as sorted hash arrays in shared files.
 
 Words are known by a 64-bit hash. The hashes of the training words, sorted and cut into ranges, are the vocabulary; a
 word's id is its place. Bigrams are sorted pairs of ids, cut into shards by their first word; the bigrams of a very
 frequent first word are dealt over shards by their second. Scoring tasks map these files and look up the distinct
 words and pairs of a part of the texts in order.
+
+At order 3 trigrams are counted, in shards by a hash of their first two words and prefix-coded: a context once, then its
+followers. Pairs then count the words they follow, but pairs that begin a text their occurrences.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docfields.llm.arrays import U64, Texts, group_sums, mix, parts
+from docfields.llm.arrays import U64, Texts, gather, group_sums, mix, parts
 from docfields.llm.files import create, mapped, new_folder
 from docfields.session import materialise
 
@@ -73,6 +76,31 @@ class Counter:
         self.parts, self.held = [], 0
 
 
+def summed_triples(pairs: np.ndarray, third: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct triples (a pair's key and a word) in order, with the sums of their counts."""
+    order = np.lexsort((third, pairs))
+    pairs, third, counts = pairs[order], third[order], counts[order]
+    new = np.ones(len(pairs), dtype=bool)
+    new[1:] = (pairs[1:] != pairs[:-1]) | (third[1:] != third[:-1])
+    first = np.flatnonzero(new)
+    return pairs[first], third[first], np.add.reduceat(counts, first, dtype=counts.dtype) if len(first) else counts
+
+
+class TripleCounter(Counter):
+    """Counts of triples in sorted arrays."""
+
+    def add(self, pairs: np.ndarray, third: np.ndarray) -> None:
+        self.parts.append(summed_triples(pairs, third.astype(np.uint32), np.ones(len(pairs), dtype=np.uint32)))
+        self.held += len(self.parts[-1][0])
+
+    def all(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not self.parts:
+            return np.zeros(0, dtype=U64), np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.uint32)
+        columns = [np.concatenate(x) for x in zip(*self.parts, strict=True)]
+        self.parts = []
+        return summed_triples(*columns)
+
+
 def range_of(hashes: np.ndarray, ranges: int) -> np.ndarray:
     return ((hashes >> U64(32)) * U64(ranges) >> U64(32)).astype(np.int64)
 
@@ -92,6 +120,9 @@ class Model:
     word_discount: tuple = (0.5, 1.0, 1.5)
     bigrams: int = 0
     kinds: tuple = (0, 0, 0)  # words that follow one, two, three or more others
+    order: int = 2
+    triples: list = field(default_factory=list)  # (file, contexts, entries) of each shard of triples
+    triple_discount: tuple = (0.5, 1.0, 1.5)
 
     @property
     def size(self) -> int:
@@ -110,6 +141,13 @@ class Mapped:
         self.words = [(mapped(f, "<u8", n), mapped(f, "<i8", n, 8 * n)) for f, n in model.words]
         self.pairs = [(mapped(f, "<u8", n), mapped(f, "<i4", n, 8 * n)) for f, n in model.pairs]
         self.stats = [{name: mapped(f, kind, n, 8 * n * i) for i, (name, kind) in enumerate(STATS)} for f, n in model.stats]
+        self.triples = []
+        for f, n, entries in model.triples:
+            at, arrays = 0, []
+            for kind, count in triple_layout(n, entries):
+                arrays.append(mapped(f, kind, count, at))
+                at += count * np.dtype(kind).itemsize
+            self.triples.append(arrays)
 
     def ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Id (-1: unknown) and count of sorted distinct hashes."""
@@ -192,7 +230,43 @@ class Mapped:
         spare = sum(d * k for d, k in zip(m.pair_discount, kinds, strict=True))
         own = (count - discount(count, m.pair_discount)) / np.maximum(total[where], 1)
         left = np.where(total > 0, spare / np.maximum(total, 1), 1.0)[where]
-        return np.log10(own[back] + left[back] * low)
+        found = own[back] + left[back] * low
+        if m.order == 3:
+            earlier = np.empty_like(ids)
+            earlier[1:] = before[:-1]
+            earlier[first[:-1]] = -1
+            found = self.after_two(earlier, before, ids, found)
+        return np.log10(found)
+
+    def after_two(self, earlier: np.ndarray, before: np.ndarray, ids: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """Probability after the two words before; ``low`` where those were not seen (-1: unknown or none)."""
+        m, out = self.m, low.copy()
+        at = np.flatnonzero((earlier >= 0) & (before >= 0))
+        contexts, which = np.unique(pair_keys(earlier[at], before[at]), return_inverse=True)
+        shard = range_of(mix(contexts), m.ranges)
+        order = np.argsort(which, kind="stable")  # tokens by context
+        cut = np.concatenate([[0], np.cumsum(np.bincount(which, minlength=len(contexts)))])
+        for r in np.unique(shard):
+            known, total, once, twice, more, marks, third, counts = self.triples[r]
+            if not len(known):
+                continue
+            some = np.flatnonzero(shard == r)
+            place = np.minimum(np.searchsorted(known, contexts[some]), len(known) - 1)
+            hit = known[place] == contexts[some]
+            some, place = some[hit], place[hit]
+            lengths = cut[some + 1] - cut[some]
+            token, of = at[gather(order, cut[some], lengths)], np.repeat(place, lengths)
+            word, low_end, high = ids[token], np.asarray(marks[of]), np.asarray(marks[of + 1])
+            end = high.copy()
+            while (open_ := low_end < high).any():
+                middle = (low_end + high) >> 1
+                less = open_ & (third[np.minimum(middle, len(third) - 1)] < word)
+                low_end, high = np.where(less, middle + 1, low_end), np.where(open_ & ~less, middle, high)
+            spot = np.minimum(low_end, len(third) - 1)
+            count = np.where((low_end < end) & (third[spot] == word), counts[spot], 0)
+            spare = sum(d * k[of] for d, k in zip(m.triple_discount, (once, twice, more), strict=True))
+            out[token] = (count - discount(count, m.triple_discount) + spare * low[token]) / total[of]
+        return out
 
 
 def discount(counts: np.ndarray, by: tuple) -> np.ndarray:
@@ -212,6 +286,11 @@ def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return first.astype(U64) << U64(32) | second.astype(U64)
 
 
+def triple_layout(contexts: int, entries: int) -> tuple[tuple[str, int], ...]:
+    """Arrays of a file of triples: contexts, their statistics and where their entries begin; followers and counts."""
+    return (("<u8", contexts), ("<i8", contexts), *[("<i4", contexts)] * 3, ("<i8", contexts + 1 if contexts else 0), ("<u4", entries), ("<i4", entries))
+
+
 def stat_range(r: int, model: Model) -> tuple[int, int]:
     """The ids whose statistics are in file ``r``: those with ``id * ranges // (size + 1) == r``."""
     n = model.size + 1
@@ -222,7 +301,7 @@ _mapped: dict[str, Mapped] = {}
 
 
 def opened(model: Model) -> Mapped:
-    key = model.words[0][0] if model.words else ""
+    key = next((f for f, *_ in model.stats + model.words if f), "")  # while counting, the words alone
     if key not in _mapped:
         _mapped.clear()
         _mapped[key] = Mapped(model)
@@ -291,7 +370,55 @@ def count_words(docs: DataFrame, text: str, ranges: int, folder: str) -> DataFra
     return materialise(docs.select(text).mapInArrow(count, "part int, data binary").groupBy("part").applyInArrow(merge, WRITTEN), "kn-words")
 
 
-def count_pairs(docs: DataFrame, text: str, model: Model, folder: str) -> DataFrame:
+def count_triples(docs: DataFrame, text: str, model: Model, folder: str) -> DataFrame:
+    """Files of triples, and with ``target`` set what they make of pairs, by the shard of the pair."""
+    none = model.size + 1  # before the begin of a text
+
+    def count(batches):
+        held, words = TripleCounter(), opened(model)
+
+        def passed_on():
+            pairs, third, counts = held.all()
+            part, data = _blocks(range_of(mix(pairs), model.ranges), pairs, third.astype("<u4"), counts.astype("<u4"))
+            held.clear()
+            return pa.RecordBatch.from_arrays([part, data], names=["part", "data"])
+
+        for batch in batches:
+            for _, texts in parts(batch, text):
+                ids, _, first = words.text_ids(texts)
+                before, earlier = np.empty_like(ids), np.empty_like(ids)
+                before[1:] = ids[:-1]
+                before[first[:-1]] = model.size
+                earlier[1:] = before[:-1]
+                earlier[first[:-1]] = none
+                held.add(pair_keys(earlier, before), ids)
+                if held.full():
+                    yield passed_on()
+        yield passed_on()
+
+    def merge(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
+        pairs, third, counts = _unpacked(table.column("data").to_pylist(), "<u8", "<u4", "<u4")
+        pairs, third, counts = summed_triples(pairs, third, counts.astype(np.int64))
+        starts = pairs >> U64(32) == U64(none)
+        keys, weight = summed((pairs << U64(32)) | third.astype(U64), np.where(starts, counts, 1))
+        first, second = (keys >> U64(32)).astype(np.int64), (keys & U64(0xFFFFFFFF)).astype(np.int64)
+        target, data = _blocks(model.shard_of(first, second), first.astype("<u4"), second.astype("<u4"), weight.astype("<u4"))
+        rows = [{"part": part, "data": d, "target": t} for t, d in zip(target.to_pylist(), data.to_pylist(), strict=True)]
+        pairs, third, counts = pairs[~starts], third[~starts], counts[~starts]
+        if len(pairs):
+            begin = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
+            stats = [np.add.reduceat(x.astype(np.int64), begin) for x in (counts, counts == 1, counts == 2, counts > 2)]
+            columns = [pairs[begin], *stats, np.append(begin, len(pairs)), third, np.minimum(counts, 2**31 - 1)]
+            layout = triple_layout(len(begin), len(pairs))
+            file = _write(folder, f"triples-{part}", *[c.astype(kind) for c, (kind, _) in zip(columns, layout, strict=True)])
+            rows.append({"part": part, "file": file, "n": len(begin), "total": len(pairs), "kinds": [int((counts == k).sum()) for k in (1, 2, 3, 4)]})
+        return pa.Table.from_pylist(rows, schema=_SCHEMA)
+
+    return materialise(docs.select(text).mapInArrow(count, "part int, data binary").groupBy("part").applyInArrow(merge, WRITTEN), "kn-triples")
+
+
+def count_pairs(docs: DataFrame, text: str, model: Model, folder: str, triples: DataFrame | None = None) -> DataFrame:
     def count(batches):
         held, words = Counter(), opened(model)
 
@@ -329,7 +456,9 @@ def count_pairs(docs: DataFrame, text: str, model: Model, folder: str) -> DataFr
             rows += [{"part": part, "file": kind, "data": d, "target": t} for t, d in zip(target.to_pylist(), data.to_pylist(), strict=True)]
         return pa.Table.from_pylist(rows, schema=_SCHEMA)
 
-    return materialise(docs.select(text).mapInArrow(count, "part int, data binary").groupBy("part").applyInArrow(merge, WRITTEN), "kn-pairs")
+    counted = docs.select(text).mapInArrow(count, "part int, data binary") if triples is None else (
+        triples.where("target is not null").select(F.col("target").alias("part"), "data"))
+    return materialise(counted.groupBy("part").applyInArrow(merge, WRITTEN), "kn-pairs")
 
 
 def write_stats(pairs: DataFrame, model: Model, folder: str) -> DataFrame:
@@ -352,14 +481,17 @@ def write_stats(pairs: DataFrame, model: Model, folder: str) -> DataFrame:
     return materialise(pairs.where("target is not null").groupBy("target").applyInArrow(merge, WRITTEN), "kn-stats")
 
 
-def fit(docs: DataFrame, text: str = "text") -> Model:
-    """A model of all ``docs``; null texts count as empty. Three passes that count, merge and write; files stay in the shared folder.
+def fit(docs: DataFrame, text: str = "text", order: int = 2) -> Model:
+    """A model of all ``docs``; null texts count as empty. Passes that count, merge and write, one more at order 3; files
+    stay in the shared folder.
 
     Ranges and shards are as many as shuffle partitions. Every entry is counted; none is pruned.
     """
+    if order not in (2, 3):
+        raise ValueError(f"order is 2 or 3, not {order}")
     spark = docs.sparkSession
     folder = new_folder(spark, "kneser-ney")
-    model = Model(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    model = Model(int(spark.conf.get("spark.sql.shuffle.partitions")), order=order)
     none = ("", 0)
     found = count_words(docs, text, model.ranges, folder).collect()  # one row for each range
     by = {r["part"]: r for r in found}
@@ -372,7 +504,14 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
         keys, counts = _unpacked([r["data"]], "<u8", "<i8")
         often += words.ids(keys)[0][counts > model.tokens // (4 * model.ranges)].tolist()
     model.frequent = np.array(sorted(often), dtype=np.int64)
-    pairs = count_pairs(docs, text, model, folder)
+    triples = None
+    if order == 3:
+        triples = count_triples(docs, text, model, folder)
+        found = triples.where("target is null").select("part", "file", "n", "total", "kinds").collect()  # one row for each shard
+        by = {r["part"]: r for r in found}
+        model.triple_discount = discounts(*[sum(r["kinds"][k] for r in found) for k in range(4)])
+        seen = [(by[k]["file"], by[k]["n"], by[k]["total"]) if k in by else ("", 0, 0) for k in range(model.ranges)]
+    pairs = count_pairs(docs, text, model, folder, triples)
     found = pairs.where("target is null").select("part", "file", "n", "kinds").collect()  # one row for each shard
     by = {r["part"]: r for r in found}
     model.pairs = [(by[k]["file"], by[k]["n"]) if k in by else none for k in range(model.ranges)]
@@ -383,6 +522,8 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
     model.stats = [(by[k]["file"], by[k]["n"]) if k in by else none for k in range(model.ranges)]
     kinds = [sum(r["kinds"][k] for r in found) for k in range(5)]
     model.word_discount, model.kinds = discounts(*kinds[:4]), (kinds[0], kinds[1], kinds[4])
+    if order == 3:
+        model.triples = seen
     return model
 
 

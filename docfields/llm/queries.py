@@ -24,13 +24,17 @@ def crc32(ids: np.ndarray) -> int:
     return zlib.crc32(ids.tobytes())
 
 
-def op1_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+def op1_kneser_ney(spark: SparkSession, folder: str, order: int = 2) -> DataFrame:
     docs = table(spark, folder, "documents").select(
         "doc_id", "text", (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2).alias("held_out"))
-    model = kneser_ney.fit(docs.where(~F.col("held_out")))
+    model = kneser_ney.fit(docs.where(~F.col("held_out")), order=order)
     return kneser_ney.score(docs, model)
 
 
+def op1_kneser_ney_trigrams(spark: SparkSession, folder: str) -> DataFrame:
+    return op1_kneser_ney(spark, folder, 3)
+
+
 def op2_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = host_rules.judge(table(spark, folder, "documents").select("doc_id", "source", "text"))
     m = "_measures."
@@ -138,5 +142,5 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'r
 }
 
 QUERIES = {f.__name__: f for f in (
-    op1_kneser_ney, op2_host_rules, op3_bagminhash, op4_prefix_bpe, op5_token_files, op6_tree_merge, op7_warc,
+    op1_kneser_ney, op1_kneser_ney_trigrams, op2_host_rules, op3_bagminhash, op4_prefix_bpe, op5_token_files, op6_tree_merge, op7_warc,
     op8_tree_model, op9_packing, op10_ring)}

@@ -1,6 +1,8 @@
 """Awkward rows, empty tables, limits and keyed access of the corpus operators."""
 
+import math
 import random
+from collections import Counter, defaultdict
 
 import brute
 import numpy as np
@@ -52,6 +54,51 @@ def test_scores_without_training(odd, empty):
     assert kneser_ney.score(empty, model).count() == 0
 
 
+class Trigrams(brute.KneserNey):
+    """By the formulas: pairs count the words before them, those at a text's begin their occurrences."""
+
+    def __init__(self, texts):
+        super().__init__(texts)
+        chains = [[("begin",), *self.tokens(t)] for t in texts]
+        self.triples = Counter(x for c in chains for x in zip(c, c[1:], c[2:]))
+        after = Counter((v, w) for _, v, w in self.triples)
+        self.pairs = Counter({(v, w): c if v == ("begin",) else after[v, w] for (v, w), c in self.pairs.items()})
+        self.total, self.kinds = self.context(self.pairs)
+        self.d2, self.d3 = self.discounts(self.pairs.values()), self.discounts(self.triples.values())
+        self.total3, self.kinds3 = self.context(self.triples)
+
+    @staticmethod
+    def context(grams):
+        total, kinds = Counter(), defaultdict(lambda: [0, 0, 0])
+        for g, c in grams.items():
+            total[g[:-1] if len(g) > 2 else g[0]] += c
+            kinds[g[:-1] if len(g) > 2 else g[0]][min(c, 3) - 1] += 1
+        return total, kinds
+
+    def after_two(self, u, v, w):
+        if not self.total3[u, v]:
+            return self.after(v, w)
+        c, left = self.triples[u, v, w], sum(d * k for d, k in zip(self.d3, self.kinds3[u, v]))
+        return (c - self.d3[min(c, 3) - 1] if c else 0) / self.total3[u, v] + left / self.total3[u, v] * self.after(v, w)
+
+    def log(self, text):
+        c = [None, ("begin",), *self.tokens(text)]
+        return sum(math.log10(self.after_two(*x)) for x in zip(c, c[1:], c[2:]))
+
+
+def test_scores_by_two_words_of_context(spark, odd, empty):
+    docs = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    for train, others in (([r.text for r in odd.collect()], docs[:20]), (docs[20:], docs[:20])):
+        plain = Trigrams(train)
+        assert sum(plain.after_two(*next(iter(plain.triples))[:2], w) for w in [*plain.words, "unknown"]) == pytest.approx(1)
+        schema = "doc_id long, text string"
+        model = kneser_ney.fit(spark.createDataFrame(list(enumerate(train)), schema), order=3)
+        texts = [*train, *others, None, "never seen", "the cat never"]
+        for r in kneser_ney.score(spark.createDataFrame(list(enumerate(texts)), schema), model).collect():
+            assert r.score == pytest.approx(plain.log(texts[r.doc_id]), rel=1e-9)
+    assert {r.score for r in kneser_ney.score(odd, kneser_ney.fit(empty, order=3), keep=[]).collect()} == {0.0}
+
+
 def test_quality_of_odd_rows(odd, empty):
     rows = host_rules.judge(odd).collect()
     assert len(rows) == 13 and all(r._kept <= (not brute.rejected(r.text)) for r in rows)
