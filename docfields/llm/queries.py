@@ -11,7 +11,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfields.llm import bagminhash, host_rules, kneser_ney, packing, prefix_bpe, ring, token_files, tree_merge, tree_model, warc
+from docfields.llm import (
+    bagminhash,
+    host_rules,
+    kneser_ney,
+    open_bins,
+    packing,
+    prefix_bpe,
+    prefix_trie,
+    ring,
+    token_files,
+    tree_merge,
+    tree_model,
+    warc,
+    whitening,
+)
 
 BPE_50K, MULTI_50K = "byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken"
 
@@ -93,6 +107,22 @@ def op10_ring(spark: SparkSession, folder: str) -> DataFrame:
     return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_lanczos_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    conv = F.col("conv")
+    convs, rows = prefix_trie.rebuilt(
+        prefix_trie.numbered_turns(table(spark, folder, "conversations")), base=conv - conv % 20, head=F.crc32(conv.cast("string").cast("binary")) % 4)
+    return prefix_trie.peel(convs, prefix_trie.prefixes(rows))
+
+
+def op13_open_bins(spark: SparkSession, folder: str) -> DataFrame:
+    return open_bins.pack(table(spark, folder, "documents"), public_tokenizers.path(BPE_50K), derive={"ids_crc32": ("long", crc32)}, special=True)
+
+
 RULES = {
     "short": "n_words < 50", "repeats": "100 * n_repeat_words > 50 * n_words", "symbols": "n_symbols > n_words",
     "dup_lines": "100 * n_dup_lines > 30 * n_lines", "word_length": "(word_chars < 2 * n_words OR word_chars > 12 * n_words)",
@@ -139,8 +169,26 @@ s AS (SELECT page_id, octet_length(payload) AS payload_bytes, min(page_id) OVER
         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(hex, i * 5 + 1, 5))::BIGINT >> b) & 31)::INT + 1, 1)), '')), '') AS payload_digest FROM t)
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
     CASE WHEN first <> page_id THEN first END AS refers_to FROM s""",
+    "op12_prefix_trie": r"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i,
+    {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS said FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(said ORDER BY i) AS turns, conv_id::VARCHAR AS name FROM t GROUP BY conv_id),
+bits AS (SELECT *, list_transform(range(8 * length(name)), lambda b: (ascii(substr(name, b // 8 + 1, 1)) >> (b % 8)::INT) & 1) AS b FROM own),
+heads AS (SELECT *, (xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda a, x: xor(a >> 1, 3988292384::BIGINT * (xor(a, x) & 1))), 4294967295::BIGINT) % 4) AS h FROM bits),
+built AS (SELECT a.conv_id, list_concat(coalesce(b.turns[1:a.h], []), a.turns[a.h + 1:]) AS turns
+    FROM heads a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 20),
+members AS (SELECT conv_id, unnest(range(0, len(turns) + 1)) AS depth, turns FROM built),
+nodes AS (SELECT turns[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CASE WHEN len(turns) = depth THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256 FROM members GROUP BY ALL),
+kids AS (SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+below AS (SELECT path, depth, unnest(range(0, depth + 1)) AS above,
+    CASE WHEN depth > 0 THEN (n_convs - 1) * len(regexp_extract_all(path[-1].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS saved,
+    path NOT IN (SELECT path FROM kids) AS leaf FROM nodes),
+totals AS (SELECT path[1:above] AS path, sum(saved)::BIGINT AS saved, count(*) FILTER (leaf) AS leaves FROM below GROUP BY ALL)
+SELECT a.conv_id, a.depth, p.conv_id AS parent_conv_id, a.n_convs, coalesce(k.n, 0) AS n_children, t.leaves AS n_leaves, t.saved AS saved_tokens, a.ends_sha256
+FROM nodes a JOIN totals t ON a.path = t.path LEFT JOIN kids k ON a.path = k.path LEFT JOIN nodes p ON a.depth > 0 AND p.path = a.path[1:a.depth - 1]""",
 }
 
 QUERIES = {f.__name__: f for f in (
     op1_kneser_ney, op1_kneser_ney_trigrams, op2_host_rules, op3_bagminhash, op4_prefix_bpe, op5_token_files, op6_tree_merge, op7_warc,
-    op8_tree_model, op9_packing, op10_ring)}
+    op8_tree_model, op9_packing, op10_ring, op11_lanczos_whitening, op12_prefix_trie, op13_open_bins)}
