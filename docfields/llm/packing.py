@@ -98,7 +98,7 @@ def pack_items(pieces: list[tuple], limit: tuple[int, int, int]) -> list[list[tu
     return [*out, now] if now else out
 
 
-def pack(docs: DataFrame, vocabulary: str, length: int = 1024, max_segments: int = 64, max_loss: int | None = None,
+def pack(docs: DataFrame, vocabulary: str, length: int = 1024, max_segments: int = 1024, max_loss: int | None = None,
          end_id: int = 0, key: str = "doc_id", text: str = "text", loss_from: str | None = None,
          derive: Derived | None = None, special: bool = False) -> DataFrame:
     """One row for each piece: ``key, start, length, doc_tokens, sequence_id, offset`` and ``ids``, or what ``derive``
