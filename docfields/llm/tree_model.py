@@ -17,12 +17,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docfields.llm.arrays import unused
+
 #: Names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
-INLINE = frozenset("""a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span
-    strike strong sub sup time tt u var wbr""".split())
-SILENT = frozenset("script style title head template noscript iframe object svg math canvas audio video map noembed noframes xmp".split())
+INLINE = frozenset("""a abbr acronym audio b bdi bdo big br canvas cite code data del dfn em font i img ins kbd map mark math object q rp
+    rt ruby s samp small span strike strong sub sup svg time tt u var video wbr""".split())
+#: Elements whose own elements are no HTML and stand in the line of text.
+FOREIGN = frozenset(["svg", "math"])
+SILENT = frozenset("script style title head template iframe noembed noframes annotation annotation-xml desc metadata".split())
 #: What a start tag ends, if it is open: the tag and how far up to look.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}),
           "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
@@ -78,7 +82,7 @@ class Tree:
         self.runs: list[tuple[int, str]] = []
         self._open: list[tuple[str, int]] = [("html", 0)]  # every open element, with its block element
         self._text: list[str] = []
-        self._silent = self._links = 0
+        self._silent = self._links = self._foreign = 0
         self._parse(page)
         self._flush()
 
@@ -102,15 +106,22 @@ class Tree:
     def _pop_to(self, depth: int) -> None:
         while len(self._open) > depth:
             name, _ = self._open[-1]
-            if name not in INLINE:
+            if name not in INLINE and not self._foreign:
                 self._flush()
             self._open.pop()
+            self._foreign -= name in FOREIGN
             self._silent -= name in SILENT
             self._links -= name == "a"
 
     def _start(self, name: str, attributes: str) -> None:
         if name in ("html", "body") and any(x == name for x, _ in self._open):
             return
+        if self._foreign or name in FOREIGN:
+            if not attributes.rstrip().endswith("/"):
+                self._open.append((name, self._open[-1][1]))
+                self._foreign += name in FOREIGN
+                self._silent += name in SILENT
+            return
         if name not in KEEPS_P:
             for d in range(len(self._open) - 1, 0, -1):
                 if self._open[d][0] == "p":
@@ -159,7 +170,7 @@ class Tree:
             if self._open[d][0] == name:
                 self._pop_to(d)
                 return
-            if name in INLINE and self._open[d][0] not in INLINE:
+            if self._open[d][0] in FOREIGN or name in INLINE and self._open[d][0] not in INLINE and not self._foreign:
                 return
         if name in ("br", "p"):
             self._say(" ")
@@ -333,18 +344,21 @@ def extract(pages: DataFrame, model: TreeModel, page: str = "html", text: str =
     """Columns ``keep`` (all but ``page`` and ``text`` by default) and the main ``text`` of each page (null page: empty).
 
     Character references are decoded, white space inside a block becomes one space, blocks are joined by an empty line.
-    Repeated rows stay; an empty table gives no rows.
+    Repeated rows stay; an empty table gives no rows. A very long page is parsed whole. A column of ``pages`` named as the
+    result gives way to it.
     """
     from pyspark.sql import types as T
 
-    names = [c for c in pages.columns if c not in (page, text)] if keep is None else keep
+    names = [c for c in pages.columns if c != page] if keep is None else keep
+    names = [c for c in names if c.lower() != text.lower()]
+    inner = unused("_page", names)
     schema = T.StructType([*[pages.schema[c] for c in names], T.StructField(text, T.StringType())])
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [model.text(p or "") for p in part.column("_page").to_pylist()]
+                texts = [model.text(p or "") for p in part.column(inner).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], pa.array(texts, pa.string())], names=[*names, text])
 
-    return pages.select(*names, F.col(page).alias("_page")).mapInArrow(run, schema)
+    return pages.select(*names, F.col(page).alias(inner)).mapInArrow(run, schema)
