@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+import secrets
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,8 +15,6 @@ BATCH_BYTES = 1 << 20
 
 U64 = np.uint64
 GOLDEN = U64(0x9E3779B97F4A7C15)
-_BASE = 0xD6E8FEB86659FD93  # odd, so that powers can be inverted modulo 2^64
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -27,29 +27,97 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-BYTE_HASH = mix(np.arange(1, 257, dtype=U64))
-_LOWER = BYTE_HASH.copy()
-_LOWER[ord("A") : ord("Z") + 1] = BYTE_HASH[ord("a") : ord("z") + 1]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, up to ``n``; grown by doubling, kept per worker up to the batch size."""
-    size = 1 << max(12, int(n).bit_length())
-    if size not in _powers:
-        made = tuple(np.cumprod(np.concatenate([[U64(1)], np.full(size - 1, U64(b), dtype=U64)]))
-                     for b in (_BASE, pow(_BASE, -1, 1 << 64)))
-        if size > 4 * BATCH_BYTES:
-            return made
-        _powers[size] = made
-    return _powers[size]
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(8)] + [(1 << 64) - 1], dtype=U64)
 
 
-def range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each ``values[start:end]``; equal contents give equal hashes wherever they lie."""
-    up, down = _power(len(values) + 1)
-    total = np.zeros(len(values) + 1, dtype=U64)
-    np.cumsum(values * up[: len(values)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U64))
+def leading(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, at: int = 0) -> np.ndarray:
+    """Up to eight bytes of each range from its byte ``at`` on, as one number; zeros behind its end."""
+    return eights(data, starts + at) & _MASKS[np.minimum(lengths - at, 8)]
+
+
+def eights(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one number; zeros behind the end of ``data``."""
+    if not len(at):
+        return np.zeros(0, dtype=U64)
+    if int(at.max()) + 8 > len(data):
+        data = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    return np.ndarray((len(data) - 7,), "V8", np.ascontiguousarray(data), strides=(1,))[at].view("<u8")
+
+
+class RangeHash:
+    """64-bit hashes of ranges of bytes; equal contents give equal hashes wherever they lie.
+
+    Ranges of up to 8 bytes are mixed without loss. Longer ones are polynomials of their 32-bit limbs modulo two primes
+    near 2^31 at points drawn from ``seed``, those beyond ``LONG`` bytes a BLAKE2 digest with the seed as key. With a seed
+    that is drawn anew for each run no two texts can be chosen to collide. Only equal seeds give comparable hashes.
+    """
+
+    PRIMES = (2**31 - 1, 2**31 - 19)
+    LONG = 96
+
+    def __init__(self, seed: int):
+        drawn = np.random.default_rng(seed)
+        self.key = seed.to_bytes(16, "little")
+        self.salt = U64(drawn.integers(1 << 63, dtype=U64))
+        self.points = [U64(drawn.integers(1 << 16, p - 1)) for p in self.PRIMES]
+        self.begins = [U64(drawn.integers(1, p)) for p in self.PRIMES]
+
+    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hash of each ``data[start:end]``."""
+        sizes = ends - starts
+        out = mix(leading(data, starts, sizes) ^ self.salt)
+        rows = np.flatnonzero((sizes > 8) & (sizes <= self.LONG))
+        rows = rows[np.argsort(-sizes[rows], kind="stable")]  # longest first, so that those with a further limb lead
+        if len(rows):
+            at, size = starts[rows], sizes[rows]
+            found = [np.full(len(rows), b, dtype=U64) for b in self.begins]
+            more = np.searchsorted(-size, -np.arange(0, self.LONG, 8), side="left")  # how many are longer than 0, 8, 16, ...
+            for k, n in enumerate(more.tolist()):
+                if not n:
+                    break
+                word = eights(data, at[:n] + 8 * k) & _MASKS[np.minimum(size[:n] - 8 * k, 8)]
+                for limb in (word & U64(0xFFFFFFFF), word >> U64(32)):
+                    for h, p, point in zip(found, self.PRIMES, self.points, strict=True):
+                        h[:n] = (h[:n] * point + limb) % U64(p)
+            out[rows] = mix(found[0] << U64(32) | found[1])
+        for i in np.flatnonzero(sizes > self.LONG).tolist():
+            digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8, key=self.key).digest()
+            out[i] = U64(int.from_bytes(digest, "little"))
+        return mix(out + sizes.astype(U64) * GOLDEN)
+
+
+_hashes: dict[int, RangeHash] = {}
+_own: list[RangeHash] = []
+
+
+def new_seed() -> int:
+    """A seed for the hashes of one run, which the driver draws and tasks get with their work."""
+    return secrets.randbits(63)
+
+
+def range_hash(seed: int | None = None) -> RangeHash:
+    """The hash of ``seed``, or one of this process alone, which nothing else can be compared with."""
+    if seed is None:
+        if not _own:
+            _own.append(RangeHash(secrets.randbits(128)))
+        return _own[0]
+    if seed not in _hashes:
+        if len(_hashes) > 2:
+            _hashes.clear()
+        _hashes[seed] = RangeHash(seed)
+    return _hashes[seed]
+
+
+def unused(name: str, columns: Iterable[str]) -> str:
+    """``name``, with underscores before it until no column has it, whatever its case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 class Texts:
@@ -108,8 +176,9 @@ class Words:
     def text_of(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.texts)), self.counts())
 
-    def hashes(self, lower: bool = False) -> np.ndarray:
-        return range_hash((_LOWER if lower else BYTE_HASH)[self.texts.data], self.starts, self.ends)
+    def hashes(self, lower: bool = False, seed: int | None = None) -> np.ndarray:
+        """Hash of every word by ``range_hash(seed)``, A to Z as a to z if ``lower``."""
+        return range_hash(seed)(_LOWER[self.texts.data] if lower else self.texts.data, self.starts, self.ends)
 
 
 def windows(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

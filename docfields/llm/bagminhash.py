@@ -11,13 +11,14 @@ only while they can still come first somewhere.
 from __future__ import annotations
 
 import hashlib
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docfields.llm.arrays import GOLDEN, U64, Texts, mix, parts, windows
+from docfields.llm.arrays import GOLDEN, U64, Texts, mix, new_seed, parts, windows
 from docfields.llm.components import components
 from docfields.llm.tree_merge import PLACE, placed
 from docfields.session import materialise
@@ -32,17 +33,18 @@ LEAST_AGREEING = int(SIZE * (SIMILARITY - 5 * (SIMILARITY * (1 - SIMILARITY) / S
 BLOCK = 4_096
 
 
-def shingles(texts: Texts, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text, hash and count of every distinct shingle; a text of fewer words has one shingle, of all its words."""
+def shingles(texts: Texts, size: int = SHINGLE, seed: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, hash (by ``seed``) and count of every distinct shingle; a text of fewer words has one shingle, of all its words."""
     words = texts.words()
-    hashes, text_of = words.hashes(), words.text_of()
+    hashes, text_of, counts = words.hashes(seed=seed), words.text_of(), words.counts()
     value, at = windows(hashes, words.first, size)
     owner = text_of[at]
-    for short in np.flatnonzero((words.counts() > 0) & (words.counts() < size)):
-        h = np.array([words.counts()[short]], dtype=U64)
-        for at in range(words.first[short], words.first[short + 1]):
-            h = mix(h * GOLDEN + hashes[at : at + 1])
-        value, owner = np.append(value, h), np.append(owner, short)
+    short = np.flatnonzero((counts > 0) & (counts < size))
+    h = counts[short].astype(U64)
+    for k in range(size - 1):
+        more = counts[short] > k
+        h[more] = mix(h[more] * GOLDEN + hashes[words.first[short[more]] + k])
+    value, owner = np.concatenate([value, h]), np.concatenate([owner, short])
     order = np.lexsort((value, owner))
     value, owner = value[order], owner[order]
     new = np.ones(len(value), dtype=bool)
@@ -92,10 +94,10 @@ def bands(signature: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _sign(batches):
+def _sign(batches, seed: int):
     for batch in batches:
         for part, texts in parts(batch, "_text"):
-            owner, value, count = shingles(texts)
+            owner, value, count = shingles(texts, seed=seed)
             n = len(texts)
             total = np.bincount(owner, weights=count, minlength=n).astype(np.int64)
             signature = signatures(owner, value, count, n)
@@ -120,7 +122,8 @@ def _agreeing(batches):
 
 
 def _verify(batches):
-    """Pairs of texts whose shingles, as multisets, overlap enough."""
+    """Pairs of texts whose shingles, as multisets, overlap enough. The hash here is this worker's own, not the one that
+    the pairs were found by."""
     for batch in batches:
         for part, left in parts(batch, "text_a"):
             right = Texts(part.column("text_b"))
@@ -135,11 +138,11 @@ def _verify(batches):
             yield part.filter(pa.array(good)).select(["a", "b"])
 
 
-def _elements(batches):
+def _elements(batches, seed: int):
     """The distinct shingles of every text and their counts, as bytes."""
     for batch in batches:
         for part, texts in parts(batch, "_text"):
-            owner, value, count = shingles(texts)
+            owner, value, count = shingles(texts, seed=seed)
             marks = np.searchsorted(owner, np.arange(len(texts) + 1)).tolist()
             cut = list(zip(marks[:-1], marks[1:], strict=True))
             yield pa.RecordBatch.from_arrays(
@@ -212,7 +215,7 @@ def _links(classes: DataFrame, texts: DataFrame) -> DataFrame:
     cut = open_members.withColumn("own", own).withColumn("other", F.explode(others)).select(
         "bucket", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "id", "label",
         F.when(F.col("own") == F.col("other"), F.lit(None)).otherwise((F.col("own") > F.col("other")).cast("int")).alias("side"))
-    elements = texts.join(open_members.select("id").distinct(), "id", "left_semi").mapInArrow(_elements, "id long, values binary, counts binary")
+    elements = texts.join(open_members.select("id").distinct(), "id", "left_semi").mapInArrow(partial(_elements, seed=new_seed()), "id long, values binary, counts binary")
     full = cut.join(marks, "id").join(elements, "id")
     more = full.groupBy("bucket", "p", "q").applyInArrow(bucket_links, "a long, b long")
     return links.union(materialise(more, "more-links"))
@@ -229,7 +232,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """
     rows = placed(docs, {"_key": F.col(key), "_text": F.col(text)})
     signed = materialise(rows.mapInArrow(
-        _sign, f"_key {docs.schema[key].dataType.simpleString()}, {PLACE[0]} long, {PLACE[1]} long, digest binary, n long, bands array<long>, short binary"), "signatures")
+        partial(_sign, seed=new_seed()), f"_key {docs.schema[key].dataType.simpleString()}, {PLACE[0]} long, {PLACE[1]} long, digest binary, n long, bands array<long>, short binary"), "signatures")
     # Equal texts are one class from the start, stood for by its first row.
     here = F.struct(F.col("_key").isNull().alias("no_key"), F.col("_key").alias("key"), F.col(PLACE[0]).alias("file"), F.col(PLACE[1]).alias("at"))
     first = signed.groupBy("digest").agg(F.min(here).alias("first"))

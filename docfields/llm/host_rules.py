@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docfields.llm.arrays import BYTE_HASH, GOLDEN, U64, Texts, mix, parts, range_hash, windows
+from docfields.llm.arrays import GOLDEN, U64, Texts, mix, parts, range_hash, unused, windows
 from docfields.session import materialise
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
@@ -49,7 +49,7 @@ def measured(texts: Texts) -> dict[str, np.ndarray]:
     full = held[ends] > held[starts]
     starts, ends, owner = starts[full], ends[full], owner[full]
     salt = mix(np.arange(1, n + 1, dtype=U64) * GOLDEN)
-    line = mix(range_hash(BYTE_HASH[texts.data], starts, ends) ^ salt[owner])
+    line = mix(range_hash()(texts.data, starts, ends) ^ salt[owner])
     _, first = np.unique(line, return_index=True)
     out["n_lines"] = np.bincount(owner, minlength=n)
     out["n_dup_lines"] = out["n_lines"] - np.bincount(owner[first], minlength=n)
@@ -111,20 +111,26 @@ def host_verdicts(measures: DataFrame, host: str = "source") -> DataFrame:
 def judge(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
     """``docs`` with ``_measures`` (struct) and ``_kept``: neither the document itself nor its host fails.
 
-    Every row stays, repeated ones too; null or empty texts have no words and fail. Columns of these two names are an
-    error. Two passes over the texts: one for the hosts' shares, one that carries the documents past their verdict, so
+    Every row stays, repeated ones too; null or empty texts have no words and fail. Very long texts are measured whole, in
+    arrays of some 15 times their size. A column of ``docs`` with one of these two names gives way to the new one. Two passes over the texts: one for the hosts' shares, one that carries the documents past their verdict, so
     that texts are shuffled only where hosts are too many to be sent along.
     """
+    docs = docs.select(*[c for c in docs.columns if c.lower() not in ("_measures", "_kept")])
+    mine, bad_name = (unused(x, docs.columns) for x in ("_host", "_bad"))
     narrow = docs.select(F.col(host).alias("_host"), F.col(text).alias("_text"))
     verdicts = host_verdicts(measure(narrow, "_text").select("_host", "_measures.*"), "_host")
-    bad = verdicts.where("rejected").select(F.col("host").alias("_host"), F.lit(True).alias("_bad"))
+    bad = verdicts.where("rejected").select(F.col("host").alias(mine), F.lit(True).alias(bad_name))
     full = measure(docs, text)
-    joined = full.join(bad, full[host].eqNullSafe(bad["_host"]), "left")
+    joined = full.join(bad, full[host].eqNullSafe(bad[mine]), "left")
     n = F.col("_measures.n_words")
     failed = (n < 50) | (100 * F.col("_measures.n_repeat_words") > 50 * n)
-    return joined.select(*[full[c] for c in docs.columns], "_measures", (~failed & F.col("_bad").isNull()).alias("_kept"))
+    return joined.select(*[full[c] for c in docs.columns], "_measures", (~failed & F.col(bad_name).isNull()).alias("_kept"))
 
 
 def drop_low_quality(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
     """``docs`` without rejected rows; all columns, in their order."""
+    clash = [c for c in docs.columns if c.lower() in ("_measures", "_kept")]
+    if clash:  # they stay in the result, so they are carried past the verdict under other names
+        other = {c: unused(f"_own{c}", docs.columns) for c in clash}
+        return drop_low_quality(docs.withColumnsRenamed(other), host, text).withColumnsRenamed({v: k for k, v in other.items()})
     return judge(docs, host, text).where("_kept").select(*docs.columns)

@@ -1,6 +1,6 @@
 """An interpolated modified Kneser-Ney model of order 2 or 3, counted in Spark and kept as sorted hash arrays in shared files.
 
-Words are known by a 64-bit hash. The hashes of the training words, sorted and cut into ranges, are the vocabulary; a
+Words are known by a 64-bit hash whose seed is drawn for each model. The hashes of the training words, sorted and cut into ranges, are the vocabulary; a
 word's id is its place. Bigrams are sorted pairs of ids, cut into shards by their first word; the bigrams of a very
 frequent first word are dealt over shards by their second. Scoring tasks map these files and look up the distinct
 words and pairs of a part of the texts in order.
@@ -12,6 +12,8 @@ followers. Pairs then count the words they follow, but pairs that begin a text t
 from __future__ import annotations
 
 import uuid
+from collections import OrderedDict
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docfields.llm.arrays import U64, Texts, gather, group_sums, mix, parts
+from docfields.llm.arrays import U64, Texts, gather, group_sums, mix, new_seed, parts, unused
 from docfields.llm.files import create, mapped, new_folder
 from docfields.session import materialise
 
@@ -30,11 +32,11 @@ HELD = 1_500_000
 STATS = (("follows", "<i8"), ("total", "<i8"), ("once", "<i8"), ("twice", "<i8"), ("more", "<i8"))
 
 
-def tokens(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of every text, A to Z in lower case, each text followed by its end; and where texts begin."""
+def tokens(texts: Texts, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (by ``seed``) of the words of every text, A to Z in lower case, each text followed by its end; and where texts begin."""
     words = texts.words()
     first = words.first + np.arange(len(texts) + 1)
-    return np.insert(words.hashes(lower=True), words.first[1:], END[0]), first
+    return np.insert(words.hashes(True, seed), words.first[1:], END[0]), first
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,6 +123,7 @@ class Model:
     bigrams: int = 0
     kinds: tuple = (0, 0, 0)  # words that follow one, two, three or more others
     order: int = 2
+    seed: int = 0  # of the words' hashes
     triples: list = field(default_factory=list)  # (file, contexts, entries) of each shard of triples
     triple_discount: tuple = (0.5, 1.0, 1.5)
 
@@ -134,27 +137,52 @@ class Model:
 
 
 class Mapped:
-    """A model's files, opened on a worker."""
+    """A model's files on a worker: each is mapped once, on first use, and the least used of more than ``KEPT`` let go."""
+
+    KEPT = 256
 
     def __init__(self, model: Model):
         self.m = model
-        self.words = [(mapped(f, "<u8", n), mapped(f, "<i8", n, 8 * n)) for f, n in model.words]
-        self.pairs = [(mapped(f, "<u8", n), mapped(f, "<i4", n, 8 * n)) for f, n in model.pairs]
-        self.stats = [{name: mapped(f, kind, n, 8 * n * i) for i, (name, kind) in enumerate(STATS)} for f, n in model.stats]
-        self.triples = []
-        for f, n, entries in model.triples:
-            at, arrays = 0, []
-            for kind, count in triple_layout(n, entries):
-                arrays.append(mapped(f, kind, count, at))
-                at += count * np.dtype(kind).itemsize
-            self.triples.append(arrays)
+        self.kept: OrderedDict[str, list[np.ndarray]] = OrderedDict()
+
+    def _arrays(self, file: str, layout: Sequence[tuple[str, int]]) -> list[np.ndarray]:
+        if not file:
+            return [np.zeros(0, dtype=kind) for kind, _ in layout]
+        if file in self.kept:
+            self.kept.move_to_end(file)
+            return self.kept[file]
+        raw, at, out = mapped(file, np.uint8, sum(n * np.dtype(kind).itemsize for kind, n in layout)), 0, []
+        for kind, n in layout:
+            end = at + n * np.dtype(kind).itemsize
+            out.append(np.asarray(raw[at:end]).view(kind))
+            at = end
+        self.kept[file] = out
+        if len(self.kept) > self.KEPT:
+            self.kept.popitem(last=False)
+        return out
+
+    def words(self, r: int) -> list[np.ndarray]:
+        file, n = self.m.words[r]
+        return self._arrays(file, (("<u8", n), ("<i8", n)))
+
+    def pairs(self, r: int) -> list[np.ndarray]:
+        file, n = self.m.pairs[r]
+        return self._arrays(file, (("<u8", n), ("<i4", n)))
+
+    def stats(self, r: int) -> dict[str, np.ndarray]:
+        file, n = self.m.stats[r]
+        return dict(zip([name for name, _ in STATS], self._arrays(file, [(kind, n) for _, kind in STATS]), strict=True))
+
+    def triples(self, r: int) -> list[np.ndarray]:
+        file, n, entries = self.m.triples[r]
+        return self._arrays(file, triple_layout(n, entries))
 
     def ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Id (-1: unknown) and count of sorted distinct hashes."""
         ids, counts = np.full(len(hashes), -1, dtype=np.int64), np.zeros(len(hashes), dtype=np.int64)
         cut = np.searchsorted(range_of(hashes, self.m.ranges), np.arange(self.m.ranges + 1))
         for r in np.flatnonzero(np.diff(cut)):
-            known, count = self.words[r]
+            known, count = self.words(r)
             if not len(known):
                 continue
             some = hashes[cut[r] : cut[r + 1]]
@@ -165,7 +193,7 @@ class Mapped:
 
     def text_ids(self, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids and counts of all tokens, and where texts begin."""
-        flat, first = tokens(texts)
+        flat, first = tokens(texts, self.m.seed)
         distinct, which = np.unique(flat, return_inverse=True)
         ids, counts = self.ids(distinct)
         return ids[which], counts[which], first
@@ -176,9 +204,10 @@ class Mapped:
         cut = np.searchsorted(ids, [stat_range(r, self.m)[0] for r in range(self.m.ranges)] + [self.m.size + 1])
         for r in np.flatnonzero(np.diff(cut)):
             at = ids[cut[r] : cut[r + 1]] - stat_range(int(r), self.m)[0]
+            held = self.stats(r)
             for o, name in zip(out, names, strict=True):
-                if len(self.stats[r][name]):  # else nothing was counted there
-                    o[cut[r] : cut[r + 1]] = self.stats[r][name][at]
+                if len(held[name]):  # else nothing was counted there
+                    o[cut[r] : cut[r + 1]] = held[name][at]
         return out
 
     def pair_counts(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -189,7 +218,7 @@ class Mapped:
         cut = np.searchsorted(shard[order], np.arange(self.m.ranges + 1))
         keys = pair_keys(first, second)[order]
         for r in np.flatnonzero(np.diff(cut)):
-            known, count = self.pairs[r]
+            known, count = self.pairs(r)
             if not len(known):
                 continue
             some = keys[cut[r] : cut[r + 1]]
@@ -247,7 +276,7 @@ class Mapped:
         order = np.argsort(which, kind="stable")  # tokens by context
         cut = np.concatenate([[0], np.cumsum(np.bincount(which, minlength=len(contexts)))])
         for r in np.unique(shard):
-            known, total, once, twice, more, marks, third, counts = self.triples[r]
+            known, total, once, twice, more, marks, third, counts = self.triples(r)
             if not len(known):
                 continue
             some = np.flatnonzero(shard == r)
@@ -341,7 +370,7 @@ _SCHEMA = pa.schema([("part", pa.int32()), ("file", pa.string()), ("n", pa.int64
                      ("kinds", pa.list_(pa.int64())), ("data", pa.binary()), ("target", pa.int32())])
 
 
-def count_words(docs: DataFrame, text: str, ranges: int, folder: str) -> DataFrame:
+def count_words(docs: DataFrame, text: str, ranges: int, folder: str, seed: int) -> DataFrame:
     def count(batches):
         held = Counter()
 
@@ -353,7 +382,7 @@ def count_words(docs: DataFrame, text: str, ranges: int, folder: str) -> DataFra
 
         for batch in batches:
             for _, texts in parts(batch, text):
-                held.add(tokens(texts)[0])
+                held.add(tokens(texts, seed)[0])
                 if held.full():
                     yield passed_on()
         yield passed_on()
@@ -491,9 +520,9 @@ def fit(docs: DataFrame, text: str = "text", order: int = 2) -> Model:
         raise ValueError(f"order is 2 or 3, not {order}")
     spark = docs.sparkSession
     folder = new_folder(spark, "kneser-ney")
-    model = Model(int(spark.conf.get("spark.sql.shuffle.partitions")), order=order)
+    model = Model(int(spark.conf.get("spark.sql.shuffle.partitions")), order=order, seed=new_seed())
     none = ("", 0)
-    found = count_words(docs, text, model.ranges, folder).collect()  # one row for each range
+    found = count_words(docs, text, model.ranges, folder, model.seed).collect()  # one row for each range
     by = {r["part"]: r for r in found}
     model.words = [(by[k]["file"], by[k]["n"]) if k in by else none for k in range(model.ranges)]
     model.base = np.concatenate([[0], np.cumsum([n for _, n in model.words])])
@@ -531,17 +560,20 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
     """Columns ``keep`` (all but ``text`` by default) and ``n_tokens, n_known, train_tokens, base_score, score, perplexity``.
 
     ``base_score`` adds log10((c + 1) / (N + V + 1)) of each token. Every row is scored, repeated ones too; a null or
-    empty text is its end alone. With an empty training table every word is as likely as unknown.
+    empty text is its end alone; a very long one is scored whole, in arrays of some 15 times its size. With an empty
+    training table every word is as likely as unknown. A column of ``docs`` with the name of a new one gives way to it.
     """
-    names = [c for c in docs.columns if c != text] if keep is None else keep
     kinds = (("n_tokens", T.LongType()), ("n_known", T.LongType()), ("train_tokens", T.LongType()), ("base_score", T.DoubleType()),
              ("score", T.DoubleType()), ("perplexity", T.DoubleType()))
+    made = {k for k, _ in kinds}
+    names = [c for c in (docs.columns if keep is None else keep) if c.lower() not in made and (keep is not None or c != text)]
+    inner = unused("_text", names)
     schema = T.StructType([docs.schema[c] for c in names] + [T.StructField(k, t) for k, t in kinds])
 
     def run(batches):
         files = opened(model)
         for batch in batches:
-            for part, texts in parts(batch, "_text"):
+            for part, texts in parts(batch, inner):
                 ids, counts, first = files.text_ids(texts)
                 n = np.diff(first)
                 base = group_sums(np.log10((counts + 1) / (model.tokens + model.size + 1)), first)
@@ -549,4 +581,4 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
                 columns = [n, group_sums((counts > 0).astype(np.int64), first), np.full(len(n), model.tokens), base, total, 10 ** (-total / n)]
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], *map(pa.array, columns)], names=schema.names)
 
-    return docs.select(*names, F.col(text).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*names, F.col(text).alias(inner)).mapInArrow(run, schema)

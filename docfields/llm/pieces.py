@@ -14,31 +14,47 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 
-from docfields.llm.arrays import U64, Texts, gather, mix, range_hash
+from docfields.llm.arrays import U64, Texts, gather, leading, range_hash
 
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 #: Unicode's White_Space, and the endings that the pattern keeps apart.
 WHITE_SPACE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
+#: Letters and numbers that Unicode 16 added, first and last. Both tokenizer libraries know them, Python from
+#: some release on only.
+LATER_LETTERS = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85),
+    (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7),
+    (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C),
+    (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0))
+LATER_NUMBERS = (
+    (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9),
+    (0x1E5F1, 0x1E5FA))
 
 #: Distinct pieces that a worker remembers; beyond, it starts anew.
 REMEMBERED = 600_000
 #: The same for the tokenizers library, which keeps less beside it, and the bytes of text that are best cut at once for it.
 LIBRARY_REMEMBERED, LIBRARY_BATCH = 1_000_000, 1 << 21
 
+#: Bytes of one text that are cut to pieces at once, and the white space that a longer one is parted at.
+LONGEST, WHITE_BYTES = 1 << 22, [0x20, *range(0x09, 0x0E)]
+
 _tables: list[np.ndarray] = []
 
 
-def tables() -> list[np.ndarray]:
-    """The class of every code point, and a hash of it; made once per worker."""
+def classes() -> np.ndarray:
+    """The class of every code point; made once per worker."""
     if not _tables:
         names = [unicodedata.category(chr(c))[0] for c in range(sys.maxunicode + 1)]
         table = np.full(len(names), OTHER, dtype=np.uint8)
         table[[i for i, x in enumerate(names) if x == "L"]] = LETTER
         table[[i for i, x in enumerate(names) if x == "N"]] = NUMBER
         table[list(WHITE_SPACE)] = SPACE
-        _tables.extend([table, mix(np.arange(1, len(names) + 1, dtype=U64))])
-    return _tables
+        for kind, ranges in ((LETTER, LATER_LETTERS), (NUMBER, LATER_NUMBERS)):
+            for low, high in ranges:
+                table[low : high + 1] = kind
+        _tables.append(table)
+    return _tables[0]
 
 
 def piece_starts(points: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -46,7 +62,7 @@ def piece_starts(points: np.ndarray, begins: np.ndarray) -> np.ndarray:
     n = len(points)
     if not n:
         return np.zeros(0, dtype=np.int64)
-    kind = tables()[0][points]
+    kind = classes()[points]
     space = kind == SPACE
     last = np.ones(n, dtype=bool)  # last of its text
     last[:-1] = begins[1:n]
@@ -76,8 +92,9 @@ def piece_starts(points: np.ndarray, begins: np.ndarray) -> np.ndarray:
 class PieceEncoder:
     """``ids(texts)`` through ``encode``, which gives the ids of each piece of a list.
 
-    A piece is known by its 64-bit hash: among those remembered, a new one meets a wrong match once in 10^13. ``added``
-    are strings that are pieces wherever they stand; of several at one place the longest counts.
+    Pieces are found by a hash of this worker alone, and every find is compared byte by byte; a piece that only shares its
+    hash with another is encoded on its own. ``added`` are strings that are pieces wherever they stand; of several at one
+    place the longest counts.
     """
 
     def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], dtype=np.uint32, remembered: int = REMEMBERED,
@@ -85,12 +102,15 @@ class PieceEncoder:
         self.encode, self.dtype, self.remembered = encode, dtype, remembered
         self.added = sorted(filter(None, added), key=len, reverse=True)
         self.pattern = re.compile("|".join(map(re.escape, self.added)))
+        self.spaced = any(c.isspace() for a in self.added for c in a)
         self.clear()
 
     def clear(self) -> None:
         self.hashes, self.slots = np.zeros(0, dtype=U64), np.zeros(0, dtype=np.int64)
         self.store, self.used = np.zeros(1 << 16, dtype=self.dtype), 0
         self.start, self.length = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.bytes, self.filled = np.zeros(1 << 16, dtype=np.uint8), 0  # of the pieces themselves
+        self.byte_start, self.byte_length = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
     def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.searchsorted(self.hashes, hashes)
@@ -98,7 +118,16 @@ class PieceEncoder:
             self.hashes[np.minimum(at, len(self.hashes) - 1)] == hashes)
 
     def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
+        """Ids and bytes of new pieces; ``hashes`` are in order."""
         starts, lengths = [], []
+        raw = [p.encode() for p in pieces]
+        sizes, flat = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)), np.frombuffer(b"".join(raw), dtype=np.uint8)
+        while self.filled + len(flat) > len(self.bytes):
+            self.bytes = np.concatenate([self.bytes, np.zeros_like(self.bytes)])
+        self.bytes[self.filled : self.filled + len(flat)] = flat
+        self.byte_start = np.concatenate([self.byte_start, self.filled + np.cumsum(sizes) - sizes])
+        self.byte_length = np.concatenate([self.byte_length, sizes])
+        self.filled += len(flat)
         for at in range(0, len(pieces), 20_000):
             lists = self.encode(pieces[at : at + 20_000])
             size = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
@@ -124,11 +153,22 @@ class PieceEncoder:
         return np.array(found, dtype=np.int64).reshape(-1, 2)
 
     def ids(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of ``texts``, and how many each text has."""
-        string = texts.data.tobytes().decode("utf-8")
+        """All ids of ``texts``, and how many each text has. A very long text is taken in parts, cut where white space begins."""
+        if len(texts) != 1 or len(texts.data) <= LONGEST or self.spaced:
+            return self._ids(texts.data, texts.offsets)
+        found, at = [], 0
+        while at < len(texts.data):
+            to = next_break(texts.data, at + LONGEST)
+            found.append(self._ids(texts.data[at:to], np.array([0, to - at]))[0])
+            at = to
+        ids = np.concatenate(found)
+        return ids, np.array([len(ids)])
+
+    def _ids(self, data: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        string = data.tobytes().decode("utf-8")
         points = np.frombuffer(string.encode("utf-32-le"), dtype=np.uint32)
-        leading = np.concatenate([[0], np.cumsum((texts.data & 0xC0) != 0x80)])
-        offsets = leading[texts.offsets]
+        leading = np.flatnonzero((data & 0xC0) != 0x80)
+        offsets = np.searchsorted(leading, marks)
         begins = np.zeros(len(points) + 1, dtype=bool)
         begins[offsets] = True
         spans = self._spans(string, offsets)
@@ -138,8 +178,10 @@ class PieceEncoder:
             own = np.searchsorted(spans[:, 0], starts) - 1  # the last span that begins before
             starts = starts[(own < 0) | (starts >= spans[own, 1])]
         ends = np.append(starts[1:], len(points))
-        hashes, first, which = np.unique(
-            range_hash(tables()[1][points], starts, ends), return_index=True, return_inverse=True)
+        low = leading[starts] if len(starts) else starts
+        sizes = np.diff(np.append(low, len(data)))
+        hashes, first, which = np.unique(range_hash()(data, low, low + sizes), return_index=True, return_inverse=True)
+        odd = ~equal_ranges(data, low, data, low[first][which], sizes, sizes[first][which])
         at, known = self._find(hashes)
         if not known.all():
             if len(self.hashes) and len(self.hashes) + np.count_nonzero(~known) > self.remembered:
@@ -148,13 +190,49 @@ class PieceEncoder:
             new = first[~known]
             self._learn(hashes[~known], [string[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
             at, known = self._find(hashes)
-        slots = self.slots[at][which] if len(at) else at
+        slots = self.slots[at] if len(at) else at
+        odd |= ~equal_ranges(data, low[first], self.bytes, self.byte_start[slots], sizes[first], self.byte_length[slots])[which]
+        slots = slots[which]
         lengths = self.length[slots]
-        counts = np.zeros(len(texts), dtype=np.int64)
+        store, source = self.store, self.start[slots]
+        if odd.any():  # a piece that is not the one that has its hash
+            alone = np.flatnonzero(odd)
+            lists = self.encode([string[a:b] for a, b in zip(starts[alone].tolist(), ends[alone].tolist(), strict=True)])
+            lengths[alone] = [len(x) for x in lists]
+            source[alone] = self.used + np.cumsum(lengths[alone]) - lengths[alone]
+            store = np.concatenate([store[: self.used], np.array([i for x in lists for i in x], dtype=self.dtype)])
+        counts = np.zeros(len(marks) - 1, dtype=np.int64)
         if len(starts):
             total = np.concatenate([[0], np.cumsum(lengths)])
             counts = np.diff(total[np.searchsorted(starts, offsets)])
-        return gather(self.store, self.start[slots], lengths), counts
+        return gather(store, source, lengths), counts
+
+
+def equal_ranges(a: np.ndarray, at: np.ndarray, b: np.ndarray, bt: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
+    """Whether ``a[at:at + size_a]`` and ``b[bt:bt + size_b]`` have the same bytes, row by row."""
+    same = (size_a == size_b) & (leading(a, at, size_a) == leading(b, bt, size_b))
+    rows = np.flatnonzero(same & (size_a > 8))
+    if len(rows):
+        rows = rows[leading(a, at[rows], size_a[rows], 8) != leading(b, bt[rows], size_b[rows], 8)]
+        same[rows] = False
+        rows = np.flatnonzero(same & (size_a > 16) & ((at != bt) | (a is not b)))
+    for some in np.array_split(rows, max(1, int(size_a[rows].sum()) >> 20)):
+        size = size_a[some]
+        bad = gather(a, at[some], size) != gather(b, bt[some], size)
+        if bad.any():
+            same[some[np.repeat(np.arange(len(some)), size)[bad]]] = False
+    return same
+
+
+def next_break(data: np.ndarray, at: int) -> int:
+    """Where white space next begins at ``at`` or later (else the end): no piece runs over such a place."""
+    step = 1 << 16
+    for low in range(max(at, 1), len(data), step):
+        space = np.isin(data[low - 1 : low + step], WHITE_BYTES)
+        for found in (low + np.flatnonzero(space[1:] & ~space[:-1])).tolist():
+            if not data[max(0, found - 4) : found].tobytes().decode("utf-8", "ignore")[-1:].isspace():
+                return found
+    return len(data)
 
 
 _encoders: dict[str, PieceEncoder] = {}  # by vocabulary and kind

@@ -126,10 +126,22 @@ class PrefixTable:
         return self
 
     def edit(self, start: int, end: int, by: bytes) -> PrefixTable:
-        """Bytes ``start`` to ``end`` replaced; entries up to ``start`` are kept, the rest made anew."""
-        tail = self.piece[end:]
-        self.piece, self.last = self.piece[:start], self.last[: start + 1]
-        return self.append(by + tail)
+        """Bytes ``start`` to ``end`` replaced; entries up to ``start`` are kept, and so are those behind the edit from where
+        as many in a row as the longest token has bytes come out as before: a later entry depends on no others."""
+        old, whole, longest = self.last, self.piece, self.merges.longest
+        shift = start + len(by) - end  # from places in the old piece to places in the new one
+        self.piece, self.last = whole[:start], old[: start + 1]
+        self.append(by)
+        at, step = end, 2 * longest
+        while at < len(whole):
+            to = min(len(whole), at + step)
+            self.append(whole[at:to])
+            if to - end >= longest and self.last[to + shift - longest + 1 :] == old[to - longest + 1 : to + 1]:
+                self.piece += whole[to:]
+                self.last += old[to + 1 :]
+                break
+            at, step = to, 2 * step
+        return self
 
     def ids(self) -> list[int]:
         whole = self.merges.ranks.get(self.piece)
