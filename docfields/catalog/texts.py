@@ -111,15 +111,16 @@ QUERIES.add(
     SELECT doc_id, word_id, CASE WHEN regexp_full_match(t, '[+-]?[0-9]+(\\.[0-9]*)?') THEN TRY_CAST(t AS double) END AS amount FROM m""",
 )
 def totals_of_all_sizes():
-    """Totals with up to three decimals, very large and very small ones, and none."""
+    """Totals with up to three decimals (whole thousandths, so that nothing is rounded), very large and very small ones,
+    both zeros, and none."""
     k, total = F.col("o_orderkey"), F.col("o_totalprice").cast("double")
-    return (F.when(k % 5 == 0, F.round(total / 8, 3)).when(k % 5 == 1, F.round(total, 0) * 1e15).when(k % 5 == 2, F.round(total, 0) / 1e10)
-            .when(k % 5 == 3, total).when(k % 2 == 0, F.lit(0.0)))
+    return (F.when(k % 5 == 0, F.floor(total * 125) / F.lit(1000.0)).when(k % 5 == 1, F.round(total, 0) * 1e15).when(k % 5 == 2, F.round(total, 0) / 1e10)
+            .when(k % 5 == 3, total).when(k % 4 == 0, F.lit(0.0)).when(k % 4 == 1, F.lit(-0.0)).when(k % 4 == 2, F.floor(total) * 5e-324))
 
 
-TOTALS_OF_ALL_SIZES = """CASE WHEN o_orderkey % 5 = 0 THEN round(o_totalprice / 8e0, 3) WHEN o_orderkey % 5 = 1 THEN round(o_totalprice::DOUBLE, 0) * 1e15
+TOTALS_OF_ALL_SIZES = """CASE WHEN o_orderkey % 5 = 0 THEN floor(o_totalprice::DOUBLE * 125e0) / 1000e0 WHEN o_orderkey % 5 = 1 THEN round(o_totalprice::DOUBLE, 0) * 1e15
     WHEN o_orderkey % 5 = 2 THEN round(o_totalprice::DOUBLE, 0) / 1e10 WHEN o_orderkey % 5 = 3 THEN o_totalprice::DOUBLE
-    WHEN o_orderkey % 2 = 0 THEN 0e0 END"""
+    WHEN o_orderkey % 4 = 0 THEN 0e0 WHEN o_orderkey % 4 = 1 THEN -0e0 WHEN o_orderkey % 4 = 2 THEN floor(o_totalprice::DOUBLE) * 5e-324 END"""
 QUERIES.add(
     "number_texts", "F16",
     lambda s, d: fixtures.table(s, d, "orders").select(

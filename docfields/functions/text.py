@@ -157,13 +157,19 @@ def money(c: Column) -> Column:
 
 def num_text(c: Column) -> Column:
     """F16: a total as the form expects it: the shortest text of the number, with at least one decimal; an exponent only
-    from 1e16 on and below 0.0001."""
+    from 1e16 on and below 0.0001. Zero keeps its sign."""
     number = c.cast("double")
-    tried = [F.format_string(f"%.{digits}e", number) for digits in (14, 15, 16)]
-    shortest = F.coalesce(*[F.when(t.try_cast("double") == number, t) for t in tried])
+
+    def first(digits) -> Column:
+        tried = [F.format_string(f"%.{n}e", number) for n in digits]
+        return F.coalesce(*[F.when(t.try_cast("double") == number, t) for t in tried])
+
+    # Numbers below the normal ones have fewer digits of their own.
+    shortest = F.when(F.abs(number) < 2.3e-308, first(range(17))).otherwise(first((14, 15, 16)))
     plain = F.regexp_replace(shortest.try_cast("decimal(38,20)").cast("string"), r"(\.[0-9]+?)0+$", "$1")
     size = F.abs(number)
-    return F.when((size >= 1e-4) & (size < 1e16) | (size == 0), plain).otherwise(
+    zero = F.when(F.format_string("%.0e", number).startswith("-"), "-0.0").otherwise("0.0")
+    return F.when(size == 0, zero).when((size >= 1e-4) & (size < 1e16), plain).otherwise(
         F.replace(F.lower(F.regexp_replace(shortest, r"\.?0+e", "e")), F.lit("infinity"), F.lit("inf")))
 
 
