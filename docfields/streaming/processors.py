@@ -1,6 +1,7 @@
 """Keyed state: job tracker and circuit (T3, T6). Both need the RocksDB state store.
 
-The rows one key has in a micro-batch are put in order before they are used; the source's rate options (such as
+Of the rows that a job has in a micro-batch the tracker keeps only the few that can still matter, so their number does not
+count. The circuit puts the rows of a key in order before it uses them; the source's rate options (such as
 ``maxFilesPerTrigger``) bound them. For a log already at rest the batch form in ``operators.health`` has no such bound.
 """
 
@@ -44,7 +45,8 @@ class JobTracker(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         failures, strategy, status = self.current.get() or (0, None, "OPEN")
         out = []
-        for row in pd.concat(list(rows)).sort_values("seq").itertuples(index=False):
+        # Each outcome that is used closes the job or is a failure, so this many of the first decide.
+        for row in self._first(rows, self.max_failures - failures).itertuples(index=False):
             if status in ("SUCCESS", "NEEDS_REVIEW"):
                 continue
             due = None
@@ -67,6 +69,15 @@ class JobTracker(StatefulProcessor):
             self.history.clear()
         yield _tracked(out)
 
+    @staticmethod
+    def _first(rows: Iterator[pd.DataFrame], most: int) -> pd.DataFrame:
+        """The ``most`` rows with the smallest ``seq``; frames are taken as they come and never put together."""
+        kept = None
+        for frame in rows:
+            frame = frame if kept is None else pd.concat([kept, frame])
+            kept = frame.sort_values("seq", kind="stable").head(max(most, 0))
+        return kept
+
     def _told(self) -> str:
         """The failures so far, for the reviewer; never more than ``max_failures`` of them."""
         return ";".join(":".join(part or "" for part in entry) for entry in self.history.get())
@@ -84,19 +95,60 @@ class JobTracker(StatefulProcessor):
         pass
 
 
+class OrderedTracker(JobTracker):
+    """The same for outcomes that are numbered 1, 2, 3 ... for each job and may come in any order, over any triggers.
+
+    What comes before its predecessors waits in a map by number; a pointer tells which number is next. A closed job
+    keeps neither.
+    """
+
+    def init(self, handle) -> None:
+        super().init(handle)
+        self.next = handle.getValueState("next", "seq long", self.ttl_ms)
+        self.waiting = handle.getMapState("waiting", "seq long", "stage string, ok boolean, error string, strategy string", self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        fields = ["stage", "ok", "error", "strategy"]
+        for frame in rows:
+            at, = self.next.get() or (1,)
+            status = (self.current.get() or (0, None, "OPEN"))[2]
+            if status in ("SUCCESS", "NEEDS_REVIEW"):
+                break
+            ready = []
+            for row in frame.sort_values("seq").itertuples(index=False):
+                if row.seq == at:
+                    ready.append(row)
+                    at += 1
+                    while self.waiting.containsKey((at,)):
+                        ready.append(pd.Series(dict(zip(fields, self.waiting.getValue((at,)), strict=True)) | {"seq": at}))
+                        self.waiting.removeKey((at,))
+                        at += 1
+                elif row.seq > at:
+                    self.waiting.updateValue((int(row.seq),), (row.stage, bool(row.ok), row.error, row.strategy))
+            self.next.update((at,))
+            if ready:
+                yield from super().handleInputRows(key, iter([pd.DataFrame([[r.seq, *[getattr(r, f) for f in fields]] for r in ready], columns=["seq", *fields])]), timerValues)
+        if (self.current.get() or (0, None, "OPEN"))[2] in ("SUCCESS", "NEEDS_REVIEW") and self.waiting.exists():
+            self.waiting.clear()
+
+    def close(self) -> None:
+        pass
+
+
 def _tracked(rows: list[tuple]) -> pd.DataFrame:
     frame = pd.DataFrame(rows, columns=["job_id", "event", "status", "failures", "strategy", "due_ms", "error", "history"])
     return frame.astype({"failures": "int32", "due_ms": "Int64"})
 
 
 def track_jobs(
-    outcomes: DataFrame, max_failures: int = 2, base_ms: int = 5000, cap_ms: int = 900_000, ttl_ms: int = KEPT_MS
+    outcomes: DataFrame, max_failures: int = 2, base_ms: int = 5000, cap_ms: int = 900_000, ttl_ms: int = KEPT_MS, numbered: bool = False
 ) -> DataFrame:
     """job_id, seq, stage, ok, error, strategy in; one row per outcome and one per retry that falls due out.
 
-    A job that nothing has happened to for ``ttl_ms`` (longer than any retry waits) starts anew.
+    A job that nothing has happened to for ``ttl_ms`` (longer than any retry waits) starts anew. Outcomes are taken in the
+    order of ``seq`` within a micro-batch; if they are ``numbered`` from 1 without gaps, in that order over all of them.
     """
-    tracker = JobTracker(max_failures, lambda k: min(cap_ms, base_ms * 2 ** k), ttl_ms)
+    tracker = (OrderedTracker if numbered else JobTracker)(max_failures, lambda k: min(cap_ms, base_ms * 2 ** k), ttl_ms)
     return outcomes.groupBy("job_id").transformWithStateInPandas(
         statefulProcessor=tracker, outputStructType=TRACKED, outputMode="Update", timeMode="ProcessingTime"
     )
