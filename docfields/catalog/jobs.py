@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +15,9 @@ from docfields.functions import retries
 from docfields.operators import delivery, reports, routing, validation
 from docfields.operators import jobs as J
 from docfields.plans.rounds import run_rounds
-from docfields.session import shared_folder
+from docfields.session import run_folder
 from docfields.sources import exports, images
+from docfields.sources.tables import KeyedTable
 
 QUERIES = Catalog()
 
@@ -340,7 +343,7 @@ QUERIES.add("run_evaluation", "A10 C8", lambda s, d: reports.evaluation(jobs(s,
 
 def reread(s, d) -> DataFrame:
     """The export written by bucket and the accepted bucket read back for delivery."""
-    path = f"{shared_folder(s)}/docfields/export-{d.rsplit('/', 1)[-1]}"
+    path = f"{run_folder(s)}/export-{uuid.uuid4().hex}"
     exports.write_buckets(jobs(s, d), path)
     return exports.load_valid(exports.read_bucket(s, path, "valid_invoices"))
 
@@ -349,7 +352,7 @@ QUERIES.add("reread_export", "S4 S7", reread, f"{SQL} SELECT {EXPORT} FROM jobs
 
 
 def from_csv(s, d) -> DataFrame:
-    path = f"{shared_folder(s)}/docfields/csv-{d.rsplit('/', 1)[-1]}"
+    path = f"{run_folder(s)}/csv-{uuid.uuid4().hex}"
     quoted = F.when(F.col("last_error").isNotNull(), F.concat(F.lit(' "say", '), "last_error", F.lit("\n ")))
     exports.write_csv(jobs(s, d).withColumn("last_error", quoted), path)
     return exports.read_csv(s, path)
@@ -360,7 +363,7 @@ QUERIES.add("csv_export", "S5", from_csv,
 
 
 def written_summary(s, d) -> DataFrame:
-    path = f"{shared_folder(s)}/docfields/summary-{d.rsplit('/', 1)[-1]}"
+    path = f"{run_folder(s)}/summary-{uuid.uuid4().hex}"
     exports.write_summary(jobs(s, d), F.col("has_ocr_snapshot"), path, fixtures.outcomes(s, d).groupBy("name").agg(F.sum("n").alias("n")))
     report = s.read.schema(REPORT).json(path)
     paired = lambda c, k: F.array_join(F.transform(c, lambda e: F.concat_ws("=", e[k], e["n" if c == "metrics" else "jobs"])), "; ").alias(c)
@@ -395,7 +398,7 @@ QUERIES.add("summary_file", "S10 C8 A6 A7 A8 A9", written_summary,
 
 def listed_images(s, d) -> DataFrame:
     """Pages written one to a file under image names, listed back; other files beside them are left out."""
-    path = f"{shared_folder(s)}/docfields/images-{d.rsplit('/', 1)[-1]}"
+    path = f"{run_folder(s)}/images-{uuid.uuid4().hex}"
     pages = fixtures.table(s, d, "pages").select("page_id", "url")
     for rest, (mode, suffix) in enumerate((("overwrite", "jpg"), ("append", "png"), ("append", "csv"))):
         part = pages.filter(F.col("page_id") % 3 == rest)
@@ -447,6 +450,36 @@ QUERIES.add("delivery_report", "A12 C9", lambda s, d: delivery.delivery_report(d
             count(*) = 0 AS skipped_no_valid FROM o""")
 
 
+def delivered_twice(s, d) -> DataFrame:
+    """Half of the rows delivered, then all of them by the same ledger: the first half's successes are not posted again."""
+    rows, ledger = form(s, d), f"{run_folder(s)}/deliveries-{uuid.uuid4().hex}"
+    delivery.deliver(rows.filter(key() % 2 == 0), post, sleep=lambda _: None, ledger=ledger)
+    return delivery.deliver(rows, post, sleep=lambda _: None, ledger=ledger)
+
+
+QUERIES.add("ledgered_deliveries", "S8 X3 C9", delivered_twice, f"""{SQL}, {DELIVERED}
+    SELECT job_id, ok, CASE WHEN ok THEN 'delivered' ELSE 'failed' END AS state, NOT (ok AND CAST(job_id AS bigint) % 2 = 0) AS posted,
+           CASE WHEN NOT ok AND CAST(job_id AS bigint) % 2 = 0 THEN 2 * attempts ELSE attempts END AS attempts FROM o""")
+
+
+def changed_in_place(s, d) -> DataFrame:
+    """The job table kept in buckets: corrections of some jobs, then new jobs, each a version that rewrites few buckets."""
+    table = KeyedTable(s, f"{run_folder(s)}/jobs-{uuid.uuid4().hex}")
+    table.create(jobs(s, d), "job_id", 16)
+    changes = jobs(s, d).filter(key() % 11 == 0).select("job_id", F.lit("SUCCESS").alias("status"), F.lit("HUMAN").alias("source"),
+                                                        F.lit(None).cast("string").alias("last_error"))
+    table.change(changes, lambda rows, new: J.upsert(rows, new, now=now()))
+    more = jobs(s, d).filter(key() % 13 == 0).withColumn("job_id", F.concat(F.lit("n"), "job_id"))
+    table.change(more, lambda rows, new: rows.unionByName(new))
+    return table.read().withColumn("updated_at", stamp(F.col("updated_at")))
+
+
+QUERIES.add("jobs_changed_in_place", "J7 J8 S6", changed_in_place, f"""{SQL}
+    SELECT * EXCLUDE (k) REPLACE (CASE WHEN k % 11 = 0 THEN 'SUCCESS' ELSE status END AS status, CASE WHEN k % 11 = 0 THEN 'HUMAN' ELSE source END AS source,
+        CASE WHEN k % 11 <> 0 THEN last_error END AS last_error, CASE WHEN k % 11 = 0 THEN '{NOW}' ELSE strftime(updated_at, '%Y-%m-%d %H:%M:%S') END AS updated_at) FROM jobs
+    UNION ALL SELECT * EXCLUDE (k) REPLACE ('n' || job_id AS job_id, strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at) FROM jobs WHERE k % 13 = 0""")
+
+
 def finished(s, d) -> DataFrame:
     """A whole bounded run with a model that answers every second job and only in later, stricter rounds."""
     from docfields.catalog.requests import stubborn

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from docfields.catalog import Catalog
 from docfields.catalog import sql as S
 from docfields.operators import requests as R
 from docfields.operators import routing
+from docfields.session import run_folder
 
 QUERIES = Catalog()
 
@@ -189,6 +191,22 @@ QUERIES.add(
 )
 
 
+def asked_twice(s, d) -> DataFrame:
+    """Half of the prompts asked, then all of them by the same ledger: how many answers it has, and how many by the second."""
+    prompts = requests(s, d).select("job_id", R.prompt(F.col("file"), F.col("strategy")).alias("prompt"))
+    ledger = f"{run_folder(s)}/answers-{uuid.uuid4().hex}"
+    R.call_model(prompts.filter(F.col("job_id").cast("long") % 2 == 0), echo, "job_id", ledger=ledger)
+    first = R.read_log(s, ledger, R.ANSWERED).count()
+    answers = R.call_model(prompts, echo, "job_id", ledger=ledger)
+    logged = R.read_log(s, ledger, R.ANSWERED).agg(F.count(F.lit(1)).alias("calls"), F.countDistinct("hash").alias("prompts"))
+    return answers.agg(F.count(F.lit(1)).alias("answers"), F.count_if(F.col("response") == "not today").alias("refused")).join(
+        logged.select("*", (F.col("calls") - first).alias("calls_of_second_run")))
+
+
+QUERIES.add("ledgered_calls", "X1 C5", asked_twice, """SELECT count(*) AS answers, count(*) FILTER (o_orderkey % 10 = 0) AS refused, count(*) AS calls,
+    count(*) AS prompts, count(*) FILTER (o_orderkey % 2 = 1) AS calls_of_second_run FROM orders""")
+
+
 def stubborn(prompt: str) -> str:
     """A model stand-in that fails until asked more strictly, and never answers an odd-numbered job."""
     if "### Invoice" not in prompt or not any(note and note in prompt for note in R.BATCH_NOTES.values()):

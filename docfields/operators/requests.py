@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import time
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -18,6 +19,7 @@ from docfields.functions.retries import strategy_name, strategy_rank
 from docfields.functions.text import QUOTA_MARKS, QUOTA_PAIR, RETRY_DEFAULT, RETRY_HINTS, RETRY_MARGIN, clip, json_span, money, strip
 from docfields.operators.scans import HOT_ROWS, OrderedRows, chunked, scan_by_key
 from docfields.session import materialise
+from docfields.sources.ledgers import TaskLog, read_log
 
 BATCH_SIZE = 3
 # How much of a raw response a job keeps.
@@ -200,12 +202,18 @@ def seconds_hinted(error: str) -> float:
 def call_model(
     prompts: DataFrame, call: Callable[[str], str], key: str = "batch", tries: int = 12,
     sleep: Callable[[float], None] = time.sleep, parallel: int | None = None, rpm: float | None = None,
+    ledger: str | None = None,
 ) -> DataFrame:
     """One call per row, spread over ``parallel`` tasks; the answers are written once, so using them twice does
     not call twice. A call that fails for good answers with the empty text, and a quota error waits as told first.
 
     ``rpm`` is the service's limit of calls a minute, retries too. Tasks cannot see each other, so each of ``parallel``
     (1 if not given) keeps to its share of it.
+
+    ``ledger`` is a folder in which every answer is logged as it comes (see :mod:`docfields.sources.ledgers`), under the
+    SHA-256 of its prompt. Prompts that it knows are not asked again, neither by a task that is re-run nor by a later run;
+    equal prompts are asked once. Only a call that was under way when its task was lost is made again, and one that
+    failed for good is not logged. Speculative execution must be off.
     """
     if rpm is not None:
         parallel = parallel or 1
@@ -227,6 +235,8 @@ def call_model(
         return ""
 
     allowed = [0.0]
+    if ledger is not None:
+        return _call_by_ledger(prompts, ask, key, parallel, ledger)
 
     def run(batches):
         for rows in batches:
@@ -238,6 +248,36 @@ def call_model(
     return materialise(spread.mapInPandas(run, schema), "answers")
 
 
+ANSWERED = "hash string, response string"
+
+
+def _call_by_ledger(prompts: DataFrame, ask: Callable[[str], str], key: str, parallel: int | None, ledger: str) -> DataFrame:
+    hashed = prompts.select(key, "prompt", F.sha2("prompt", 256).alias("hash"))
+    spark, attempt = prompts.sparkSession, uuid.uuid4().hex
+    known = read_log(spark, ledger, ANSWERED).dropDuplicates(["hash"])
+    new = hashed.groupBy("hash").agg(F.min("prompt").alias("prompt")).join(known.select("hash"), "hash", "left_anti")
+
+    def run(batches):
+        log = TaskLog(ledger, attempt)
+        told = {e["hash"]: e["response"] for e in log.earlier()}
+        for rows in batches:
+            out = []
+            for h, text in zip(rows["hash"], rows["prompt"], strict=True):
+                response = told.get(h)
+                if response is None:
+                    response = ask(text)
+                    if response:
+                        log.write({"hash": h, "response": response})
+                out.append(response)
+            yield pd.DataFrame({"hash": rows["hash"], "response": out})
+        log.close()
+
+    spread = new.repartition(parallel, "hash") if parallel else new.repartition("hash")
+    made = materialise(spread.mapInPandas(run, ANSWERED), "new-answers")
+    told = known.unionByName(made)
+    return materialise(hashed.join(told, "hash").select(key, "response"), "answers")
+
+
 def counted(name: str, rows: DataFrame) -> DataFrame:
     return rows.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"))
 
@@ -250,15 +290,17 @@ def ask_model(*args, **options) -> DataFrame:
 def ask_and_count(
     requests: DataFrame, call: Callable[[str], str], size: int = BATCH_SIZE, order: tuple[str, ...] = ("job_id",),
     sleep: Callable[[float], None] = time.sleep, parallel: int | None = None, rpm: float | None = None,
+    ledger: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Batch calls, then single calls for what they left open; and how many calls that took (name, n).
 
     One row per request: vendor, total, date, ``parsed``, the merged strategy it was tried with, the raw response as the
-    job keeps it (clipped), and ``calls``, ``batch`` or ``single``.
+    job keeps it (clipped), and ``calls``, ``batch`` or ``single``. ``ledger``: see :func:`call_model`; an answer from there
+    counts like a call.
     """
     batched = materialise(assign_batches(requests, size, order), "batches")
     prompts = batch_prompt(batched)
-    answers = call_model(prompts, call, "batch", sleep=sleep, parallel=parallel, rpm=rpm)
+    answers = call_model(prompts, call, "batch", sleep=sleep, parallel=parallel, rpm=rpm, ledger=ledger)
     parsed = parse_batch(answers)
     merged = merge_strategy(batched).withColumnRenamed("strategy", "merged")
     answered = (
@@ -268,7 +310,7 @@ def ask_and_count(
     )
     missing = materialise(missing_jobs(batched, parsed).select("job_id", "text", "strategy"), "missing")
     singles = missing.select("job_id", prompt(F.col("text"), F.col("strategy")).alias("prompt"))
-    single_answers = call_model(singles, call, "job_id", sleep=sleep, parallel=parallel, rpm=rpm)
+    single_answers = call_model(singles, call, "job_id", sleep=sleep, parallel=parallel, rpm=rpm, ledger=ledger)
     recovered = apply_single(missing, single_answers).withColumn("calls", F.lit("single")).withColumn(
         "response", clip(F.col("response"), SINGLE_RAW_LIMIT))
     calls = counted("llm_batch_calls", answers).union(counted("llm_single_calls", single_answers))

@@ -18,6 +18,7 @@ from docfields.operators.scans import HOT_ROWS
 from docfields.operators.validation import validate
 from docfields.operators.words import document_text
 from docfields.session import materialise
+from docfields.sources.ledgers import exists
 
 OUTCOME = ("job_id", "stage", "ok", "error", "strategy", "vendor", "invoice_date", "total_amount", "confidence", "source", "raw")
 
@@ -82,29 +83,49 @@ def review_of(jobs: DataFrame, attempts: DataFrame, now: Column) -> DataFrame:
 def run_rounds(
     words: DataFrame, call: Callable[[str], str], today: Column, max_failures: int = 2, now: Column | None = None,
     phrases=NEGATIVE_PHRASES, hot_rows: int | None = HOT_ROWS, sleep: Callable[[float], None] = time.sleep,
-    rpm: float | None = None,
+    rpm: float | None = None, state: str | None = None,
 ) -> Run:
     """Extract, route, ask the model where needed, validate, and retry what failed.
 
     At most ``max_failures`` rounds follow the first, because each open job fails once in every one of them. Words are
     read for the rules and once more for the texts of routed documents. Every round is written out, so its plan starts
     from a table and the model is never asked twice for the same round; only open jobs go on to the next.
+
+    ``state`` is a folder of this run alone. A run that was stopped goes on from there: tables that are complete (their
+    writer leaves a mark) are read, a round whose last table is complete is not run again, and the model's answers of the
+    round that was under way come from a ledger. Both runs need the same words, ``today`` and ``now``.
     """
     spark = words.sparkSession
     now = F.current_timestamp() if now is None else now
-    rules = materialise(route(extract_fields(words, phrases, hot_rows)), "rules")
+    ledger = None if state is None else f"{state}/answers"
+
+    def complete(name: str) -> bool:
+        return state is not None and exists(spark, f"{state}/{name}/_SUCCESS")
+
+    def keep(make: Callable[[], DataFrame], name: str) -> DataFrame:
+        if state is None:
+            return materialise(make(), name)
+        if not complete(name):
+            make().write.mode("overwrite").parquet(f"{state}/{name}")
+        return spark.read.parquet(f"{state}/{name}")
+
+    rules = keep(lambda: route(extract_fields(words, phrases, hot_rows)), "rules")
     trusted, weak = rules.filter("route = 'VALIDATE'"), rules.filter("route = 'LLM'")
-    texts = materialise(document_text(words.join(weak.select("doc_id"), "doc_id", "left_semi")).select(
+    texts = keep(lambda: document_text(words.join(weak.select("doc_id"), "doc_id", "left_semi")).select(
         F.col("doc_id").cast("string").alias("job_id"), "text"), "texts")
     untried = spark.createDataFrame([], "job_id string, strategy string, raw string")
     outcomes = validation_outcomes(rule_payload(trusted), untried, today)
     todo = weak.select(F.col("doc_id").cast("string").alias("job_id"), F.lit("default").alias("strategy"))
     jobs, finished, failures, calls = starting_jobs(rules, max_failures, now), [], [], []
     for n in range(max_failures + 1):
-        asked = todo.join(texts, "job_id", "left").withColumns({"text": F.coalesce("text", F.lit("")), "file": F.col("job_id")})
-        answers, took = ask_and_count(asked, call, sleep=sleep, rpm=rpm)
-        outcomes = materialise(outcomes.unionByName(model_outcomes(answers, today)).select(*OUTCOME), "outcomes")
-        jobs = materialise(advance_jobs(jobs, outcomes, now), "jobs")
+        before, known, took = jobs, outcomes, None
+        if not complete(f"round-{n}-calls"):
+            asked = todo.join(texts, "job_id", "left").withColumns({"text": F.coalesce("text", F.lit("")), "file": F.col("job_id")})
+            answers, took = ask_and_count(asked, call, sleep=sleep, rpm=rpm, ledger=ledger)
+            known = known.unionByName(model_outcomes(answers, today))
+        outcomes = keep(lambda: known.select(*OUTCOME), f"round-{n}-outcomes")  # noqa: B023
+        jobs = keep(lambda: advance_jobs(before, outcomes, now), f"round-{n}-jobs")  # noqa: B023
+        took = keep(lambda: took, f"round-{n}-calls")  # noqa: B023
         finished.append(jobs.filter("status <> 'RETRY_SCHEDULED'"))
         failures.append(outcomes.filter(~F.col("ok")).select("job_id", "stage", "error", "strategy", now.alias("ts"), F.lit(n).alias("n")))
         jobs = jobs.filter("status = 'RETRY_SCHEDULED'")
@@ -115,7 +136,7 @@ def run_rounds(
         outcomes = outcomes.limit(0)
     done = reduce(DataFrame.unionByName, [*finished, jobs])
     attempts = reduce(DataFrame.unionByName, failures)
-    reviews = materialise(review_of(done, attempts, now), "reviews")
+    reviews = keep(lambda: review_of(done, attempts, now), "reviews")
     status = {"success_total": "SUCCESS", "dlq_entries": "NEEDS_REVIEW"}
     counts = reduce(DataFrame.union, [
         *calls, counted("llm_fallback_routed", weak), *[counted(k, done.filter(F.col("status") == v)) for k, v in status.items()]])
