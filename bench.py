@@ -63,8 +63,8 @@ def main() -> None:
     timed("attempt_rollup", lambda: drain(jobs.attempt_rollup(fixtures.attempts(spark, folder))))
     timed("circuit_states", lambda: drain(health.circuit(calls(spark, folder), "key")))
     timed("export_and_evaluation", lambda: (
-        exports.write_buckets(table, f"{scratch}/export"), exports.write_csv(table, f"{scratch}/csv"),
-        exports.write_summary(table, F.col("has_ocr_snapshot"), f"{scratch}/summary"), drain(reports.failure_modes(table))))
+        exports.write_export(table, F.col("has_ocr_snapshot"), spark.createDataFrame([], "name string, n long"), f"{scratch}/export", F.current_timestamp()),
+        drain(reports.failure_modes(table))))
 
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(v for k, v in took.items() if k != "build_words"), 3),

@@ -396,6 +396,22 @@ QUERIES.add("summary_file", "S10 C8 A6 A7 A8 A9", written_summary,
             (SELECT string_agg(error || '=' || n, '; ' ORDER BY n DESC, error) FROM e) AS failure_modes FROM b""")
 
 
+def whole_export(s, d) -> DataFrame:
+    """The export as it is handed over: each row from its bucket, with the line of the CSV file and the report beside it."""
+    path = f"{run_folder(s)}/handed-over-{uuid.uuid4().hex}"
+    metrics = fixtures.outcomes(s, d).groupBy("name").agg(F.sum("n").alias("n"))
+    exports.write_export(jobs(s, d), F.col("has_ocr_snapshot"), metrics, path, now())
+    rows = s.read.schema(f"{exports.EXPORT_ROW}, bucket string").json(f"{path}/buckets")
+    listed = exports.read_csv(s, f"{path}/csv").select("job_id", F.col("total").alias("csv_total"))
+    report = s.read.schema(f"{REPORT}, exported_at timestamp").json(f"{path}/report").first()
+    return rows.join(listed, "job_id").select("job_id", "bucket", "total", "csv_total", F.lit(report.summary.total_jobs_in_export).alias("jobs"),
+                                              F.lit(report.outcomes.success).alias("success"), stamp(F.lit(report.exported_at)).alias("exported_at"))
+
+
+QUERIES.add("whole_export", "C8 S4 S5 S10", whole_export, f"""{SQL} SELECT job_id, {BUCKET} AS bucket, total_amount AS total, total_amount AS csv_total,
+    count(*) OVER () AS jobs, count(*) FILTER (status = 'SUCCESS') OVER () AS success, '{NOW}' AS exported_at FROM jobs""")
+
+
 def listed_images(s, d) -> DataFrame:
     """Pages written one to a file under image names, listed back; other files beside them are left out."""
     path = f"{run_folder(s)}/images-{uuid.uuid4().hex}"

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docfields.functions.text import strip
 from docfields.operators.jobs import upsert_review
-from docfields.operators.reports import export_buckets, export_row, run_report
+from docfields.operators.reports import bucket, export_buckets, export_row, report_of, run_profile, run_report
 from docfields.session import materialise
 
 EXPORT_ROW = (
@@ -72,8 +72,17 @@ def write_summary(jobs: DataFrame, has_snapshot, path: str, metrics: DataFrame |
     run_report(jobs, has_snapshot, told).coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_export(jobs: DataFrame, has_snapshot, metrics: DataFrame, path: str) -> None:
-    """The whole export: rows by bucket, the same as CSV, and the report."""
-    write_buckets(jobs, f"{path}/buckets")
-    write_csv(jobs, f"{path}/csv")
-    write_summary(jobs, has_snapshot, f"{path}/report", metrics)
+def write_export(jobs: DataFrame, has_snapshot: Column, metrics: DataFrame, path: str, exported_at: Column) -> None:
+    """The whole export: rows by bucket, the same as CSV, and the report of this moment (``exported_at``).
+
+    Jobs are read once: the exported columns are written as a table from which the files are made, and the report is made
+    of counts of that table. Without jobs there are no CSV files. The report comes last, so where there is one the
+    export is whole.
+    """
+    rows = materialise(export_row(jobs, bucket(F.col("status")).alias("bucket"), has_snapshot.alias("_snapshot")), "export-rows")
+    profile = materialise(run_profile(rows, F.col("_snapshot")), "profile")
+    rows.drop("_snapshot").write.mode("overwrite").partitionBy("bucket").json(f"{path}/buckets")
+    if not profile.isEmpty():
+        rows.drop("_snapshot", "bucket").write.mode("overwrite").options(**CSV).csv(f"{path}/csv")
+    report = report_of(profile, metrics).withColumn("exported_at", exported_at.cast("timestamp"))
+    report.coalesce(1).write.mode("overwrite").json(f"{path}/report")

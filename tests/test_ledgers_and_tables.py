@@ -192,3 +192,27 @@ def test_numbers_as_texts(spark):
     numbers = [0.0, -0.0, 5e-324, 4.94e-322, 2.2250738585072014e-308, -1e-310, 0.1, 1e16, 123456789.125, 1e-4, 9.9e-5, 1 / 3, None]
     found = spark.createDataFrame([(i, x) for i, x in enumerate(numbers)], "i int, x double").select("i", num_text(F.col("x")).alias("t"))
     assert {r.i: r.t for r in found.collect()} == {i: None if x is None else repr(x) for i, x in enumerate(numbers)}
+
+
+def test_an_export_reads_its_jobs_once(spark, small, folder):
+    from docfields import fixtures
+    from docfields.catalog.jobs import now
+    from docfields.session import materialise
+    from docfields.sources import exports
+
+    table = materialise(fixtures.jobs(spark, small), "jobs")
+    metrics = spark.createDataFrame([("retry_scheduled", 3)], "name string, n long")
+    counter = spark.sparkContext.accumulator(0)
+
+    def seen(value):
+        counter.add(1)
+        return value
+
+    flag = F.udf(seen, "boolean").asNondeterministic()
+    exports.write_export(table, flag("has_ocr_snapshot"), metrics, folder, now())
+    assert counter.value == table.count()
+    report = spark.read.json(f"{folder}/report").first()
+    assert report.summary.total_jobs_in_export == table.count() and report.exported_at.startswith("2024-06-01")
+    assert {m.name: m.n for m in report.metrics}["retry_scheduled"] == 3
+    exports.write_export(table.limit(0), F.col("has_ocr_snapshot"), metrics, f"{folder}-none", now())
+    assert spark.read.json(f"{folder}-none/report").first().outcomes.receipt_count == 0
