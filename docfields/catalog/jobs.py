@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import uuid
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,7 @@ from docfields.operators import delivery, reports, routing, validation
 from docfields.operators import jobs as J
 from docfields.plans.rounds import run_rounds
 from docfields.session import run_folder
-from docfields.sources import exports, images
+from docfields.sources import exports, images, queues
 from docfields.sources.tables import KeyedTable
 
 QUERIES = Catalog()
@@ -277,6 +278,18 @@ QUERIES.add("due_retries", "O2",
             (SELECT * FROM retries WHERE due_at <= TIMESTAMP '2024-01-15' ORDER BY due_at, job_id LIMIT 50)""")
 
 
+def oldest_retries(s, d) -> DataFrame:
+    """The same from a queue that lies in the order of time."""
+    path = f"{run_folder(s)}/due-{uuid.uuid4().hex}"
+    queues.write_queue(J.dedupe_retries(retry_queue(s, d)), path)
+    return queues.oldest_due(s, path, datetime.datetime(2024, 1, 15)).withColumn("due_at", F.date_format("due_at", MICROS))
+
+
+QUERIES.add("oldest_due_retries", "O1 O2", oldest_retries,
+            f"""WITH {ENVELOPES} SELECT * REPLACE (strftime(due_at, '%Y-%m-%d %H:%M:%S.%f') AS due_at) FROM
+            (SELECT * FROM retries WHERE due_at <= TIMESTAMP '2024-01-15' ORDER BY due_at, job_id LIMIT 50)""")
+
+
 def advanced(s, d) -> DataFrame:
     """One round of outcomes over all jobs: a seventh passes, the rest fail in one of the stages."""
     k = key()

@@ -10,7 +10,7 @@ from docfields.functions.scores import (
     has_label_stem, is_skipped, label_only, parse_amount, score_label, total_conf, total_score,
 )
 from docfields.functions.text import strip_word
-from docfields.operators.scans import HOT_ROWS, chunked, oversized, split
+from docfields.operators.scans import HOT_ROWS, chunked, oversized, scan_by_key, split
 from docfields.operators.words import ROW_GAP, _mark_rows, group_rows, joined, min_conf, nonblank
 
 IN_ROW = ["x", "cy", "word_id"]
@@ -26,6 +26,22 @@ def row_texts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id", "row_ix").agg(joined(IN_ROW, " ", strip_word(F.col("text"))).alias("row_text"))
 
 
+def row_text_pages(rows: DataFrame, page_words: int = 4096, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """A2 for rows of any length: the text of every row in pages of at most ``page_words`` words.
+
+    ``page`` numbers them from 0 and ``offset`` is where the page begins in the row's text, counted in characters. The
+    pages are those of :func:`row_texts` cut apart, so page, a separator and the next page follow each other. No task holds
+    more of a row than a page.
+    """
+    keys = ["doc_id", "row_ix"]
+    words = rows.select(*keys, *IN_ROW, strip_word(F.col("text")).alias("_word"))
+    numbered = scan_by_key(words, keys, IN_ROW, lambda r: r.number("_n").df.drop("chunk"), hot_rows)
+    page = F.floor((F.col("_n") - 1) / page_words).alias("page")
+    pages = numbered.groupBy(*keys, page).agg(joined(["_n"], " ", F.col("_word")).alias("text"))
+    before = Window.partitionBy(*keys).orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    return pages.withColumn("offset", F.coalesce(F.sum(F.char_length("text") + 1).over(before), F.lit(0)).cast("long"))
+
+
 def with_amounts(words: DataFrame) -> DataFrame:
     return words.withColumn("amount", parse_amount(F.col("text")))
 

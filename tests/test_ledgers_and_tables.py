@@ -216,3 +216,43 @@ def test_an_export_reads_its_jobs_once(spark, small, folder):
     assert {m.name: m.n for m in report.metrics}["retry_scheduled"] == 3
     exports.write_export(table.limit(0), F.col("has_ocr_snapshot"), metrics, f"{folder}-none", now())
     assert spark.read.json(f"{folder}-none/report").first().outcomes.receipt_count == 0
+
+
+def test_oldest_due_opens_few_folders(spark, folder):
+    import datetime
+
+    from docfields.sources import queues
+
+    rows = spark.range(5_000).select(F.concat(F.lit("j"), F.col("id") % 700).alias("job_id"),
+                                     F.when(F.col("id") % 50 != 0, F.timestamp_seconds(1_704_067_200 + F.col("id") * 97)).alias("due_at"))
+    queues.write_queue(rows, folder)
+    for now, limit in ((datetime.datetime(2024, 1, 3), 50), (datetime.datetime(2024, 1, 1, 0, 10), 50), (datetime.datetime(2023, 1, 1), 5),
+                       (datetime.datetime(2025, 1, 1), 5_000), (datetime.datetime(2024, 1, 2), 1)):
+        found = queues.oldest_due(spark, folder, now, limit)
+        expected = jobs.due_retries(rows, F.lit(now), limit)
+        assert list(map(tuple, found.collect())) == list(map(tuple, expected.collect()))
+    # 50 entries of some 37 an hour: two hours of 135.
+    assert queues.hours_of(spark, folder, datetime.datetime(2024, 1, 5), 50) == ["2024010100", "2024010101"]
+    assert {f.split("_hour=")[1][:10] for f in queues.oldest_due(spark, folder, datetime.datetime(2024, 1, 5)).inputFiles()} == {"2024010100", "2024010101"}
+
+
+def test_pages_of_a_long_row(spark):
+    from docfields.operators import totals
+
+    n = 30_000
+    words = spark.range(n).select(F.lit(1).alias("doc_id"), F.lit(0).cast("long").alias("row_ix"), (F.col("id") * 7 % n).alias("x"), F.lit(5).alias("cy"),
+                                  F.col("id").alias("word_id"), F.concat(F.lit("w"), F.col("id") * 7 % n).alias("text"))
+    whole = totals.row_texts(words).first().row_text
+    for hot_rows in (1_000_000, 100):
+        pages = totals.row_text_pages(words, 1_000, hot_rows).orderBy("page").collect()
+        assert len(pages) == 30 and " ".join(p.text for p in pages) == whole
+        assert all(whole[p.offset : p.offset + len(p.text)] == p.text for p in pages)
+
+
+def test_places_of_listed_images(spark, tmp_path):
+    from docfields.sources import images
+
+    names = [f"{'Ab'[i % 2]}{i * 7919 % 1_000}.jpg" for i in range(60)]
+    for name in names:
+        (tmp_path / name).write_bytes(b"x")
+    assert [r.name for r in images.image_names(images.image_files(spark, str(tmp_path))).collect()] == sorted(names)
