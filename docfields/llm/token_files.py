@@ -229,9 +229,18 @@ def read(shards: DataFrame, derive: Derived | None = None) -> DataFrame:
 
 
 def fetch(keys: DataFrame, shards: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The documents of ``keys``, as ``key, ids``: each key goes to the shards whose range holds it and is looked up there."""
+    """The documents of ``keys``, as ``key, ids``: each key goes to the shards whose range holds it and is looked up there.
+
+    Keys meet shards by the cells of a grid with about as many cells as shards, so no key is compared with all shards.
+    """
     wanted = keys.select(F.col(key).cast("long").alias("_key")).where(F.col("_key").isNotNull())
-    placed = wanted.join(shards.select("ids", "index", "first_key", "last_key"), F.col("_key").between(F.col("first_key"), F.col("last_key")))
+    ranged = shards.select("ids", "index", "first_key", "last_key").where("first_key IS NOT NULL AND last_key IS NOT NULL")
+    low, high, n = ranged.agg(F.min("first_key"), F.max("last_key"), F.count(F.lit(1))).first()
+    low, width = low or 0, ((high or 0) - (low or 0)) // max(n, 1) + 1
+    cell = lambda c: F.floor((F.col(c).cast("double") - F.lit(float(low))) / F.lit(float(width)))
+    celled = ranged.withColumn("_cell", F.explode(F.sequence(cell("first_key"), cell("last_key"))))
+    inside = wanted.where(F.col("_key").between(F.lit(low), F.lit(high))).withColumn("_cell", cell("_key"))
+    placed = inside.join(celled, "_cell").where(F.col("_key").between(F.col("first_key"), F.col("last_key"))).select("_key", "ids", "index")
     n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):

@@ -26,6 +26,8 @@ MAGIC = b"\x1f\x8b\x08"
 #: Bytes of a reading task's range, and after how many bytes a writing task begins another file.
 SPLIT_BYTES, FILE_BYTES = 32 << 20, 256 << 20
 READ = 1 << 18
+#: Bytes that a decoder is fed at once.
+CHUNK = 1 << 14
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -101,14 +103,22 @@ def _rows(batch: pa.RecordBatch, some: int = 256) -> Iterator[dict]:
 
 
 class Range:
-    """Records that start in bytes ``start`` to ``end`` of a file, read in pieces."""
+    """Records that start in bytes ``start`` to ``end`` of a file, read through a buffer that moves on: each byte once, but
+    for those behind a chance match."""
 
     def __init__(self, file, size: int, start: int, end: int):
         self.file, self.size, self.start, self.end = file, size, start, min(end, size)
+        self.held, self.low = b"", start
 
     def _at(self, place: int, n: int) -> bytes:
-        self.file.seek(place)
-        return self.file.read(n)
+        """``n`` bytes from ``place`` on, fewer at the end of the file."""
+        end = self.low + len(self.held)
+        if not self.low <= place <= end:
+            self.held, self.low, end = b"", place, place
+        if place + n > end:
+            self.file.seek(end)
+            self.held, self.low = self.held[place - self.low :] + self.file.read(max(READ, place + n - end)), place
+        return self.held[place - self.low : place - self.low + n]
 
     def records(self) -> Iterator[tuple[int, bytes]]:
         """Place and content of each record."""
@@ -141,7 +151,7 @@ class Range:
         """A record's content and the member's size; None if no record starts here."""
         decoder, parts, place, checked = zlib.decompressobj(31), [], at, False
         while not decoder.eof:
-            data = self._at(place, READ)
+            data = self._at(place, CHUNK)
             if not data:
                 if checked:
                     raise ValueError(f"the record at {at} is cut off")

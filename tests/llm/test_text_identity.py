@@ -179,3 +179,48 @@ def test_model_of_many_files(spark, monkeypatch):
     for r in kneser_ney.score(docs, model, keep=["doc_id"]).collect():
         text = f"some words w{r.doc_id} w{r.doc_id + 1} w{r.doc_id * 7 % 40}"
         assert math.isclose(r.score, plain.score(text)[3], rel_tol=1e-9)
+
+
+def test_a_range_is_read_about_once():
+    import io
+
+    from docfields.llm import warc
+
+    rng = random.Random(3)
+    members, places, at = [], [], 0
+    for i in range(2_000):
+        body = rng.randbytes(rng.randrange(3_000))
+        members.append(warc.record("response", f"<urn:x-row:{i}:0:0>", "http://x", warc.sha1_base32(body), body, ""))
+        places.append(at)
+        at += len(members[-1])
+    data, read = b"".join(members), [0]
+
+    class Counted(io.BytesIO):
+        def read(self, n=-1):
+            found = super().read(n)
+            read[0] += len(found)
+            return found
+
+    found = [place for place, _ in warc.Range(Counted(data), len(data), 0, len(data)).records()]
+    assert found == places and read[0] < 1.1 * len(data)
+    split, found = 100_000, []
+    for low in range(0, len(data), split):
+        found += [place for place, _ in warc.Range(Counted(data), len(data), low, low + split).records()]
+    assert found == places
+
+
+def test_keys_meet_their_shards_only(spark):
+    docs = materialise(spark.createDataFrame([(i * i if i < 300 else -i, f"text {i}") for i in range(400)], "doc_id long, text string"), "keyed")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        shards = token_files.write(docs, P.path(BPE_50K))
+        wanted = spark.createDataFrame([(i,) for i in (*range(-420, 1_000), 299 * 299, 2**62, -(2**62))], "doc_id long")
+        got = token_files.fetch(wanted, shards)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    encode = brute.tokenizer()
+    inside = {r.doc_id: r.text for r in docs.collect() if -420 <= r.doc_id < 1_000 or r.doc_id == 299 * 299}
+    assert {r.doc_id: r.ids for r in got.collect()} == {k: [*encode(t), 0] for k, t in inside.items()}
