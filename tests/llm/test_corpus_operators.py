@@ -2,12 +2,14 @@
 
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import brute
 import numpy as np
 import public_tokenizers as P
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from docfields.llm import (
@@ -218,6 +220,29 @@ def test_exact_copies_of_odd_rows(odd, empty):
     assert tree_merge.exact_groups(empty).count() == 0
 
 
+def test_runs_merge_without_a_shuffle_or_a_sort(spark):
+    rows = spark.range(3000).select((F.col("id") % 700).cast("string").alias("a"), (F.col("id") % 2).alias("b"), F.col("id").alias("row")).repartition(8)
+    leaves = rows.withColumn("run", F.pmod(F.spark_partition_id(), F.lit(4))).groupBy("a", "b", "run").agg(F.max("row").alias("keep"), F.count(F.lit(1)).alias("group_size"))
+    name = tree_merge.write_runs(leaves.repartition(5, "a", "b"), ["a", "b"], 5)
+    with tree_merge.ordered_scans(spark):
+        plan = tree_merge.merge_round(spark.table(name), ["a", "b"], 4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan and not re.search(r"\bSort\b", plan), plan
+    spark.sql(f"DROP TABLE {name}")
+    expected = rows.groupBy("a", "b").agg(F.max("row").alias("keep"), F.count(F.lit(1)).alias("group_size"))
+    for runs in (2, 8):
+        assert sorted(tree_merge.merge_runs(rows, ["a", "b"], runs).collect()) == sorted(expected.collect())
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("docfields_runs")]
+
+
+def test_large_groups_of_copies_are_joined_by_broadcast(spark):
+    docs = spark.range(30_001).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "Same").when(F.col("id") % 1000 == 1, "few").otherwise(F.col("id").cast("string")).alias("text"))
+    found = tree_merge.exact_groups(docs)
+    sizes = {(r.group_size, r.n, r.kept) for r in found.groupBy("group_size").agg(F.count(F.lit(1)).alias("n"), F.count_if("kept").alias("kept")).collect()}
+    few = docs.where("text = 'few'").count()
+    assert sizes == {(10_001, 10_001, 1), (few, few, 1), (1, 20_000 - few, 20_000 - few)}
+    assert {r.keep_id for r in found.where("group_size = 10001").collect()} == {30_000}
+
+
 def test_archives_of_odd_rows(spark):
     rows = [(1, "http://a/b c", "<p>x</p>"), (2, None, "<p>x</p>"), (2, None, "<p>x</p>"), (None, "u", None), (3, "ü\r\nX: y", ""), (4, "z", "\x1f\x8b\x08 é" * 99)]
     pages = spark.createDataFrame([(*r, "c", "f") for r in rows], "page_id long, url string, html string, payload string, first string")
