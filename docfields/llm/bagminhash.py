@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from docfields.llm.arrays import GOLDEN, U64, Texts, mix, new_seed, parts, windows
 from docfields.llm.components import components
+from docfields.llm.large_groups import join_groups
 from docfields.llm.tree_merge import PLACE, placed
 from docfields.session import materialise
 
@@ -235,16 +236,20 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         partial(_sign, seed=new_seed()), f"_key {docs.schema[key].dataType.simpleString()}, {PLACE[0]} long, {PLACE[1]} long, digest binary, n long, bands array<long>, short binary"), "signatures")
     # Equal texts are one class from the start, stood for by its first row.
     here = F.struct(F.col("_key").isNull().alias("no_key"), F.col("_key").alias("key"), F.col(PLACE[0]).alias("file"), F.col(PLACE[1]).alias("at"))
-    first = signed.groupBy("digest").agg(F.min(here).alias("first"))
+    first = signed.groupBy("digest").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("copies"))
     first = materialise(first.withColumn("id", F.monotonically_increasing_id()), "texts")
     of_first = [F.col("first.file").alias(PLACE[0]), F.col("first.at").alias(PLACE[1])]
     classes = materialise(signed.where("n > 0").select(*PLACE, "n", "bands", "short").join(first.select("id", *of_first), list(PLACE)).drop(*PLACE), "classes")
     texts = rows.select("_text", *PLACE).join(first.select("id", *of_first), list(PLACE)).select("id", "_text")
     label = components(_links(classes, texts))
-    labelled = first.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    full = signed.select("_key", "digest", *PLACE).join(labelled.select("digest", "label"), "digest")
-    best = full.groupBy("label").agg(F.min(here).alias("best"), F.count(F.lit(1)).alias("group_size"))
-    return full.join(best, "label").select(
+    # What a class keeps is found among its texts; a text is told of it, then the text's rows.
+    labelled = materialise(first.join(label, "id", "left").select("digest", "first", "copies", F.coalesce("label", "id").alias("label")), "labelled")
+    n_texts, n_rows = labelled.agg(F.count(F.lit(1)), F.coalesce(F.sum("copies"), F.lit(0))).first()
+    best = labelled.groupBy("label").agg(F.min("first").alias("best"), F.sum("copies").alias("group_size"), F.count(F.lit(1)).alias("_texts")).where("_texts > 1")
+    told = join_groups(labelled, best, ["label"], "_texts", n_texts).select(
+        "digest", "copies", F.coalesce("best", "first").alias("best"), F.coalesce("group_size", "copies").alias("group_size"))
+    full = join_groups(signed.select("_key", "digest", *PLACE), materialise(told, "told"), ["digest"], "copies", n_rows)
+    return full.select(
         F.col("_key").alias(key), F.col("best.key").alias("class_id"), "group_size", here.eqNullSafe(F.col("best")).alias("kept"), *PLACE)
 
 

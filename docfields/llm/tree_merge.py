@@ -18,14 +18,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from docfields.llm.large_groups import join_groups
 from docfields.session import materialise, run_folder
 
 #: Runs that the tree begins with; half as many are left after each round.
 RUNS = 8
 #: Entries of a bucket, about; a bucket of two runs is merged as two streams, so this bounds sorting, not correctness.
 BUCKET = 1_000_000
-#: A group with over one in ``HOT`` of all rows is joined by a broadcast, of which there are fewer than ``HOT``.
-HOT = 10_000
 ORDERED_SCAN = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 
 
@@ -122,14 +121,9 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     rows = rows.select("_key", F.unhex(F.sha2(norm.cast("binary"), 256)).alias("_sha256"), F.octet_length(norm).alias("_size"), *PLACE)
     rows = materialise(rows, "digests")
     same, here = ["_sha256", "_size"], F.struct("_key", *PLACE)
-    # Texts without a copy need no partner. Groups too large for one task meet their rows where these are.
-    groups = merge_runs(rows.withColumn("row", here), same).where("group_size > 1")
-    least = F.lit(rows.count() / HOT)
-    hot = groups.where(F.col("group_size") > least).withColumnsRenamed({"keep": "_hot", "group_size": "_hot_size"})
-    marked = rows.join(F.broadcast(hot), same, "left")
-    large = marked.where("_hot IS NOT NULL").withColumnsRenamed({"_hot": "keep", "_hot_size": "group_size"})
-    other = marked.where("_hot IS NULL").drop("_hot", "_hot_size").join(groups.where(F.col("group_size") <= least), same, "left")
-    found = large.unionByName(other).withColumn("keep", F.coalesce("keep", here))
+    # Texts without a copy need no partner.
+    groups = merge_runs(rows.withColumn("row", here), same).where("group_size > 1").withColumn("_rows", F.col("group_size"))
+    found = join_groups(rows, groups, same, "_rows", rows.count()).withColumn("keep", F.coalesce("keep", here))
     return found.select(
         F.col("_key").alias(key), F.col("keep._key").alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
         here.eqNullSafe(F.col("keep")).alias("kept"), F.lower(F.hex("_sha256")).alias("text_sha256"), *PLACE)

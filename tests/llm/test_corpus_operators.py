@@ -16,6 +16,7 @@ from docfields.llm import (
     bagminhash,
     host_rules,
     kneser_ney,
+    large_groups,
     packing,
     prefix_bpe,
     ring,
@@ -243,6 +244,28 @@ def test_large_groups_of_copies_are_joined_by_broadcast(spark):
     assert {r.keep_id for r in found.where("group_size = 10001").collect()} == {30_000}
 
 
+def test_large_near_classes_are_joined_by_broadcast(spark):
+    body = [f"w{i}" for i in range(60)]
+    rows = [(k, " ".join([*body, f"end{k}"])) for k in range(200)] + [(k, "one text that is often copied word for word") for k in range(200, 400)]
+    rows += [(k, " ".join(f"t{k}x{i}" for i in range(9))) for k in range(400, 500)] + [(None, rows[0][1]), (500, None), (501, "")]
+    found = bagminhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == len(rows)
+    expected = {k: (0, 201) for k in range(200)} | {None: (0, 201)} | {k: (200, 200) for k in range(200, 400)} | {k: (k, 1) for k in range(400, 500)} | {k: (500, 2) for k in (500, 501)}
+    assert {r.doc_id: (r.class_id, r.group_size) for r in found} == expected
+    assert {r.doc_id for r in found if r.kept} == {0, 200, *range(400, 501)}
+
+
+@pytest.mark.parametrize("hot", [2, 10_000])
+def test_groups_join_their_rows_at_every_size(spark, monkeypatch, hot):
+    monkeypatch.setattr(large_groups, "HOT", hot)
+    rows = spark.range(1000).select(F.when(F.col("id") < 700, 0).otherwise(F.col("id") % 50).alias("k"), F.col("id").alias("v"))
+    groups = rows.groupBy("k").agg(F.count(F.lit(1)).alias("size"), F.min("v").alias("least")).where("k <> 3")
+    plain = rows.join(groups.drop("size"), ["k"], "left")
+    found = large_groups.join_groups(rows, groups, ["k"], "size", 1000)
+    assert found.columns == plain.columns
+    assert sorted(found.fillna(-1).collect()) == sorted(plain.fillna(-1).collect())
+
+
 def test_archives_of_odd_rows(spark):
     rows = [(1, "http://a/b c", "<p>x</p>"), (2, None, "<p>x</p>"), (2, None, "<p>x</p>"), (None, "u", None), (3, "ü\r\nX: y", ""), (4, "z", "\x1f\x8b\x08 é" * 99)]
     pages = spark.createDataFrame([(*r, "c", "f") for r in rows], "page_id long, url string, html string, payload string, first string")
