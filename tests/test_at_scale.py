@@ -2,7 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from conftest import SMALL
+from docfields import fixtures
 from docfields.operators.scans import oversized, split
+from docfields.operators.totals import extract_total
 
 
 def test_of_many_large_keys_only_few_are_cut(spark):
@@ -15,3 +18,9 @@ def test_of_many_large_keys_only_few_are_cut(spark):
     whole, cut_rows = split(one, hot, ["key"])
     assert whole.count() + cut_rows.count() == 19_000 and whole.groupBy("key").count().agg(F.max("count")).first()[0] <= 19_000 / 4
     assert oversized(few, ["key"], 20) is None
+
+
+def test_words_are_dealt_before_they_are_made(spark):
+    for words in (fixtures.receipt_words(spark, SMALL), fixtures.contested_totals(spark, SMALL)):
+        plan = extract_total(words, hot_rows=None)._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(doc_id" not in plan and "hashpartitioning(l_orderkey" in plan
