@@ -13,7 +13,7 @@ from docfields.catalog import sql as S
 from docfields.catalog.events import CIRCUIT, calls
 from docfields.catalog.extraction import TODAY, today
 from docfields.operators.routing import extract_fields, route
-from docfields.session import shared_folder
+from docfields.session import materialise, shared_folder
 from docfields.sources.words import read_words_stream
 from docfields.streaming import batching, processors, stages
 
@@ -172,7 +172,7 @@ QUERIES.add("streamed_circuit", "T6", circuits,
 def tracked(s, d, numbered: bool = False) -> DataFrame:
     """Final state of every job after its outcomes: the first two failures decide, unless a success comes before.
 
-    ``numbered``: outcomes are numbered by job and come latest first, in five files, a file a trigger.
+    ``numbered``: outcomes are numbered by job and come latest first, in five parts of up to four files, four files a trigger.
     """
     _with_rocksdb(s)
     e = F.col("event_id")
@@ -182,13 +182,13 @@ def tracked(s, d, numbered: bool = False) -> DataFrame:
         F.lit(None).cast("string").alias("strategy"))
     if numbered:
         latest_first = Window.partitionBy("job_id").orderBy("seq")
-        outcomes = outcomes.withColumn("seq", F.row_number().over(latest_first).cast("long"))
+        outcomes = materialise(outcomes.withColumn("seq", F.row_number().over(latest_first).cast("long")), "numbered-outcomes")
         path = _folder(s, "outcomes")
         for part in range(5):
-            outcomes.filter((F.col("seq") - 1) % 5 == 4 - part).coalesce(1).write.mode("append").parquet(path)
-        source = s.readStream.schema(outcomes.schema).option("maxFilesPerTrigger", 1).parquet(path)
+            outcomes.filter((F.col("seq") - 1) % 5 == 4 - part).repartition(4).write.mode("append").parquet(path)
+        source = s.readStream.schema(outcomes.schema).option("maxFilesPerTrigger", 4).parquet(path)
         stream = processors.track_jobs(source, 2, base_ms=3_600_000, cap_ms=3_600_000, numbered=True)
-        files = len(s.read.parquet(path).inputFiles())
+        files = -(-len(s.read.parquet(path).inputFiles()) // 4)
         rows = _collected(s, stream, "update", files=files).filter("event = 'outcome'")
     else:
         source = s.readStream.schema(outcomes.schema).parquet(_landed(outcomes, "outcomes"))

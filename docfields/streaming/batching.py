@@ -198,10 +198,11 @@ def assemble_documents(
         statefulProcessor=Assembly(columns, key, word, expected, wait_ms), outputStructType=out, outputMode="Append", timeMode="ProcessingTime")
 
 
-def settle(query: StreamingQuery, files: int, wait_ms: int = 0, seconds: float = 600) -> None:
+def settle(query: StreamingQuery, files: int, wait_ms: int = 0, seconds: float = 1_200) -> None:
     """Let a query over ``files`` files take them all and every timer of ``wait_ms`` run out, then stop it.
 
-    A query with processing-time timers has no end of its own: it goes on looking for timers.
+    A query with processing-time timers has no end of its own: it goes on looking for timers. ``seconds`` bounds the time
+    without a trigger that took something.
     """
     last, limit = None, time.monotonic() + seconds
     try:
@@ -209,13 +210,15 @@ def settle(query: StreamingQuery, files: int, wait_ms: int = 0, seconds: float =
             for progress in query.recentProgress:
                 at = datetime.fromisoformat(progress["timestamp"])
                 if progress["numInputRows"]:
-                    last = at
+                    if last is None or at > last:
+                        limit = time.monotonic() + seconds
+                        last = at
                 elif re.findall(r"logOffset\D+(\d+)", str(progress["sources"][0]["endOffset"])) == [str(files - 1)] and (
                         last is None or at - last >= timedelta(milliseconds=wait_ms)):
                     return
             time.sleep(0.2)
         if error := query.exception():
             raise error
-        raise TimeoutError(f"the stream did not come to rest within {seconds} seconds")
+        raise TimeoutError(f"the stream took nothing for {seconds} seconds and did not come to rest")
     finally:
         query.stop()

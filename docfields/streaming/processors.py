@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from docfields.functions.retries import next_strategy_of
@@ -147,7 +148,10 @@ def track_jobs(
 
     A job that nothing has happened to for ``ttl_ms`` (longer than any retry waits) starts anew. Outcomes are taken in the
     order of ``seq`` within a micro-batch; if they are ``numbered`` from 1 without gaps, in that order over all of them.
+    Each of the first ``max_failures`` of a job closes it or is a failure, so later numbers never count and do not wait.
     """
+    if numbered:
+        outcomes = outcomes.filter(F.col("seq") <= max_failures)
     tracker = (OrderedTracker if numbered else JobTracker)(max_failures, lambda k: min(cap_ms, base_ms * 2 ** k), ttl_ms)
     return outcomes.groupBy("job_id").transformWithStateInPandas(
         statefulProcessor=tracker, outputStructType=TRACKED, outputMode="Update", timeMode="ProcessingTime"

@@ -10,6 +10,7 @@ from docfields import fixtures
 from docfields.catalog import all_queries
 from docfields.operators.scans import oversized, split
 from docfields.operators.totals import extract_total
+from docfields.streaming import batching, processors
 
 
 def test_of_many_large_keys_only_few_are_cut(spark):
@@ -39,3 +40,45 @@ def test_amounts_do_not_make_a_quota_error(spark, tmp_path):
     part.rename(tmp_path / "events.parquet")
     query = all_queries()["quota_errors"]
     assert compare(query.run(spark, str(tmp_path)), query.sql, connect(str(tmp_path))) is None
+
+
+def test_outcomes_that_never_count_are_not_kept(spark, tmp_path):
+    schema = "job_id string, seq long, stage string, ok boolean, error string, strategy string"
+    late = [(f"job {k}", seq, "llm", False, "e", None) for k in range(20) for seq in range(3, 8)]
+    spark.createDataFrame([*late, ("job 0", 2, "llm", False, "e", None)], schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    tracked = processors.track_jobs(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), 2, numbered=True)
+    query = (tracked.writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "state"))
+             .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(str(tmp_path / "out"))).trigger(once=True).start())
+    query.awaitTermination()
+    assert sum(o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]) <= 3
+
+
+class Slow:
+    """A query that takes a file every 0.4 seconds and comes to rest after eight."""
+
+    isActive = True
+
+    def __init__(self):
+        self.begun = datetime.datetime.now()
+
+    @property
+    def recentProgress(self):
+        past = (datetime.datetime.now() - self.begun).total_seconds()
+        taken = [self._progress(0.4 * n, n, 5) for n in range(8) if 0.4 * (n + 1) <= past]
+        return taken + ([self._progress(3.3, 7, 0)] if past > 3.4 else [])
+
+    def _progress(self, at, file, rows):
+        return {"timestamp": (self.begun + datetime.timedelta(seconds=at)).isoformat(), "numInputRows": rows,
+                "sources": [{"endOffset": f'{{"logOffset":{file}}}'}]}
+
+    def exception(self):
+        return None
+
+    def stop(self):
+        self.isActive = False
+
+
+def test_a_stream_that_goes_on_is_not_late():
+    query = Slow()
+    batching.settle(query, 8, seconds=1.5)
+    assert not query.isActive
