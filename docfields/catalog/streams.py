@@ -86,11 +86,11 @@ def filled_sizes(s, d) -> DataFrame:
     return calls.groupBy("n", "slots").agg(F.count(F.lit(1)).alias("batches"))
 
 
-def _dealt(s, rows: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """``rows`` (dealt over partitions) as a stream of a file a trigger, and the number of files."""
+def _dealt(s, rows: DataFrame, name: str, at_once: int = 1) -> tuple[DataFrame, int]:
+    """``rows`` (dealt over partitions) as a stream of ``at_once`` files a trigger, and the number of triggers."""
     path = _landed(rows, name)
     files = len(s.read.parquet(path).inputFiles())
-    return s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path), files
+    return s.readStream.schema(rows.schema).option("maxFilesPerTrigger", at_once).parquet(path), -(-files // at_once)
 
 
 def _filled_calls(s, d, lanes: int) -> DataFrame:
@@ -118,11 +118,11 @@ QUERIES.add("streamed_batches_in_lanes", "T2", filled_in_lanes,
 
 
 def assembled(s, d) -> DataFrame:
-    """Receipts whose words are dealt over four files, a file a trigger, extracted once all their words are there."""
+    """Receipts whose words are dealt over 16 files, four a trigger, extracted once all their words are there."""
     _with_rocksdb(s)
     words = fixtures.receipt_words(s, d)
     counted_words = words.join(words.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_words")), "doc_id")
-    source, files = _dealt(s, counted_words.repartition(4, "word_id"), "dealt-words")
+    source, files = _dealt(s, counted_words.repartition(16, "word_id", "doc_id"), "dealt-words", 4)
     whole = _collected(s, batching.assemble_documents(source, wait_ms=3_600_000, lanes=8), "append", files=files)
     rules = route(extract_fields(whole.filter("complete").select(*words.columns)))
     return rules.select("doc_id", "vendor", "total", "date", "vendor_conf", "total_conf", "date_conf", "route")

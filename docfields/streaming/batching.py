@@ -96,8 +96,13 @@ def fill_batches(requests: DataFrame, size: int = BATCH_SIZE, wait_ms: int = 5_0
         statefulProcessor=Filling(columns, size, wait_ms), outputStructType=out, outputMode="Append", timeMode="ProcessingTime")
 
 
+# A lane is kept in so many parts; a task opens one at a time.
+LANE_PARTS = 32
+PAGE_WORDS = 50_000
+
+
 class Assembly(StatefulProcessor):
-    """The words of the open documents of one lane, as pages in the form they came in, and an index: for each document
+    """The words of the open documents of one part of a lane, as pages in the form they came in, and an index: for each document
     how many words there are, how many there should be, and when the last came.
 
     The pages are opened only when the index says that a document may be whole. A word that comes twice counts once.
@@ -128,16 +133,14 @@ class Assembly(StatefulProcessor):
             self.index.clear()
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        index, now = self._opened(), timerValues.getCurrentProcessingTimeInMs()
+        index, now, come = self._opened(), timerValues.getCurrentProcessingTimeInMs(), []
         for frame in rows:
             frame = frame[self.columns.names]
             self.pages.appendValue((_packed(frame),))
-            come = frame.groupby(self.key)[self.expected].agg(there="size", expected="max")
-            index = come.assign(at=now) if not len(index) else pd.DataFrame({
-                "there": index["there"].add(come["there"], fill_value=0).astype("int64"),
-                "expected": come["expected"].combine_first(index["expected"]).astype("int64"),
-                "at": come["there"].mul(0).add(now).combine_first(index["at"]).astype("int64")})
-            index.index.name = self.key
+            come.append(frame.groupby(self.key)[self.expected].agg(there="size", expected="max").assign(at=now))
+        # Once for all frames: to look through the index for each of them would cost the square of their number.
+        index = pd.concat([index, *come] if len(index) else come).groupby(level=0).agg({"there": "sum", "expected": "last", "at": "max"}).astype("int64")
+        index.index.name = self.key
         may = index.index[index["there"] >= index["expected"]]
         if len(may):
             yield from self._let_go(index, may, True)
@@ -146,17 +149,19 @@ class Assembly(StatefulProcessor):
 
     def _let_go(self, index: pd.DataFrame, names: pd.Index, whole: bool) -> Iterator[pd.DataFrame]:
         """The documents ``names``, if ``whole`` only those that have all their words; the other pages are written anew."""
-        words = pd.concat([_unpacked(bytes(page)) for page, in self.pages.get()], ignore_index=True).drop_duplicates([self.key, self.word])
-        there = words.groupby(self.key).size()
+        words = pa.concat_tables([_table(bytes(page)) for page, in self.pages.get()], promote_options="permissive")
+        ids = words.select([self.key, self.word]).to_pandas()
+        first = ~ids.duplicated()
+        there = ids[first].groupby(self.key).size()
         index = index.assign(there=there.reindex(index.index).astype("int64"))
         if whole:
             names = names[index.loc[names, "there"] >= index.loc[names, "expected"]]
-        out = words[self.key].isin(names)
-        if out.any():
-            yield words[out][self.columns.names].assign(complete=whole)
+        out = ids[self.key].isin(names)
+        for page in words.filter(pa.array(first & out)).to_batches(max_chunksize=PAGE_WORDS):
+            yield page.to_pandas()[self.columns.names].assign(complete=whole)
         self.pages.clear()
-        if not out.all():
-            self.pages.appendValue((_packed(words[~out]),))
+        for page in words.filter(pa.array(first & ~out)).to_batches(max_chunksize=PAGE_WORDS):
+            self.pages.appendValue((_packed(page.to_pandas()),))
         self._kept(index.drop(names))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -179,8 +184,12 @@ def _packed(frame: pd.DataFrame) -> bytes:
     return out.getvalue()
 
 
+def _table(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all()
+
+
 def _unpacked(data: bytes) -> pd.DataFrame:
-    return pa.ipc.open_stream(data).read_all().to_pandas()
+    return _table(data).to_pandas()
 
 
 def assemble_documents(
@@ -190,11 +199,11 @@ def assemble_documents(
 
     Column ``expected`` of every word says how many words its document has. Words of a document of which nothing has come
     for ``wait_ms`` are let go with ``complete`` false; so are words that come after their document. Documents are dealt to
-    ``lanes`` by a hash; a task holds the open documents of one lane at a time.
+    ``lanes`` by a hash and in each to ``LANE_PARTS`` parts; a task holds the open documents of one part at a time.
     """
     columns = words.schema
     out = T.StructType([*columns.fields, T.StructField("complete", T.BooleanType())])
-    return words.withColumn("_lane", F.pmod(F.xxhash64(key), F.lit(lanes))).groupBy("_lane").transformWithStateInPandas(
+    return words.withColumn("_lane", F.pmod(F.xxhash64(key), F.lit(lanes * LANE_PARTS))).groupBy("_lane").transformWithStateInPandas(
         statefulProcessor=Assembly(columns, key, word, expected, wait_ms), outputStructType=out, outputMode="Append", timeMode="ProcessingTime")
 
 

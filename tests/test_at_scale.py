@@ -2,6 +2,8 @@
 
 import datetime
 
+import numpy as np
+import pandas as pd
 from oracle import compare, connect
 from pyspark.sql import functions as F
 
@@ -82,3 +84,65 @@ def test_a_stream_that_goes_on_is_not_late():
     query = Slow()
     batching.settle(query, 8, seconds=1.5)
     assert not query.isActive
+
+
+class Held:
+    """State of one key in memory."""
+
+    def __init__(self):
+        self.values = []
+
+    def get(self):
+        return iter(self.values)
+
+    def appendValue(self, value):
+        self.values.append(value)
+
+    def clear(self):
+        self.values = []
+
+
+class Index(Held):
+    def get(self):
+        return self.values[-1] if self.values else None
+
+    def update(self, value):
+        self.values = [value]
+
+    def exists(self):
+        return bool(self.values)
+
+
+class Handle:
+    def __init__(self):
+        self.timers = []
+
+    def getListState(self, *_):
+        return Held()
+
+    def getValueState(self, *_):
+        return Index()
+
+    def listTimers(self):
+        return self.timers
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def getCurrentProcessingTimeInMs(self):
+        return 1000
+
+
+def test_documents_go_out_in_pages(spark):
+    columns = spark.range(0).selectExpr("id as doc_id", "id as word_id", "'' as text", "id as n_words").schema
+    task = batching.Assembly(columns, "doc_id", "word_id", "n_words", 60_000)
+    handle = Handle()
+    task.init(handle)
+    frames = [pd.DataFrame({"doc_id": np.arange(2_000) % 2, "word_id": np.arange(2_000) // 2 + 1_000 * n, "text": "x", "n_words": 70_000}) for n in range(70)]
+    assert not list(task.handleInputRows((0,), iter(frames[:30]), handle))
+    out = list(task.handleInputRows((0,), iter(frames[29:]), handle))
+    assert max(map(len, out)) <= 50_000 and sum(map(len, out)) == 140_000
+    assert not pd.concat(out).duplicated(["doc_id", "word_id"]).any() and not task.pages.values and not handle.timers
