@@ -13,6 +13,10 @@ from docfields.llm import bagminhash, host_rules, packing, tree_merge
 from docfields.llm.queries import BPE_50K, crc32
 from docfields.session import materialise
 
+#: What a worker encodes at once when packing, and the pieces it remembers: less than alone, since a worker also holds what the
+#: stages before have left, and an executor the memory they have touched.
+PACK_BYTES, PACK_REMEMBERED = 1 << 19, 250_000
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither fail the base rules themselves nor come from a rejected host."""
@@ -31,7 +35,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of packed sequences of at most 1,024 ids."""
-    return packing.pack(docs, public_tokenizers.path(BPE_50K), derive={"ids_crc32": ("long", crc32)}, special=True)
+    return packing.pack(docs, public_tokenizers.path(BPE_50K), derive={"ids_crc32": ("long", crc32)}, special=True,
+                        batch_bytes=PACK_BYTES, remembered=PACK_REMEMBERED)
 
 
 STAGES = [("quality rules", quality), ("exact dedup", exact_copies), ("near dedup", near_copies), ("packing", sequences)]

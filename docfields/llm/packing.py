@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docfields.llm.arrays import parts
-from docfields.llm.pieces import LIBRARY_BATCH, library_encoder
+from docfields.llm.pieces import LIBRARY_BATCH, LIBRARY_REMEMBERED, library_encoder
 
 #: Documents whose rests are packed together.
 WINDOW = 50_000
@@ -100,14 +100,17 @@ def pack_items(pieces: list[tuple], limit: tuple[int, int, int]) -> list[list[tu
 
 def pack(docs: DataFrame, vocabulary: str, length: int = 1024, max_segments: int = 1024, max_loss: int | None = None,
          end_id: int = 0, key: str = "doc_id", text: str = "text", loss_from: str | None = None,
-         derive: Derived | None = None, special: bool = False) -> DataFrame:
+         derive: Derived | None = None, special: bool = False, batch_bytes: int = LIBRARY_BATCH,
+         remembered: int = LIBRARY_REMEMBERED) -> DataFrame:
     """One row for each piece: ``key, start, length, doc_tokens, sequence_id, offset`` and ``ids``, or what ``derive``
     makes of the ids (column to Spark type and function of unsigned 32-bit ids).
 
     A document's ids are those of ``text`` and then ``end_id``; null text counts as empty, so every row has an id. Rows
     are packed as they are, with repeated and null keys. ``loss_from`` names a column with the number of leading ids
     that bear no loss (a prompt; null: none); ``max_loss`` is ``length`` by default. ``special``: see ``library_encoder``.
-    Other columns are not read. An empty table gives no rows. Sequence ids are unique, not consecutive.
+    ``batch_bytes`` of text are encoded at once and ``remembered`` distinct pieces kept by a worker: smaller ones take less
+    memory and more time, for the same rows. Other columns are not read. An empty table gives no rows. Sequence ids are
+    unique, not consecutive.
     """
     derive = derive or {"ids": ("array<long>", lambda ids: ids.tolist())}
     limit = (length, max_segments, max_loss or length)
@@ -121,7 +124,7 @@ def pack(docs: DataFrame, vocabulary: str, length: int = 1024, max_segments: int
     def run(batches):
         from pyspark import TaskContext
 
-        encoder = library_encoder(vocabulary, special)
+        encoder = library_encoder(vocabulary, special, remembered)
         sequence = TaskContext.get().partitionId() << 32
 
         def rows_of(sequences, keys, ids, base, totals):
@@ -145,7 +148,7 @@ def pack(docs: DataFrame, vocabulary: str, length: int = 1024, max_segments: int
 
         keys, rests, kept, bases, totals = [], [], [], [], []  # of the window's rests
         for batch in batches:
-            for part, texts in parts(batch, "_text", LIBRARY_BATCH):
+            for part, texts in parts(batch, "_text", batch_bytes):
                 flat, counts = encoder.ids(texts)
                 flat = np.insert(flat, np.cumsum(counts), end_id)
                 marks = np.concatenate([[0], np.cumsum(counts + 1)]).tolist()

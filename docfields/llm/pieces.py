@@ -238,8 +238,8 @@ def next_break(data: np.ndarray, at: int) -> int:
 _encoders: dict[str, PieceEncoder] = {}  # by vocabulary and kind
 
 
-def library_encoder(path: str, special: bool = False) -> PieceEncoder:
-    """Pieces through the tokenizers library; one per worker and vocabulary.
+def library_encoder(path: str, special: bool = False, remembered: int = LIBRARY_REMEMBERED) -> PieceEncoder:
+    """Pieces through the tokenizers library; one per worker and vocabulary, with ``remembered`` pieces at most.
 
     With ``special`` the vocabulary's special tokens have their ids in a text, as the library has it by default; without,
     they are plain text there.
@@ -261,5 +261,6 @@ def library_encoder(path: str, special: bool = False) -> PieceEncoder:
         def encode(pieces: list[str]) -> list[list[int]]:
             return [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-        _encoders[name] = PieceEncoder(encode, np.uint16 if small else np.uint32, LIBRARY_REMEMBERED, [t.content for t in added])
+        _encoders[name] = PieceEncoder(encode, np.uint16 if small else np.uint32, added=[t.content for t in added])
+    _encoders[name].remembered = remembered
     return _encoders[name]

@@ -332,6 +332,15 @@ def test_packing_of_odd_rows(odd, empty):
     assert packing.pack(empty, P.path(BPE_50K)).count() == 0
 
 
+def test_packing_in_less_memory_gives_the_same_pieces(odd):
+    """The pipeline packs with smaller batches and fewer remembered pieces than a worker may have alone."""
+    assert corpus_pipeline.PACK_BYTES < packing.LIBRARY_BATCH and corpus_pipeline.PACK_REMEMBERED < packing.LIBRARY_REMEMBERED
+    columns = ("start", "length", "doc_tokens", "offset", "sequence_id", "ids")
+    whole, small = (sorted(map(repr, packing.pack(odd, P.path(BPE_50K), **limits).select(*columns).collect()))
+                    for limits in ({}, {"batch_bytes": 64, "remembered": 5}))
+    assert whole == small
+
+
 def test_packing_limits_with_prompts(spark):
     rng = random.Random(2)
     docs = spark.createDataFrame([(k, "word " * rng.randrange(1, 90), rng.randrange(60)) for k in range(300)], "doc_id long, text string, prompt int")
