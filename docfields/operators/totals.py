@@ -42,6 +42,16 @@ def row_text_pages(rows: DataFrame, page_words: int = 4096, hot_rows: int | None
     return pages.withColumn("offset", F.coalesce(F.sum(F.char_length("text") + 1).over(before), F.lit(0)).cast("long"))
 
 
+def paged_row_texts(
+    words: DataFrame, page_words: int = 4096, y_tol: int = ROW_GAP, hot_rows: int | None = HOT_ROWS
+) -> DataFrame:
+    """:func:`row_text_pages` of the rows of ``words``. A row is no larger than its document, so rows are counted only where
+    a document is cut into chunks."""
+    hot = None if hot_rows is None else oversized(words, ["doc_id"], hot_rows)
+    rows = group_rows(words, y_tol, hot_rows=None, hot=hot)
+    return row_text_pages(rows, page_words, None if hot is None else hot_rows)
+
+
 def with_amounts(words: DataFrame) -> DataFrame:
     return words.withColumn("amount", parse_amount(F.col("text")))
 
