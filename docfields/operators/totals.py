@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docfields.functions.boxes import box
 from docfields.functions.scores import (
-    has_label_stem, is_skipped, label_only, parse_amount, score_label, total_conf, total_score,
+    best_label, has_label_stem, is_labelled, is_skipped, label_only, parse_amount, total_conf, total_score,
 )
 from docfields.functions.text import strip_word
 from docfields.operators.scans import HOT_ROWS, chunked, oversized, scan_by_key, split
@@ -64,7 +64,7 @@ def row_amount() -> Column:
 
 
 def _labelled_rows(rows: DataFrame) -> DataFrame:
-    """Rows with a label and an amount, of documents of ordinary size.
+    """Rows with a label and an amount, of documents of ordinary size; their words are stripped already.
 
     Rows are numbered before any is dropped; only those with a label stem (a few per document) get a text.
     """
@@ -72,10 +72,10 @@ def _labelled_rows(rows: DataFrame) -> DataFrame:
     stemmed = rows.withColumn("stem", F.max(has_label_stem(F.col("text"))).over(row)).filter("stem")
     return (
         with_amounts(stemmed).groupBy("doc_id", "row_ix")
-        .agg(joined(IN_ROW, " ", strip_word(F.col("text"))).alias("row_text"), row_amount().alias("best"))
-        .filter("best.val is not null")
-        .select("doc_id", "row_ix", score_label(F.col("row_text")).alias("label"), "best.val", "best.bbox")
-        .filter("label > 0")
+        .agg(F.lower(joined(IN_ROW, " ")).alias("row_text"), row_amount().alias("best"))
+        # A filter on the label itself would have it computed twice.
+        .filter(F.col("best.val").isNotNull() & is_labelled(F.col("row_text")))
+        .select("doc_id", "row_ix", best_label(F.col("row_text")).alias("label"), "best.val", "best.bbox")
     )
 
 
@@ -106,13 +106,15 @@ def total_candidates(
     usable = total_words(words)
     if hot is None and hot_rows is not None:
         hot = oversized(words, ["doc_id"], hot_rows)
+    # Stripped here and not inside the aggregate, which would not compile it.
+    tidy = lambda rows: rows.withColumn("text", strip_word(F.col("text")))
     if hot is None:
-        found = _labelled_rows(group_rows(usable, y_tol, hot_rows=None))
+        found = _labelled_rows(group_rows(tidy(usable), y_tol, hot_rows=None))
     else:
         small, large = split(usable, hot, ["doc_id"])
         centred = large.withColumn("cy", F.col("y") + F.floor(F.col("h") / 2).cast("int"))
         large_rows = _mark_rows(chunked(centred, ["doc_id"], ["cy", "word_id"]), y_tol)
-        found = _labelled_rows(group_rows(small, y_tol, hot_rows=None)).unionByName(_labelled_rows_large(large_rows))
+        found = _labelled_rows(group_rows(tidy(small), y_tol, hot_rows=None)).unionByName(_labelled_rows_large(large_rows))
     return found.withColumn("score", total_score(F.col("label"), F.col("row_ix")))
 
 
