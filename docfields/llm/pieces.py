@@ -94,12 +94,13 @@ class PieceEncoder:
 
     Pieces are found by a hash of this worker alone, and every find is compared byte by byte; a piece that only shares its
     hash with another is encoded on its own. ``added`` are strings that are pieces wherever they stand; of several at one
-    place the longest counts.
+    place the longest counts. ``flat`` may give all ids of many pieces in a row and how many each has.
     """
 
     def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], dtype=np.uint32, remembered: int = REMEMBERED,
-                 added: Sequence[str] = ()):
+                 added: Sequence[str] = (), flat: Callable[[list[str]], tuple[np.ndarray, np.ndarray]] | None = None):
         self.encode, self.dtype, self.remembered = encode, dtype, remembered
+        self.flat = flat or (lambda pieces: flattened(encode(pieces), dtype))
         self.added = sorted(filter(None, added), key=len, reverse=True)
         self.pattern = re.compile("|".join(map(re.escape, self.added)))
         self.spaced = any(c.isspace() for a in self.added for c in a)
@@ -129,13 +130,11 @@ class PieceEncoder:
         self.byte_length = np.concatenate([self.byte_length, sizes])
         self.filled += len(flat)
         for at in range(0, len(pieces), 20_000):
-            lists = self.encode(pieces[at : at + 20_000])
-            size = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-            new = int(size.sum())
+            ids, size = self.flat(pieces[at : at + 20_000])
+            new = len(ids)
             while self.used + new > len(self.store):
                 self.store = np.concatenate([self.store, np.zeros_like(self.store)])
-            flat = (i for ids in lists for i in ids)
-            self.store[self.used : self.used + new] = np.fromiter(flat, dtype=self.dtype, count=new)
+            self.store[self.used : self.used + new] = ids
             starts.append(self.used + np.cumsum(size) - size)
             lengths.append(size)
             self.used += new
@@ -208,6 +207,46 @@ class PieceEncoder:
         return gather(store, source, lengths), counts
 
 
+def flattened(lists: Sequence[Sequence[int]], dtype) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of ids as one array and their lengths."""
+    sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+    return np.fromiter((i for ids in lists for i in ids), dtype=dtype, count=int(sizes.sum())), sizes
+
+
+def by_lines(encode: Callable[[list[str]], Sequence[Sequence[int]]], dtype, added: Sequence[str]) -> Callable | None:
+    """``flat`` of a :class:`PieceEncoder` that encodes many pieces as the lines of one text, which takes one call instead of
+    one each; None where a line break does not have one id of its own.
+
+    A piece is white space or has none but a space before it. One of the second kind is a piece on a line of its own too:
+    none runs over a break, and only white space hangs on what follows it. The first kind and added tokens are encoded
+    alone, and so are all pieces should the ids not have a break for each line.
+    """
+    ends = encode(["\n"])[0]
+    if len(ends) != 1 or any(c.isspace() for a in added for c in a):
+        return None
+    whole = frozenset(added)
+
+    def flat(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        fit = [not p.isspace() and p not in whole for p in pieces]
+        lines = pieces if all(fit) else [p for p, f in zip(pieces, fit, strict=True) if f]
+        ids = np.array(encode(["\n".join(lines)])[0], dtype=dtype) if lines else np.zeros(0, dtype=dtype)
+        breaks = np.flatnonzero(ids == ends[0])
+        if not lines or len(breaks) != len(lines) - 1:
+            return flattened(encode(pieces), dtype)
+        sizes = np.diff(np.concatenate([[-1], breaks, [len(ids)]])) - 1
+        ids = np.delete(ids, breaks)
+        if len(lines) == len(pieces):
+            return ids, sizes
+        rest = np.flatnonzero(~np.array(fit))
+        rest_ids, rest_sizes = flattened(encode([pieces[i] for i in rest.tolist()]), dtype)
+        starts, lengths = np.zeros(len(pieces), dtype=np.int64), np.zeros(len(pieces), dtype=np.int64)
+        for at, size, base in ((np.flatnonzero(fit), sizes, 0), (rest, rest_sizes, len(ids))):
+            starts[at], lengths[at] = base + np.cumsum(size) - size, size
+        return gather(np.concatenate([ids, rest_ids]), starts, lengths), lengths
+
+    return flat
+
+
 def equal_ranges(a: np.ndarray, at: np.ndarray, b: np.ndarray, bt: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
     """Whether ``a[at:at + size_a]`` and ``b[bt:bt + size_b]`` have the same bytes, row by row."""
     same = (size_a == size_b) & (leading(a, at, size_a) == leading(b, bt, size_b))
@@ -261,6 +300,8 @@ def library_encoder(path: str, special: bool = False, remembered: int = LIBRARY_
         def encode(pieces: list[str]) -> list[list[int]]:
             return [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-        _encoders[name] = PieceEncoder(encode, np.uint16 if small else np.uint32, added=[t.content for t in added])
+        kind, whole = np.uint16 if small else np.uint32, [t.content for t in added]
+        lines = by_lines(encode, kind, whole) if tokenizer.normalizer is None else None
+        _encoders[name] = PieceEncoder(encode, kind, added=whole, flat=lines)
     _encoders[name].remembered = remembered
     return _encoders[name]
