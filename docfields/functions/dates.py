@@ -89,7 +89,8 @@ def parse_invoice_date(c: Column) -> Column:
 def parse_form_date(c: Column) -> Column:
     """The five written forms the form accepts, or a leading ISO date."""
     s = strip(c)
-    whole = existing_date(day_first(day_first(s, "/", True), "-", True))
+    # A text in year-month-day is rewritten by none of the patterns.
+    whole = F.when(s.rlike(ISO), s.try_cast("date")).otherwise(existing_date(day_first(day_first(s, "/", True), "-", True)))
     return F.coalesce(whole, existing_date(_group(s, r"^(\d{4}-\d{2}-\d{2})", 1)))
 
 

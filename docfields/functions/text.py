@@ -196,7 +196,10 @@ def num_text(c: Column) -> Column:
     plain = F.regexp_replace(shortest.try_cast("decimal(38,20)").cast("string"), r"(\.[0-9]+?)0+$", "$1")
     size = F.abs(number)
     zero = F.when(F.format_string("%.0e", number).startswith("-"), "-0.0").otherwise("0.0")
-    return F.when(size == 0, zero).when((size >= 1e-4) & (size < 1e16), plain).otherwise(
+    # Of at most fifteen digits no two name the same number, so one with two decimals has no shorter text.
+    cents = number.try_cast("decimal(13,2)")
+    short = F.regexp_replace(cents.cast("string"), r"(\.[0-9])0$", "$1")
+    return F.when(size == 0, zero).when(cents.cast("double") == number, short).when((size >= 1e-4) & (size < 1e16), plain).otherwise(
         F.replace(F.lower(F.regexp_replace(shortest, r"\.?0+e", "e")), F.lit("infinity"), F.lit("inf")))
 
 

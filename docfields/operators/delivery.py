@@ -112,7 +112,7 @@ def _deliver_by_ledger(
             return {"job_id": job, "seq": seq, "at": time.time(), "ok": ok, "attempts": attempts}
 
         for batch in batches:
-            found = []
+            found, ended = [], []  # an outcome is written with the next row's beginning, before that is posted
             for row in batch[names].itertuples(index=False, name=None):
                 row = dict(zip(names, row))
                 job = row["job_id"]
@@ -121,10 +121,12 @@ def _deliver_by_ledger(
                     found.append((job, False, 0, "in_doubt", True))
                     continue
                 if outcome is None:
-                    log.write(entry(job, None, 0))
+                    log.write(*ended, entry(job, None, 0))
                     outcome = paced(row)
-                    log.write(entry(job, *outcome))
+                    ended = [entry(job, *outcome)]
                 found.append((job, *outcome, "delivered" if outcome[0] else "failed", True))
+            if ended:
+                log.write(*ended)
             yield pd.DataFrame(found, columns=["job_id", "ok", "attempts", "state", "posted"])
         log.close()
 

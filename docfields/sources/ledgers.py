@@ -60,10 +60,11 @@ class TaskLog:
                         except ValueError:
                             continue  # cut off
 
-    def write(self, entry: dict) -> None:
+    def write(self, *entries: dict) -> None:
+        """Lines that are flushed together."""
         if self.out is None:
             self.out = self.store.open_output_stream(f"{self.place}/{self.name}{uuid.uuid4().hex[:12]}.json")
-        self.out.write(json.dumps(entry).encode() + b"\n")
+        self.out.write("".join(f"{json.dumps(e)}\n" for e in entries).encode())
         self.out.flush()
 
     def close(self) -> None:
