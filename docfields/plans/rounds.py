@@ -16,7 +16,6 @@ from docfields.operators.requests import ask_and_count, counted
 from docfields.operators.routing import extract_fields, llm_payload, route, rule_payload
 from docfields.operators.scans import HOT_ROWS
 from docfields.operators.validation import validate
-from docfields.operators.words import document_text
 from docfields.session import materialise
 from docfields.sources.ledgers import exists
 
@@ -88,7 +87,7 @@ def run_rounds(
     """Extract, route, ask the model where needed, validate, and retry what failed.
 
     At most ``max_failures`` rounds follow the first, because each open job fails once in every one of them. Words are
-    read for the rules and once more for the texts of routed documents. Every round is written out, so its plan starts
+    read once, for the rules and the texts of routed documents. Every round is written out, so its plan starts
     from a table and the model is never asked twice for the same round; only open jobs go on to the next.
 
     ``state`` is a folder of this run alone. A run that was stopped goes on from there: tables that are complete (their
@@ -109,10 +108,9 @@ def run_rounds(
             make().write.mode("overwrite").parquet(f"{state}/{name}")
         return spark.read.parquet(f"{state}/{name}")
 
-    rules = keep(lambda: route(extract_fields(words, phrases, hot_rows)), "rules")
+    rules = keep(lambda: route(extract_fields(words, phrases, hot_rows, texts=True)), "rules")
     trusted, weak = rules.filter("route = 'VALIDATE'"), rules.filter("route = 'LLM'")
-    texts = keep(lambda: document_text(words.join(weak.select("doc_id"), "doc_id", "left_semi")).select(
-        F.col("doc_id").cast("string").alias("job_id"), "text"), "texts")
+    texts = weak.select(F.col("doc_id").cast("string").alias("job_id"), "text")
     untried = spark.createDataFrame([], "job_id string, strategy string, raw string")
     outcomes = validation_outcomes(rule_payload(trusted), untried, today)
     todo = weak.select(F.col("doc_id").cast("string").alias("job_id"), F.lit("default").alias("strategy"))
