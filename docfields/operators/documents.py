@@ -26,17 +26,16 @@ DOC_ROWS, DOC_NUMBERS = 1_024, 4_096
 
 def gathered(words: DataFrame, most: int = DOC_ROWS) -> DataFrame:
     """Every document with the figures of its confidence, ``large`` and three arrays of structs: ``words``, those that are not
-    blank, which sort from the top down, each with what sorts from left to right; ``header``, those of the header, which sort in reading order; ``dated``, those that
+    blank, which sort from the top down; ``header``, those of the header, which sort in reading order; ``dated``, those that
     may hold a date. No row holds more than ``DOC_NUMBERS`` words; of a ``large`` document it may not hold all.
 
     What can be told of a word is told here, in compiled code; functions on arrays are not compiled.
     """
     text, seen, number, here = F.col("text"), F.col("seen"), F.col("word_id"), F.col("here")
     x, y, w, h, conf = (F.col(c) for c in ("x", "y", "w", "h", "conf"))
-    cy = (y + F.floor(h / 2).cast("int")).alias("cy")
     word = F.struct(
-        cy, "word_id", "text", (conf >= MIN_WORD_CONF).alias("usable"), has_label_stem(text).alias("stem"),
-        F.struct("x", cy, "word_id", "text", box(x, y, w, h).alias("bbox")).alias("word"))
+        (y + F.floor(h / 2).cast("int")).alias("cy"), "word_id", "text", (conf >= MIN_WORD_CONF).alias("usable"),
+        has_label_stem(text).alias("stem"), "x", "y", "w", "h")
     top = F.struct(
         "word_id", "y", strip_word(text).alias("text"), F.when(conf >= 0, conf).alias("conf"), "x", "h", (x + w).alias("x2"), (y + h).alias("y2"))
     dated = F.struct("word_id", "text", (conf / F.lit(100.0)).alias("conf"), "y", "h", box(x, y, w, h).alias("bbox"))
@@ -56,6 +55,10 @@ def gathered(words: DataFrame, most: int = DOC_ROWS) -> DataFrame:
 GATHERED = ("words", "header", "dated")
 
 
+def _box(w: Column) -> Column:
+    return box(w["x"], w["y"], w["w"], w["h"])
+
+
 def with_total(docs: DataFrame, y_tol: int = ROW_GAP) -> DataFrame:
     """C1 over :func:`gathered`: ``total``, ``total_conf``, ``total_bbox``. Only rows with a label stem are put together."""
     usable, heights, starts = F.col("_usable"), F.col("_heights"), F.col("_starts")
@@ -63,10 +66,14 @@ def with_total(docs: DataFrame, y_tol: int = ROW_GAP) -> DataFrame:
     def row(ix: Column) -> Column:
         start = F.get(starts, ix)
         ws = F.slice(usable, start + 1, F.coalesce(F.get(starts, ix + 1), F.size(usable)) - start)
-        return F.struct(ix.alias("ix"), F.sort_array(F.transform(ws, lambda w: w["word"])).alias("ws"))
+        return F.struct(ix.alias("ix"), F.sort_array(F.transform(ws, across)).alias("ws"))
+
+    def across(w: Column) -> Column:
+        """A word so that it sorts from left to right."""
+        return F.struct(*[w[c].alias(c) for c in ("x", "cy", "word_id", "text", "y", "w", "h")])
 
     def read(w: Column) -> Column:
-        return F.struct(parse_amount(w["text"]).alias("val"), -w["x"], -w["cy"], -w["word_id"], w["bbox"].alias("bbox"))
+        return F.struct(parse_amount(w["text"]).alias("val"), -w["x"], -w["cy"], -w["word_id"], _box(w).alias("bbox"))
 
     def best_amount(ws: Column) -> Column:
         return F.array_max(F.filter(F.transform(ws, read), lambda a: a["val"].isNotNull()))
